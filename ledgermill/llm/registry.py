@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .quality import op9_quality_rules
 from .sharding import op6_sharding
+from .simhash import op5_simhash
 from .token_files import op7_token_files
 
 QUERIES = {
+    "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
     "op9_quality_rules": op9_quality_rules,
