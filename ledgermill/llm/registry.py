@@ -6,11 +6,13 @@ from .quality import op9_quality_rules
 from .sharding import op6_sharding
 from .simhash import op5_simhash
 from .token_files import op7_token_files
+from .topk import OP10_SQL, op10_topk
 
 QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
     "op9_quality_rules": op9_quality_rules,
+    "op10_topk": op10_topk,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_topk": OP10_SQL}
