@@ -7,8 +7,10 @@ from .sharding import op6_sharding
 from .simhash import op5_simhash
 from .token_files import op7_token_files
 from .topk import OP10_SQL, op10_topk
+from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_sharding": op6_sharding,
     "op7_token_files": op7_token_files,
