@@ -1,23 +1,49 @@
 """Whole-text byte-level BPE through the tokenizers library, one call for each distinct word.
 
 Byte-level pre-tokenisation always cuts before a space that stands before a non-space, so a text
-may be cut there and its parts encoded apart. Parts recur, so each worker keeps those it has met;
-the store is emptied when it is full, which changes nothing but time.
+may be cut there and its parts encoded apart. Parts recur, so each worker keeps those it has met: new
+ones in a young store that is emptied when full, those met again in an old store. Both are bounded,
+and what they hold changes nothing but time. New parts of Latin script are cut further into pre-tokens,
+which go to the model of the tokenizer itself; all others go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 
 import numpy as np
+import regex
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A space before white space or the end: not a place to cut.
 _INNER_SPACE = re.compile(r" (?=\s|$)")
 _CUT = re.compile(r" (?=\S)")
 _LONGEST_KEPT = 64
+#: Below this character, letters, numbers and white space are the same in all Unicode versions.
+_LATIN_END = "\u0250"
+# Fixed value: the public byte-level pre-tokenisation pattern.
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def _byte_letters() -> list[str]:
+    """The printable character that byte-level BPE writes for each byte: itself if printable, else the next from U+0100."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(x if x in printable else next(spare)) for x in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _plain_byte_level(tokenizer) -> bool:
+    """Whether the tokenizer is byte-level BPE with the public pattern and nothing before or after it."""
+    kind = json.loads(tokenizer.to_str())
+    before = kind["pre_tokenizer"] or {}
+    steady = not kind["model"].get("dropout") and not kind["normalizer"] and before.get("type") == "ByteLevel"
+    return steady and kind["model"]["type"] == "BPE" and not before.get("add_prefix_space") and before.get("use_regex", True)
 
 
 def default_vocabulary() -> str:
@@ -29,7 +55,7 @@ def default_vocabulary() -> str:
 class WordwiseEncoder:
     """encode(texts): the little-endian ids of each text as bytes, ``width`` bytes an id."""
 
-    def __init__(self, path: str, kept: int = 400_000) -> None:
+    def __init__(self, path: str, young: int = 250_000, old: int = 500_000, pieces: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -37,30 +63,66 @@ class WordwiseEncoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.kept = kept
-        self.spaced: dict[str, bytes] = {}
+        self.limits = young, old, pieces
+        self.model = self.tokenizer.model if _plain_byte_level(self.tokenizer) else None
+        self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _spaced_ids(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each part with a space before it."""
+        out: dict[str, bytes] = {}
+        latin: list[str] = []
+        if self.model is not None:
+            code, tokenize = self.code, self.model.tokenize
+            for x in parts:
+                if x.isascii():
+                    if x.isalpha():  # one pre-token
+                        out[x] = array(code, [t.id for t in tokenize(_BYTE_LETTERS[32] + x)]).tobytes()
+                    else:
+                        latin.append(x)
+                elif max(x) < _LATIN_END:
+                    latin.append(x)
+        if latin:
+            cut = [_PRETOKEN.findall(" " + x) for x in latin]
+            if len(self.pieces) > self.limits[2]:
+                self.pieces = {}
+            pieces = self.pieces
+            for x in {y for tokens in cut for y in tokens}.difference(pieces):
+                pieces[x] = array(code, [t.id for t in tokenize(x.encode().decode("latin1").translate(_BYTE_LETTERS))]).tobytes()
+            out.update((x, b"".join(map(pieces.__getitem__, tokens))) for x, tokens in zip(latin, cut))
+            for x in [y for y in latin if len(y) > _LONGEST_KEPT]:
+                for y in _PRETOKEN.findall(" " + x):
+                    pieces.pop(y, None)
+        others = [x for x in parts if x not in out]
+        for at in range(0, len(others), 10_000):
+            block = others[at : at + 10_000]
+            out.update(zip(block, self._ids([" " + x for x in block])))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [_CUT.split(x) if _INNER_SPACE.search(x) else x.split(" ") for x in texts]
         heads = self._ids([x[0] for x in parts])
         met: set[str] = set()
         for x in parts:
             met.update(x[1:])
-        new = [x for x in met if x not in self.spaced]
-        if len(self.spaced) + len(new) > self.kept:
-            self.spaced = {}
-            new = list(met)
-        local = self.spaced
-        for at in range(0, len(new), 10_000):
-            block = new[at : at + 10_000]
-            local.update(zip(block, self._ids([" " + x for x in block])))
+        known = met.intersection(self.old)
+        local = {x: self.old[x] for x in known}
+        met -= known
+        again = {x: self.young.pop(x) for x in met.intersection(self.young)}
+        local.update(again)
+        self.old.update(again)
+        new = list(met.difference(again))
+        local.update(self._spaced_ids(new))
         out = [b"".join([head, *map(local.__getitem__, x[1:])]) for head, x in zip(heads, parts)]
-        for x in new:
-            if len(x) > _LONGEST_KEPT:
-                del local[x]
+        if len(self.old) > self.limits[1]:
+            self.old = {}
+        if len(self.young) + len(new) > self.limits[0]:
+            self.young = {}
+        self.young.update((x, local[x]) for x in new if len(x) <= _LONGEST_KEPT)
         return out
 
     def as_uint32(self, ids: bytes) -> np.ndarray:
