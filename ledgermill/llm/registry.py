@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .packing import op3_packing
+from .pii import op1_pii
 from .quality import op9_quality_rules
 from .sharding import op6_sharding
 from .simhash import op5_simhash
@@ -11,6 +12,7 @@ from .topk import OP10_SQL, op10_topk
 from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op3_packing": op3_packing,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
