@@ -8,13 +8,14 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .names import comparable_name
 
 NEAR = 0.9
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     pairs = pd.DataFrame({"a": a, "b": b})
     known = {(x, y): SequenceMatcher(None, x, y).ratio() for x, y in pairs.dropna().drop_duplicates().itertuples(index=False)}

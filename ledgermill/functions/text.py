@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 
 def collapsed(text: Column) -> Column:
@@ -39,7 +40,7 @@ def unicode_findings(text: Column) -> Column:
     return F.array_compact(F.array(F.when(text.startswith("﻿"), F.lit("bom")), *found))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def is_nfc(text):
     """Whether a text is NFC-normalised; there is no built-in function for it."""
     from unicodedata import is_normalized

@@ -1,12 +1,37 @@
-"""Queries over the test tables, one per operator, with their SQL twins."""
+"""Queries over the test tables, one for each operator, with their SQL twins.
+
+Orders stand for filings and their lines for transactions; parts for asset texts; documents with labels
+for predictions and gold; conversations for ordered lines; events for messages and runs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import disclosure_lag, lookback, loose_date, stamp_date, us_date
+from ..functions.house_form import ASSET_CODES, asset_cell, looks_like_asset
+from ..functions.keys import bronze_key, bronze_meta_key, bronze_versioned_key, parsed_bronze_key, silver_key
+from ..functions.money import value_range
+from ..functions.names import clean_asset_name, comparable_name, scanned_filer, senate_filer
+from ..functions.similarity import similarity
+from ..functions.text import is_nfc, snake, unicode_findings
+from ..operators.collect import bronze_plan, capped, run_counters, split_known
+from ..operators.evaluate import exact_score, last_wins
+from ..operators.fallback import applied, needed_fields
+from ..operators.lines import islands, ordered_text, paired_by_order, renumbered
+from ..operators.quality_gate import gate, run_summary
+from ..operators.routing import extractor_of, filing_outcome, house_kind, senate_kind
+from ..operators.ticker import resolved, with_tickers
+from ..schemas import lookup
+from ..sinks import dead_letters
+from ..sources.messages import decoded_messages, queue_message
+from .house_digital import extract_house_digital
+from .senate import extract_senate
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -15,7 +40,496 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def query(sql: str | None = None):
+    """Registers a query under its name, with its SQL."""
+
+    def add(run):
+        QUERIES[run.__name__] = run
+        if sql:
+            ORACLES[run.__name__] = sql
+        return run
+
+    return add
+
+
+def as_text(key: str | Column) -> Column:
+    return (F.col(key) if isinstance(key, str) else key).cast("string")
+
+
+
+
+def amount_text() -> Column:
+    price = F.col("l_extendedprice")
+    return F.when(price <= 15000, "$1,001 - $15,000").when(price <= 50000, "$15,001 - $50,000").otherwise("Over $50,000")
+
+
+FILINGS_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, 'house' AS chamber, c_name AS filer_name, CAST(o_orderdate AS DATE) AS filing_date,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(1.0 AS DOUBLE) AS confidence,
+  'bronze/house/year=' || year(o_orderdate) || '/' || o_orderkey || '.pdf' AS bronze_key, 'house-digital-ptr' AS extractor
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+
+
+@query(FILINGS_SQL)
+def silver_filings(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    date = F.col("o_orderdate").cast("date")
+    return rows.select(
+        as_text("o_orderkey").alias("doc_id"), F.lit("house").alias("chamber"), F.col("c_name").alias("filer_name"), date.alias("filing_date"), F.year(date).alias("year"), F.lit(1.0).alias("confidence"),
+        bronze_key(F.lit("house"), F.year(date), as_text("o_orderkey"), F.lit("pdf")).alias("bronze_key"), F.lit("house-digital-ptr").alias("extractor"),
+    )
+
+
+TRANSACTIONS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS line_no,
+  CASE l_returnflag WHEN 'A' THEN 'joint' WHEN 'R' THEN 'spouse' ELSE 'self' END AS owner,
+  CASE l_linestatus WHEN 'F' THEN 'sale_full' ELSE 'purchase' END AS transaction_type,
+  CAST(l_shipdate AS DATE) AS transaction_date,
+  CAST(CASE WHEN l_extendedprice <= 15000 THEN 1001 WHEN l_extendedprice <= 50000 THEN 15001 ELSE 50001 END AS DOUBLE) AS value_min,
+  CAST(CASE WHEN l_extendedprice <= 15000 THEN 15000 WHEN l_extendedprice <= 50000 THEN 50000 END AS DOUBLE) AS value_max,
+  CAST(date_diff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)) AS INTEGER) AS disclosure_lag
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+@query(TRANSACTIONS_SQL)
+def silver_transactions(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    ranged = rows.withColumn("range", value_range(amount_text()))
+    traded = F.col("l_shipdate").cast("date")
+    return ranged.select(
+        as_text("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("line_no"), lookup({"A": "joint", "R": "spouse"}, F.col("l_returnflag"), F.lit("self")).alias("owner"),
+        F.when(F.col("l_linestatus") == "F", "sale_full").otherwise("purchase").alias("transaction_type"), traded.alias("transaction_date"),
+        F.col("range.min").alias("value_min"), F.col("range.max").alias("value_max"), disclosure_lag(F.col("o_orderdate").cast("date"), traded).alias("disclosure_lag"),
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with their filings, by bracket and owner."""
+    rows = silver_transactions(spark, sf_dir).join(silver_filings(spark, sf_dir).select("doc_id", "filer_name", "year"), "doc_id")
+    return rows.groupBy("value_min", "owner").agg(F.count("*").alias("n"), F.count_distinct("filer_name").alias("filers"), F.avg("disclosure_lag").alias("mean_lag"))
+
+
+@query(f"""SELECT value_min, owner, count(*) AS n, count(DISTINCT filer_name) AS filers, avg(disclosure_lag) AS mean_lag
+FROM ({TRANSACTIONS_SQL}) t JOIN ({FILINGS_SQL}) f USING (doc_id) GROUP BY ALL""")
+def brackets_by_owner(spark, sf_dir):
+    return flagship(spark, sf_dir)
+
+
+@query("""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, CASE l_linenumber % 5
+    WHEN 0 THEN '$1,' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') || ' -  $2,' || lpad(CAST(l_suppkey % 1000 AS VARCHAR), 3, '0')
+    WHEN 1 THEN 'Spouse/DC Over $' || l_partkey || ',000' WHEN 2 THEN '$' || l_partkey || '.50' WHEN 3 THEN '$9' ELSE 'None (or less than $1)' END AS amount FROM lineitem)
+SELECT amount, count(*) AS n,
+  CAST(CASE WHEN amount LIKE '$1,%' THEN replace(amount[2:6], ',', '') WHEN amount LIKE 'Spouse%' THEN CAST(CAST(replace(regexp_extract(amount, 'Over \\$([0-9,]+)$', 1), ',', '') AS BIGINT) + 1 AS VARCHAR)
+       WHEN amount LIKE '$%' THEN amount[2:] END AS DOUBLE) AS value_min,
+  CAST(CASE WHEN amount LIKE '$1,%' THEN replace(amount[-5:], ',', '') WHEN amount LIKE '$%' THEN amount[2:] END AS DOUBLE) AS value_max
+FROM t GROUP BY ALL""")
+def value_range_parse(spark, sf_dir):
+    pad = lambda c: F.lpad((F.col(c) % 1000).cast("string"), 3, "0")
+    kind = F.col("l_linenumber") % 5
+    amount = (
+        F.when(kind == 0, F.concat(F.lit("$1,"), pad("l_partkey"), F.lit(" -  $2,"), pad("l_suppkey"))).when(kind == 1, F.concat(F.lit("Spouse/DC Over $"), as_text("l_partkey"), F.lit(",000")))
+        .when(kind == 2, F.concat(F.lit("$"), as_text("l_partkey"), F.lit(".50"))).when(kind == 3, F.lit("$9")).otherwise(F.lit("None (or less than $1)"))
+    )
+    counted = table(spark, sf_dir, "lineitem").groupBy(amount.alias("amount")).agg(F.count("*").alias("n")).withColumn("r", value_range(F.col("amount")))
+    return counted.select("amount", "n", F.col("r.min").alias("value_min"), F.col("r.max").alias("value_max"))
+
+
+@query("""SELECT o_orderpriority, count(*) AS n, CAST(min(d) AS INTEGER) AS least, CAST(max(d) AS INTEGER) AS most, round(avg(d), 6) AS mean, count(*) FILTER (d > 45) AS late
+FROM (SELECT o_orderpriority, date_diff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)) AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY ALL""")
+def disclosure_lag_stats(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lagged = rows.select("o_orderpriority", disclosure_lag(F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")).alias("d"))
+    return lagged.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.min("d").alias("least"), F.max("d").alias("most"), F.round(F.avg("d"), 6).alias("mean"), F.count_if(F.col("d") > 45).alias("late"))
+
+
+@query("""WITH o AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN '20' WHEN 1 THEN '82' WHEN 2 THEN '91' ELSE '7' END || o_orderkey AS doc_id, CASE WHEN o_orderkey % 10 = 0 THEN 'senate' ELSE 'house' END AS chamber FROM orders)
+SELECT doc_id, chamber, CASE WHEN chamber = 'senate' THEN 'senate' WHEN doc_id LIKE '20%' THEN 'digital' WHEN doc_id LIKE '82%' OR doc_id LIKE '91%' THEN 'scanned' END AS extractor,
+  CASE WHEN doc_id LIKE '20%' THEN 'digital' WHEN doc_id LIKE '82%' OR doc_id LIKE '91%' THEN 'scanned' END AS kind FROM o""")
+def route_kind(spark, sf_dir):
+    key = F.col("o_orderkey")
+    prefix = F.when(key % 4 == 0, "20").when(key % 4 == 1, "82").when(key % 4 == 2, "91").otherwise("7")
+    named = table(spark, sf_dir, "orders").select(F.concat(prefix, as_text("o_orderkey")).alias("doc_id"), F.when(key % 10 == 0, "senate").otherwise("house").alias("chamber"))
+    return named.select("doc_id", "chamber", extractor_of(F.col("chamber"), F.col("doc_id")).alias("extractor"), house_kind(F.col("doc_id")).alias("kind"))
+
+
+def _entries(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.col("o_orderpriority").alias("kind"), F.col("o_orderkey").alias("index_row"))
+
+
+def _known(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("doc_id"))
+
+
+@query("SELECT o_orderkey AS doc_id, o_orderpriority AS kind, o_orderkey AS index_row FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def known_id_anti(spark, sf_dir):
+    return split_known(_entries(spark, sf_dir), _known(spark, sf_dir))[0]
+
+
+@query("SELECT o_orderkey AS doc_id, o_orderpriority AS kind, o_orderkey AS index_row FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def known_id_semi(spark, sf_dir):
+    return split_known(_entries(spark, sf_dir), _known(spark, sf_dir))[1]
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(text) AS sha256, CASE doc_id % 3 WHEN 0 THEN 'noop' WHEN 1 THEN 'versioned' ELSE 'write' END AS action,
+  'bronze/house/year=2026/' || doc_id || CASE WHEN doc_id % 3 = 1 THEN '.' || sha256(text)[1:8] ELSE '' END || '.pdf' AS bronze_key FROM documents""")
+def bronze_hash_gate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fetched = docs.select(as_text("doc_id").alias("doc_id"), F.lit(2026).alias("year"), F.encode("text", "UTF-8").alias("content"))
+    recorded = docs.where(F.col("doc_id") % 3 < 2).select(as_text("doc_id").alias("doc_id"), F.when(F.col("doc_id") % 3 == 0, F.sha2(F.encode("text", "UTF-8"), 256)).otherwise(F.lit("0" * 64)).alias("sha256"))
+    return bronze_plan(fetched, recorded, "house", "pdf").select("doc_id", "sha256", "action", "bronze_key")
+
+
+@query("""WITH k AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'bronze/' || CASE WHEN doc_id % 2 = 0 THEN 'house' ELSE 'senate' END || '/year=' || (2015 + doc_id % 10) || '/' || doc_id AS stem,
+  CASE WHEN doc_id % 2 = 0 THEN 'house' ELSE 'senate' END AS chamber, CAST(2015 + doc_id % 10 AS INTEGER) AS year, sha256(text)[1:8] AS h FROM documents)
+SELECT stem || '.pdf' AS key, stem || '.pdf.meta.json' AS meta_key, stem || '.' || h || '.pdf' AS versioned_key, 'silver/filings/chamber=' || chamber || '/year=' || year || '/part-' || doc_id || '.parquet' AS silver,
+  chamber, year, doc_id, doc_id AS versioned_doc_id, doc_id AS meta_doc_id, true AS bad_is_null FROM k""")
+def key_roundtrip(spark, sf_dir):
+    parts = F.when(F.col("doc_id") % 2 == 0, "house").otherwise("senate"), (F.lit(2015) + F.col("doc_id") % 10).cast("int"), as_text("doc_id")
+    keys = table(spark, sf_dir, "documents").select(
+        bronze_key(*parts, F.lit("pdf")).alias("key"), bronze_versioned_key(*parts, F.sha2(F.encode("text", "UTF-8"), 256), F.lit("pdf")).alias("versioned_key"), silver_key(F.lit("filings"), *parts).alias("silver")
+    ).withColumn("meta_key", bronze_meta_key(F.col("key")))
+    read = lambda c: parsed_bronze_key(F.col(c))
+    return keys.withColumn("p", read("key")).select("key", "meta_key", "versioned_key", "silver", "p.chamber", "p.year", "p.doc_id", read("versioned_key")["doc_id"].alias("versioned_doc_id"), read("meta_key")["doc_id"].alias("meta_doc_id"), read("silver").isNull().alias("bad_is_null"))
+
+
+def _asset_text() -> Column:
+    key = F.col("p_partkey")
+    owner = F.when(key % 4 == 0, "SP ").when(key % 4 == 1, "JT ").when(key % 4 == 2, "DC ").otherwise("")
+    codes = [*ASSET_CODES, "XY"]
+    code = F.get(F.array(*map(F.lit, codes)), (key % len(codes)).cast("int"))
+    symbol = F.concat(F.lit(" ("), F.substring("p_name", 1, 3), F.lit(")"))
+    return F.concat(owner, F.col("p_name"), F.when(key % 7 == 0, "").otherwise(symbol), F.when(key % 11 == 0, "").otherwise(F.concat(F.lit(" ["), code, F.lit("]"))))
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_name, ['stock','etf','mutual_fund','bond','bond','option','cryptocurrency','real_estate','other'] AS kinds, ['ST','EF','MF','GS','CS','OP','CT','RP','XY'] AS codes FROM part)
+SELECT k AS p_partkey, CASE k % 4 WHEN 0 THEN 'SP' WHEN 1 THEN 'JT' WHEN 2 THEN 'DC' ELSE '' END AS owner_raw, CASE k % 4 WHEN 0 THEN 'spouse' WHEN 1 THEN 'joint' WHEN 2 THEN 'dependent_child' ELSE 'self' END AS owner,
+  p_name || CASE WHEN k % 7 = 0 THEN '' ELSE ' (' || p_name[1:3] || ')' END || CASE WHEN k % 11 = 0 THEN '' ELSE ' [' || codes[k % 9 + 1] || ']' END AS description,
+  CASE WHEN k % 11 = 0 THEN 'other' ELSE kinds[k % 9 + 1] END AS asset_type, CAST(CASE WHEN k % 11 = 0 THEN 0 ELSE 1 END AS DOUBLE) AS type_confidence,
+  CASE WHEN k % 11 <> 0 AND k % 7 <> 0 AND k % 9 < 2 THEN upper(p_name[1:3]) END AS ticker FROM p""")
+def asset_cells(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", asset_cell(_asset_text()).alias("c")).select("p_partkey", "c.owner_raw", "c.owner", "c.description", "c.asset_type", "c.type_confidence", "c.ticker")
+
+
+@query("""SELECT 'part' AS source, p_partkey AS id, p_name AS cleaned, replace(p_name, 'the ', '') AS comparable, p_name AS filer FROM part
+UNION ALL SELECT 'supplier', s_suppkey, s_name || ' Inc.', lower(replace(s_name, '#', ' ')), s_name FROM supplier""")
+def clean_and_normalize_name(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.lit("part").alias("source"), F.col("p_partkey").alias("id"), F.concat("p_name", F.lit(" - (ABC) [ST]")).alias("raw"), F.col("p_name").alias("name"))
+    supplier = table(spark, sf_dir, "supplier").select(F.lit("supplier"), F.col("s_suppkey"), F.concat("s_name", F.lit(" Inc. (Class A)")), F.col("s_name"))
+    return part.union(supplier).select("source", "id", clean_asset_name(F.col("raw")).alias("cleaned"), comparable_name(clean_asset_name(F.col("raw"))).alias("comparable"), senate_filer(F.concat(F.lit("Mr. "), F.col("name"), F.lit(" (Former)"))).alias("filer"))
+
+
+@query("""SELECT event_type || ' / X' AS raw, event_type || '_x' AS normal, CASE WHEN event_type IN ('view', 'click') THEN 'ptr' END AS kind, count(*) AS n FROM events GROUP BY ALL""")
+def enum_normalize(spark, sf_dir):
+    raw = F.concat(F.col("event_type"), F.lit(" / X"))
+    kind = senate_kind(F.when(F.col("event_type").isin("view", "click"), " PTR ").otherwise(F.col("event_type")))
+    return table(spark, sf_dir, "events").groupBy(raw.alias("raw"), snake(raw).alias("normal"), kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH l AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM l)
+SELECT user_id, island, count(*) AS n, min(event_id) AS first_event, max(ts) AS ended FROM s GROUP BY ALL""")
+def gap_islands(spark, sf_dir):
+    order = [F.col("ts"), F.col("event_id")]
+    gap = F.col("ts") - F.lag("ts").over(Window.partitionBy("user_id").orderBy(*order)) > F.expr("INTERVAL '6' HOUR")
+    found = islands(table(spark, sf_dir, "events"), ["user_id"], order, gap)
+    return found.groupBy("user_id", "island").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.max("ts").alias("ended"))
+
+
+@query("SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS text FROM conversations GROUP BY conv_id")
+def ordered_line_concat(spark, sf_dir):
+    return ordered_text(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text")
+
+
+@query("""SELECT event_id, user_id, last_value(CASE WHEN event_type IN ('signup', 'error') THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS label FROM events""")
+def label_carry_forward(spark, sf_dir):
+    frame = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", F.last(F.when(F.col("event_type").isin("signup", "error"), F.col("event_type")), True).over(frame).alias("label"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS INTEGER) AS line_no
+FROM lineitem WHERE l_returnflag <> 'N'""")
+def row_renumber(spark, sf_dir):
+    kept = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") != "N")
+    return renumbered(kept, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "line_no")
+
+
+@query("""WITH n AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS nth FROM events)
+SELECT a.user_id, CAST(a.nth AS INTEGER) AS nth, a.event_id AS click, b.event_id AS purchase FROM n a LEFT JOIN n b ON a.user_id = b.user_id AND a.nth = b.nth AND b.event_type = 'purchase' WHERE a.event_type = 'click'""")
+def order_pairing(spark, sf_dir):
+    def side(kind: str) -> DataFrame:
+        return renumbered(table(spark, sf_dir, "events").where(F.col("event_type") == kind), ["user_id"], ["ts", "event_id"], "nth").select("user_id", "nth", F.col("event_id").alias(kind))
+
+    return paired_by_order(side("click"), side("purchase"), ["user_id"])
+
+
+GOLD_SQL = """SELECT doc_id, coalesce(lang, 'none') AS kind, CAST(CASE WHEN d.doc_id IS NULL OR l.doc_id IS NULL THEN 0 WHEN quality IS NOT DISTINCT FROM CAST(n_chars > 300 AS INTEGER) THEN 1 ELSE 0 END AS DOUBLE) AS score
+FROM (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 5 <> 0) d FULL OUTER JOIN labels l USING (doc_id)"""
+
+
+@query(GOLD_SQL)
+def gold_outer_score(spark, sf_dir):
+    """Predictions (text length) against gold (quality), full outer; a side that is missing scores 0."""
+    predicted = table(spark, sf_dir, "documents").where(F.col("doc_id") % 5 != 0).select("doc_id", "lang", (F.col("n_chars") > 300).cast("int").alias("predicted"))
+    gold = last_wins(table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("toxic").alias("position")), ["doc_id"], "position")
+    both = predicted.join(gold, "doc_id", "full_outer")
+    here = F.col("predicted").isNotNull() & F.col("position").isNotNull()
+    return both.select("doc_id", F.coalesce("lang", F.lit("none")).alias("kind"), F.when(here, exact_score(F.col("quality"), F.col("predicted"))).otherwise(0.0).alias("score"))
+
+
+@query(f"SELECT coalesce(kind, 'overall') AS kind, round(avg(score), 6) AS score, count(*) AS n FROM ({GOLD_SQL}) GROUP BY ROLLUP (kind)")
+def macro_average_by_kind(spark, sf_dir):
+    rolled = gold_outer_score(spark, sf_dir).rollup("kind").agg(F.round(F.avg("score"), 6).alias("score"), F.count("*").alias("n"))
+    return rolled.withColumn("kind", F.coalesce("kind", F.lit("overall")))
+
+
+RUNS_SQL = "SELECT doc_id, 1 AS run, quality AS v FROM labels UNION ALL SELECT doc_id, 2, toxic FROM labels UNION ALL SELECT doc_id, 3, CAST(doc_id % 2 AS INTEGER) FROM labels"
+
+
+@query(f"WITH r AS ({RUNS_SQL}) SELECT a.run AS first, b.run AS second, round(avg(CAST(a.v = b.v AS INTEGER)), 6) AS agreement, count(*) AS n FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.run < b.run GROUP BY ALL")
+def run_pair_consistency(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    runs = reduce(DataFrame.union, [labels.select("doc_id", F.lit(i).alias("run"), v.cast("int").alias("v")) for i, v in enumerate((F.col("quality"), F.col("toxic"), F.col("doc_id") % 2), 1)])
+    a, b = runs.alias("a"), runs.alias("b")
+    pairs = a.join(b, (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.run") < F.col("b.run")))
+    return pairs.groupBy(F.col("a.run").alias("first"), F.col("b.run").alias("second")).agg(F.round(F.avg(exact_score(F.col("a.v"), F.col("b.v"))), 6).alias("agreement"), F.count("*").alias("n"))
+
+
+@query("SELECT p_type AS field, round(avg(p_size), 6) AS score FROM part GROUP BY p_type ORDER BY round(avg(p_size), 6), p_type LIMIT 3")
+def weakest_fields(spark, sf_dir):
+    return table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("field")).agg(F.round(F.avg("p_size"), 6).alias("score")).orderBy("score", "field").limit(3)
+
+
+@query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (event_type = 'error' AND value > 60) AS v FROM events GROUP BY 1),
+p AS (SELECT *, lag(n) OVER (ORDER BY day) AS prior FROM d),
+f AS (SELECT day, n AS row_count, list_filter([CASE WHEN prior > 0 AND (prior - n) / prior > 0.1 THEN 'volume_regression' END, CASE WHEN v > 0 THEN 'incomplete' END,
+  CASE WHEN n <> (n // 2) * 2 THEN 'row_count_divergence' END], lambda x: x IS NOT NULL) AS fails FROM p)
+SELECT day, row_count, array_to_string(fails, ',') AS failures, len(fails) = 0 AS passed FROM f""")
+def quality_gate_daily(spark, sf_dir):
+    value = F.when(~((F.col("event_type") == "error") & (F.col("value") > 60)), F.col("value"))
+    days = table(spark, sf_dir, "events").withColumn("value", value).groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("row_count"), F.create_map(F.lit("value"), F.count_if(F.col("value").isNull())).alias("null_counts"))
+    # One row a day: the window over all days is short.
+    known = days.withColumns({"announced_count": F.floor(F.col("row_count") / 2) * 2, "prior_count": F.lag("row_count").over(Window.orderBy("day"))})
+    checked = gate(known, threshold=0.1)
+    return checked.select("day", "row_count", F.array_join(F.transform("failures", lambda x: x["reason"]), ",").alias("failures"), "passed")
+
+
+@query("SELECT count(*) AS row_count, count(*) - count(l_partkey) AS null_partkey, count(*) - count(CASE WHEN l_discount > 0 THEN l_discount END) AS null_discount FROM lineitem")
+def run_summary_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").withColumn("l_discount", F.when(F.col("l_discount") > 0, F.col("l_discount")))
+    summary = run_summary(rows, ("l_partkey", "l_discount"))
+    return summary.select("row_count", F.col("null_counts")["l_partkey"].alias("null_partkey"), F.col("null_counts")["l_discount"].alias("null_discount"))
+
+
+@query("SELECT CASE event_type WHEN 'purchase' THEN 'written' WHEN 'error' THEN 'failed' ELSE 'skipped' END AS action, count(*) AS n FROM events GROUP BY 1")
+def run_action_counts(spark, sf_dir):
+    return run_counters(table(spark, sf_dir, "events").select(lookup({"purchase": "written", "error": "failed"}, F.col("event_type"), F.lit("skipped")).alias("action")))
+
+
+def _ticker_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    part = table(spark, sf_dir, "part")
+    lines = part.select(as_text("p_partkey").alias("doc_id"), F.lit(1).alias("line_no"), F.when(F.col("p_partkey") % 3 == 0, "bond").otherwise("stock").alias("asset_type"), F.concat("p_name", F.lit(" [ST]")).alias("asset_description"), F.lit(None).cast("string").alias("ticker"))
+    names = part.groupBy("p_name").agg(F.min("p_partkey").alias("k"))
+    ranks = names.select(F.col("p_name").alias("query"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"), "k")
+    # Every second name's top candidate has its name; the others are confirmed by the listing if k is divisible by 5.
+    candidates = ranks.select("query", "rank", F.concat(F.lit("T"), as_text("k"), F.when(F.col("rank") == 0, "A").otherwise("B")).alias("ticker"), F.when((F.col("rank") == 0) & (F.col("k") % 2 == 0), F.concat("query", F.lit(" Inc"))).otherwise(F.lit("elsewhere")).alias("name"))
+    companies = names.where(F.col("k") % 5 == 0).select(F.col("k").alias("position"), F.concat(F.lit("T"), as_text("k"), F.lit("B")).alias("ticker"), F.concat(F.lit("The "), F.col("p_name"), F.lit(" Corp.")).alias("title"))
+    return lines, candidates, companies
+
+
+@query("""WITH n AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY 1)
+SELECT p_name AS query, CASE WHEN k % 2 = 0 THEN 'T' || k || 'A' ELSE 'T' || k || 'B' END AS ticker, CASE WHEN k % 2 = 0 THEN 'search' ELSE 'listing' END AS ticker_source
+FROM n WHERE (k % 2 = 0 OR k % 5 = 0) AND p_name IN (SELECT p_name FROM part WHERE p_partkey % 3 <> 0)""")
+def ticker_cascade(spark, sf_dir):
+    lines, candidates, companies = _ticker_tables(spark, sf_dir)
+    queries = lines.where(F.col("asset_type") == "stock").select(clean_asset_name(F.col("asset_description")).alias("query")).distinct()
+    return resolved(queries, candidates, companies, near=False)
+
+
+@query("""WITH n AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY 1)
+SELECT CAST(p_partkey AS VARCHAR) AS doc_id, CASE WHEN p_partkey % 3 <> 0 THEN CASE WHEN k % 2 = 0 THEN 'T' || k || 'A' WHEN k % 5 = 0 THEN 'T' || k || 'B' END END AS ticker FROM part JOIN n USING (p_name)""")
+def ticker_cascade_near(spark, sf_dir):
+    """The cascade with near-exact names, on every line; the names of this table are equal or far apart, so SQL can tell."""
+    lines, candidates, companies = _ticker_tables(spark, sf_dir)
+    return with_tickers(lines, lambda queries: candidates.join(queries, "query", "left_semi"), companies).select("doc_id", "ticker")
+
+
+@query()
+def similarity_score(spark, sf_dir):
+    """Similarity of every benchmark item to the first 200 characters of the documents whose hash puts them with it."""
+    items = table(spark, sf_dir, "benchmark")
+    docs = table(spark, sf_dir, "documents").where(F.col("text") != "").select("doc_id", F.substring("text", 1, 200).alias("head"), F.pmod(F.xxhash64("doc_id"), F.lit(50)).cast("long").alias("item_id"))
+    return docs.join(items, "item_id").select("doc_id", "item_id", F.round(similarity(F.col("text"), F.col("head")), 6).alias("score"))
+
+
+@query("""SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h1, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS links FROM pages""")
+def html_heads(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"), F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("h1"), F.regexp_count("html", F.lit("<a href=")).alias("links"))
+
+
+
+
+def _fallback_rows(spark, sf_dir) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    n = F.col("l_linenumber")
+    return lines.select(
+        as_text("l_orderkey").alias("doc_id"), n.alias("line_no"), F.when(n % 2 != 0, as_text("l_partkey")).alias("asset_description"), F.when(n % 4 != 1, F.lit("joint")).otherwise("self").alias("owner"), F.col("l_extendedprice").alias("value_min"),
+        F.lit(None).cast("double").alias("value_max"), F.create_map(F.lit("owner"), F.when(n % 3 == 0, 0.0).otherwise(1.0)).alias("field_confidence"), F.lit(1.0).alias("confidence"), F.lit("x").alias("extractor"),
+    )
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS line_no, concat_ws(',', CASE WHEN l_linenumber % 2 = 0 THEN 'asset_description' END, CASE WHEN l_linenumber % 3 = 0 THEN 'owner' END) AS needed FROM lineitem""")
+def fallback_gate(spark, sf_dir):
+    rows = _fallback_rows(spark, sf_dir)
+    return rows.select("doc_id", "line_no", F.array_join(needed_fields(["asset_description", "owner"]), ",").alias("needed"))
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS line_no, CASE WHEN l_linenumber % 2 = 0 THEN 'found ' || l_linenumber ELSE CAST(l_partkey AS VARCHAR) END AS asset_description,
+  CASE WHEN l_linenumber % 3 = 0 THEN 'spouse' WHEN l_linenumber % 4 <> 1 THEN 'joint' ELSE 'self' END AS owner, CAST(CASE WHEN l_linenumber % 2 = 0 OR l_linenumber % 3 = 0 THEN 0.5 ELSE 1 END AS DOUBLE) AS confidence,
+  CASE WHEN l_linenumber % 2 = 0 OR l_linenumber % 3 = 0 THEN 'x+llm-fallback' ELSE 'x' END AS extractor FROM lineitem""")
+def fallback_apply(spark, sf_dir):
+    fields = ["asset_description", "owner"]
+    answer = F.to_json(F.struct(F.concat(F.lit("found "), as_text("line_no")).alias("asset_description"), F.lit("spouse").alias("owner")))
+    rows = _fallback_rows(spark, sf_dir).withColumn("needed", needed_fields(fields)).withColumn("answer", answer)
+    return applied(rows, fields).select("doc_id", "line_no", "asset_description", "owner", "confidence", "extractor")
+
+
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE lang = 'en'),
+a AS (SELECT *, length(line) >= 6 AND length(regexp_replace(line, '[^\\p{L}]', '', 'g')) / length(line) >= 0.6
+  AND NOT regexp_matches(lower(line), 'example|ticker symbol|provide full|note number|footnote|filer note|publicly disclosed')
+  AND NOT list_has_any(regexp_extract_all(lower(line), '[a-z'']+'), ['was','not','aware','that','this','which','from','have','been','the','and','for','are','month']) AS ok FROM l)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (ok) AS n_assets FROM a GROUP BY 1""")
+def asset_text_filter(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if((F.length("line") > 0) & looks_like_asset(F.col("line"))).alias("n_assets"))
+
+
+@query("""WITH e AS (SELECT event_id, CASE event_type WHEN 'error' THEN 403 WHEN 'signup' THEN 500 ELSE 200 END AS status,
+  CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN ' ' WHEN event_type = 'error' AND event_id % 3 = 1 THEN 'Access Denied' WHEN event_type = 'view' THEN '<title>eFD: Print Periodic Transaction Report</title>' ELSE 'hello' END AS body FROM events)
+SELECT CASE WHEN status = 200 THEN CASE WHEN body LIKE '%eFD: Print%' THEN 'cleared' ELSE 'ambiguous' END WHEN status = 403 AND (trim(body) = '' OR body LIKE '%Access Denied%') THEN 'blocked_akamai' ELSE 'blocked_other' END AS outcome, count(*) AS n FROM e GROUP BY 1""")
+def response_classify(spark, sf_dir):
+    kind, turn = F.col("event_type"), F.col("event_id") % 3
+    status = F.when(kind == "error", 403).when(kind == "signup", 500).otherwise(200)
+    body = F.when((kind == "error") & (turn == 0), " ").when((kind == "error") & (turn == 1), "Access Denied").when(kind == "view", "<title>eFD: Print Periodic Transaction Report</title>").otherwise("hello")
+    return table(spark, sf_dir, "events").groupBy(filing_outcome(status, body).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CASE WHEN event_id % 4 < 3 THEN 'bronze/house/year=2026/' || event_id || CASE WHEN event_id % 4 = 2 THEN ' x' ELSE '' END || '.pdf' END AS bronze_key,
+  CASE WHEN event_id % 4 = 1 THEN 'm' || event_id END AS message_id, CASE WHEN event_id % 4 = 3 THEN CASE WHEN event_id % 8 = 3 THEN 'unrecognized_record' ELSE 'unrecognized_event' END END AS error FROM events""")
+def decode_messages(spark, sf_dir):
+    e = F.col("event_id")
+    key = F.concat(F.lit("bronze/house/year=2026/"), as_text("event_id"), F.lit(".pdf"))
+    record = lambda **x: F.to_json(F.struct(F.array(F.struct(*(v.alias(k) for k, v in x.items()))).alias("Records")))
+    stored = F.struct(F.struct(F.concat(F.lit("bronze/house/year%3D2026/"), as_text("event_id"), F.lit("+x.pdf")).alias("key")).alias("object"))
+    body = (
+        F.when(e % 4 == 0, queue_message(key)).when(e % 4 == 1, record(eventSource=F.lit("aws:sqs"), messageId=F.concat(F.lit("m"), as_text("event_id")), body=queue_message(key)))
+        .when(e % 4 == 2, record(eventSource=F.lit("aws:s3"), s3=stored)).when(e % 8 == 3, record(eventSource=F.lit("aws:sns"), body=F.lit("{}"))).otherwise(F.lit('{"hello":1}'))
+    )
+    return decoded_messages(table(spark, sf_dir, "events").select(body.alias("body")))
+
+
+@query("""SELECT 'house' AS chamber, CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderdate AS DATE) AS day FROM orders UNION ALL SELECT 'senate', CAST(l_orderkey AS VARCHAR), CAST(l_shipdate AS DATE) FROM lineitem WHERE l_linenumber = 1""")
+def union_chambers(spark, sf_dir):
+    house = table(spark, sf_dir, "orders").select(F.lit("house").alias("chamber"), as_text("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("day"))
+    senate = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1).select(F.to_date("l_shipdate").alias("day"), F.lit("senate").alias("chamber"), as_text("l_orderkey").alias("doc_id"))
+    return house.unionByName(senate)
+
+
+@query("SELECT o_orderkey AS doc_id, o_orderpriority AS kind, o_orderkey AS index_row FROM orders ORDER BY o_orderkey LIMIT 300")
+def top_n_capped(spark, sf_dir):
+    return capped(_entries(spark, sf_dir))
+
+
+@query("""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN text || chr(8203) WHEN 1 THEN text || chr(65533) WHEN 2 THEN chr(65279) || text ELSE text END AS t FROM documents)
+SELECT doc_id, concat_ws(',', CASE WHEN t LIKE chr(65279) || '%' THEN 'bom' END, CASE WHEN contains(t, chr(65533)) THEN 'replacement' END, CASE WHEN contains(t, chr(8203)) THEN 'zero_width_space' END) AS findings, nfc_normalize(t) = t AS nfc FROM t""")
+def unicode_lint(spark, sf_dir):
+    n = F.col("doc_id") % 4
+    text = F.when(n == 0, F.concat("text", F.lit("​"))).when(n == 1, F.concat("text", F.lit("�"))).when(n == 2, F.concat(F.lit("﻿"), F.col("text"))).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("t"))
+    return docs.select("doc_id", F.array_join(unicode_findings(F.col("t")), ",").alias("findings"), is_nfc(F.col("t")).alias("nfc"))
+
+
+@query("""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS strict, CAST(o_orderdate AS DATE) AS loose, CAST(o_orderdate AS DATE) + INTERVAL 0 DAY = CAST(o_orderdate AS DATE) AS same,
+  make_date(2000 + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate)) AS stamp, strftime(CAST(o_orderdate AS DATE) - INTERVAL 7 DAY, '%m/%d/%Y') AS since, CAST(NULL AS DATE) AS bad FROM orders""")
+def form_dates(spark, sf_dir):
+    date = F.to_date("o_orderdate")
+    printed = F.date_format(date, "M/d/yyyy")
+    stamp = F.concat(F.date_format(date, "yyyy"), F.lit(" "), F.upper(F.date_format(date, "MMM")), F.lit(" "), F.date_format(date, "d"), F.lit(" PH 5:39"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", us_date(printed).alias("strict"), loose_date(printed).alias("loose"), (us_date(printed) == date).alias("same"), stamp_date(stamp).alias("stamp"), lookback(date)["start"].alias("since"), us_date(F.concat(F.lit("13/45/"), F.date_format(date, "yyyy"))).alias("bad")
+    )
+
+
+@query("""SELECT c_custkey, replace(c_name, '#', '') IS NOT NULL AS has, 'Customer' AS filer FROM customer""")
+def scanned_names(spark, sf_dir):
+    text = F.concat(F.lit("NAME: "), F.regexp_replace("c_name", "#", " OFFICE TELEPHONE "))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").isNotNull().alias("has"), scanned_filer(text).alias("filer"))
+
+
+@query("""WITH f AS (SELECT CAST(user_id AS VARCHAR) AS doc_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1)
+SELECT doc_id, n + CASE WHEN CAST(doc_id AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END AS attempts, 'error' AS reason, n + CASE WHEN CAST(doc_id AS BIGINT) % 2 = 0 THEN 1 ELSE 0 END >= 3 AS dead FROM f""")
+def dead_letter_counts(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    prior = events.where(F.col("user_id") % 2 == 0).select(as_text("user_id").alias("doc_id"), F.lit(1).alias("attempts")).distinct()
+    return dead_letters(events.where(F.col("event_type") == "error").select(as_text("user_id").alias("doc_id"), F.col("event_type").alias("reason")), prior)
+
+
+
+
+def _some_lines(spark, sf_dir) -> DataFrame:
+    """Lines with the head of their order, numbered."""
+    lines = renumbered(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"])
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+EXTRACTED_SQL = """WITH l AS (SELECT row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS nth, * FROM lineitem)
+SELECT {doc_id} AS doc_id, CAST(nth AS INTEGER) AS line_no, CASE l_returnflag WHEN 'A' THEN 'joint' WHEN 'R' THEN 'spouse' ELSE 'self' END AS owner, CASE l_linestatus WHEN 'F' THEN 'sale_full' ELSE 'purchase' END AS transaction_type,
+  {asset} AS asset_description, CAST(l_shipdate AS DATE) AS transaction_date,
+  CAST(CASE WHEN l_extendedprice <= 15000 THEN 1001 WHEN l_extendedprice <= 50000 THEN 15001 ELSE 50001 END AS DOUBLE) AS value_min,
+  CAST(CASE WHEN l_extendedprice <= 15000 THEN 15000 WHEN l_extendedprice <= 50000 THEN 50000 END AS DOUBLE) AS value_max, 'T' || l_suppkey AS ticker, {text} AS description,
+  CAST(date_diff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)) AS INTEGER) AS disclosure_lag
+FROM l JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+EXTRACTED = ("doc_id", "line_no", "owner", "transaction_type", "asset_description", "transaction_date", "value_min", "value_max", "ticker", "description", "disclosure_lag")
+
+
+@query(EXTRACTED_SQL.format(doc_id="CAST(l_orderkey AS VARCHAR)", asset="'Part & Co ' || l_partkey", text="CASE WHEN nth % 2 = 0 THEN 'Option Type: Call' END"))
+def senate_pages(spark, sf_dir):
+    """Orders rendered as filing pages and read back through the HTML extractor."""
+    lines = _some_lines(spark, sf_dir)
+    owner = lookup({"A": "Joint", "R": "Spouse"}, F.col("l_returnflag"), F.lit("Self"))
+    kind = F.when(F.col("l_linestatus") == "F", "Sale (Full)").otherwise("Purchase")
+    asset = F.concat(F.lit("Part &amp; Co "), as_text("l_partkey"), F.when(F.col("line_no") % 2 == 0, '<div class="text-muted">Option  Type: <em>Call</em></div>').otherwise(""))
+    cells = [as_text("line_no"), F.date_format("l_shipdate", "MM/dd/yyyy"), owner, F.concat(F.lit("<a>t"), as_text("l_suppkey"), F.lit("</a>")), asset, F.lit("Stock"), kind, amount_text(), F.lit("--")]
+    row = F.concat(F.lit("<tr>"), *(F.concat(F.lit("<td> "), x, F.lit("\n</td>")) for x in cells), F.lit("</tr>"))
+    pages = lines.groupBy("l_orderkey", "c_name", "o_orderdate").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", row.alias("row")))), lambda x: x["row"]), "\n").alias("rows"))
+    html = F.concat(F.lit('<html><h2 class="filedReport">Mr. '), F.col("c_name"), F.lit(' (x)</h2><p class="muted">Filed '), F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit(' @ 1:00</p><table class="table table-striped"><thead><tr><th>#</th></tr></thead><tbody>'), F.col("rows"), F.lit("</tbody></table></html>"))
+    doc = as_text("l_orderkey")
+    documents = pages.select(doc.alias("doc_id"), bronze_key(F.lit("senate"), F.year("o_orderdate"), doc, F.lit("html")).alias("bronze_key"), F.encode(html, "UTF-8").alias("content"))
+    return extract_senate(documents)[1].select(*EXTRACTED)
+
+
+@query(EXTRACTED_SQL.format(doc_id="'20' || l_orderkey", asset="'Part ' || l_partkey || ' Common Stock (t' || l_suppkey || ') [ST]'", text="CASE WHEN nth % 2 = 0 THEN 'sold in ' || l_partkey || ' lots' END"))
+def house_chunks(spark, sf_dir):
+    """Orders laid out as positioned chunks of form pages, 12 rows a page, and read back through the digital extractor."""
+    lines = _some_lines(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("20"), as_text("l_orderkey")))
+    page = F.floor((F.col("line_no") - 1) / 12).cast("int") + 1
+    top = 700.0 - ((F.col("line_no") - 1) % 12) * 58.0
+    owner = lookup({"A": "JT ", "R": "SP "}, F.col("l_returnflag"), F.lit(""))
+    kind = F.when(F.col("l_linestatus") == "F", "S").otherwise("P")
+    dates = F.concat_ws(" ", F.date_format("l_shipdate", "MM/dd/yyyy"), F.date_format("o_orderdate", "MM/dd/yyyy"))
+    split = F.regexp_extract(amount_text(), r"^(.* -) (.*)$", 2)
+    head = F.when(split != "", F.regexp_extract(amount_text(), r"^(.* -) (.*)$", 1)).otherwise(amount_text())
+    chunk = lambda seq, x, y, text: F.struct(F.lit(seq).alias("seq"), F.lit(x).alias("x"), y.alias("y"), text.alias("text"))
+    symbol = F.concat(F.lit("(t"), as_text("l_suppkey"), F.lit(") [ST]"), F.when(split != "", F.concat(F.lit("  "), split)).otherwise(""))
+    chunks = F.array_compact(F.array(
+        chunk(1, 20.0, top, F.concat(owner, F.lit("Part "), as_text("l_partkey"), F.lit(" Common  Stock"))), chunk(2, 200.0, top, F.concat_ws(" ", kind, dates)), chunk(3, 400.0, top, head), chunk(4, 20.0, top - 10.0, symbol),
+        chunk(5, 20.0, top - 20.0, F.lit("F\u0000\u0000\u0000\u0000\u0000 S\u0000\u0000\u0000\u0000\u0000: New")),
+        F.when(F.col("line_no") % 2 == 0, chunk(6, 20.0, top - 30.0, F.concat(F.lit("D\u0000\u0000\u0000\u0000\u0000\u0000\u0000\u0000\u0000\u0000: sold in "), as_text("l_partkey")))), F.when(F.col("line_no") % 2 == 0, chunk(7, 20.0, top - 31.0, F.lit("lots"))),
+    ))
+    rows = lines.select("doc_id", page.alias("page_no"), F.explode(chunks).alias("c")).select("doc_id", "page_no", "c.*")
+    pages = lines.select("doc_id", page.alias("page_no"), "c_name", "o_orderdate").distinct()
+    heads = pages.select("doc_id", "page_no", F.lit(0).alias("seq"), F.lit(20.0).alias("x"), F.lit(760.0).alias("y"), F.lit("$200?").alias("text"))
+    feet = pages.select("doc_id", "page_no", F.lit(99).alias("seq"), F.lit(20.0).alias("x"), F.lit(5.0).alias("y"), F.concat(F.lit("Filing ID #"), F.col("doc_id")).alias("text"))
+    drawn = rows.unionByName(heads).unionByName(feet).withColumn("font", F.lit("/F1"))
+    first = pages.where(F.col("page_no") == 1)
+    texts = first.select("doc_id", "page_no", F.concat(F.lit("Filing ID #"), F.col("doc_id"), F.lit("\nName: "), F.col("c_name"), F.lit("\nDigitally Signed: "), F.col("c_name"), F.lit(", "), F.date_format("o_orderdate", "MM/dd/yyyy")).alias("text"))
+    keys = first.select("doc_id", bronze_key(F.lit("house"), F.year("o_orderdate"), F.col("doc_id"), F.lit("pdf")).alias("bronze_key"))
+    return extract_house_digital(drawn, texts, keys)[1].select(*EXTRACTED)
