@@ -1,10 +1,10 @@
-"""Whole-text byte-level BPE through the tokenizers library, one call for each distinct word.
+"""Whole-text byte-level BPE through the tokenizers library, word by word.
 
 Byte-level pre-tokenisation always cuts before a space that stands before a non-space, so a text
-may be cut there and its parts encoded apart. Parts recur, so each worker keeps those it has met: new
-ones in a young store that is emptied when full, those met again in an old store. Both are bounded,
-and what they hold changes nothing but time. New parts of Latin script are cut further into pre-tokens,
-which go to the model of the tokenizer itself; all others go through the whole tokenizer.
+may be cut there and its parts (words here) encoded apart. Words recur, so each worker keeps those it
+has met: new ones in a young store that is emptied when full, those met again in an old store. Both are
+bounded, and what they hold changes nothing but time. New words of Latin script are cut further into
+pre-tokens, which go to the model of the tokenizer itself; all others go through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ def _byte_letters() -> list[str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_SPACE_LETTER = _BYTE_LETTERS[32]
 
 
 def _plain_byte_level(tokenizer) -> bool:
@@ -52,10 +53,34 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+class _Words(dict):
+    """Ids of words (with a space before them) met at least twice; asks ``find`` for others. A word met once waits in ``young``."""
+
+    def __init__(self, find, young: int, old: int) -> None:
+        super().__init__()
+        self.find, self.young, self.limits = find, {}, (young, old)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.young.pop(word, None)
+        if ids is None:
+            ids = self.find(word)
+            if len(word) <= _LONGEST_KEPT:
+                self.young[word] = ids
+        else:
+            self[word] = ids
+        return ids
+
+    def trim(self) -> None:
+        if len(self.young) > self.limits[0]:
+            self.young.clear()
+        if len(self) > self.limits[1]:
+            self.clear()
+
+
 class WordwiseEncoder:
     """encode(texts): the little-endian ids of each text as bytes, ``width`` bytes an id."""
 
-    def __init__(self, path: str, young: int = 250_000, old: int = 500_000, pieces: int = 400_000) -> None:
+    def __init__(self, path: str, young: int = 300_000, old: int = 500_000, pieces: int = 200_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -63,66 +88,39 @@ class WordwiseEncoder:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.limits = young, old, pieces
         self.model = self.tokenizer.model if _plain_byte_level(self.tokenizer) else None
-        self.pieces: dict[str, bytes] = {}
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.pieces = _Words(self._piece, pieces, pieces)
+        self.words = _Words(self._word if self.model is not None else self._whole, young, old)
+
+    def _whole(self, word: str) -> bytes:
+        return self._ids([" " + word])[0]
+
+    def _piece(self, piece: str) -> bytes:
+        mapped = piece.encode().decode("latin1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():  # one pre-token
+                return array(self.code, [t.id for t in self.model.tokenize(_SPACE_LETTER + word)]).tobytes()
+        elif max(word) >= _LATIN_END:
+            return self._whole(word)
+        return b"".join(map(self.pieces.__getitem__, _PRETOKEN.findall(" " + word)))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _spaced_ids(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of each part with a space before it."""
-        out: dict[str, bytes] = {}
-        latin: list[str] = []
-        if self.model is not None:
-            code, tokenize = self.code, self.model.tokenize
-            for x in parts:
-                if x.isascii():
-                    if x.isalpha():  # one pre-token
-                        out[x] = array(code, [t.id for t in tokenize(_BYTE_LETTERS[32] + x)]).tobytes()
-                    else:
-                        latin.append(x)
-                elif max(x) < _LATIN_END:
-                    latin.append(x)
-        if latin:
-            cut = [_PRETOKEN.findall(" " + x) for x in latin]
-            if len(self.pieces) > self.limits[2]:
-                self.pieces = {}
-            pieces = self.pieces
-            for x in {y for tokens in cut for y in tokens}.difference(pieces):
-                pieces[x] = array(code, [t.id for t in tokenize(x.encode().decode("latin1").translate(_BYTE_LETTERS))]).tobytes()
-            out.update((x, b"".join(map(pieces.__getitem__, tokens))) for x, tokens in zip(latin, cut))
-            for x in [y for y in latin if len(y) > _LONGEST_KEPT]:
-                for y in _PRETOKEN.findall(" " + x):
-                    pieces.pop(y, None)
-        others = [x for x in parts if x not in out]
-        for at in range(0, len(others), 10_000):
-            block = others[at : at + 10_000]
-            out.update(zip(block, self._ids([" " + x for x in block])))
-        return out
-
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [_CUT.split(x) if _INNER_SPACE.search(x) else x.split(" ") for x in texts]
         heads = self._ids([x[0] for x in parts])
-        met: set[str] = set()
-        for x in parts:
-            met.update(x[1:])
-        known = met.intersection(self.old)
-        local = {x: self.old[x] for x in known}
-        met -= known
-        again = {x: self.young.pop(x) for x in met.intersection(self.young)}
-        local.update(again)
-        self.old.update(again)
-        new = list(met.difference(again))
-        local.update(self._spaced_ids(new))
-        out = [b"".join([head, *map(local.__getitem__, x[1:])]) for head, x in zip(heads, parts)]
-        if len(self.old) > self.limits[1]:
-            self.old = {}
-        if len(self.young) + len(new) > self.limits[0]:
-            self.young = {}
-        self.young.update((x, local[x]) for x in new if len(x) <= _LONGEST_KEPT)
+        get, out = self.words.__getitem__, []
+        for head, x in zip(heads, parts):
+            x[0] = ""
+            found = map(get, x)
+            next(found)
+            out.append(head + b"".join(found))
+            self.words.trim()
+            self.pieces.trim()
         return out
 
     def as_uint32(self, ids: bytes) -> np.ndarray:
