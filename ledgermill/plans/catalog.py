@@ -27,8 +27,10 @@ from ..operators.quality_gate import gate, run_summary
 from ..operators.routing import extractor_of, filing_outcome, house_kind, senate_kind
 from ..operators.ticker import resolved, with_tickers
 from ..schemas import lookup
+from ..shared import fresh_path
 from ..sinks import dead_letters
 from ..sources.messages import decoded_messages, queue_message
+from ..streaming.ingest import run_available
 from .house_digital import extract_house_digital
 from .senate import extract_senate
 
@@ -533,3 +535,23 @@ def house_chunks(spark, sf_dir):
     texts = first.select("doc_id", "page_no", F.concat(F.lit("Filing ID #"), F.col("doc_id"), F.lit("\nName: "), F.col("c_name"), F.lit("\nDigitally Signed: "), F.col("c_name"), F.lit(", "), F.date_format("o_orderdate", "MM/dd/yyyy")).alias("text"))
     keys = first.select("doc_id", bronze_key(F.lit("house"), F.year("o_orderdate"), F.col("doc_id"), F.lit("pdf")).alias("bronze_key"))
     return extract_house_digital(drawn, texts, keys)[1].select(*EXTRACTED)
+
+
+@query("""SELECT CASE WHEN event_id % 3 = 2 THEN 'unrecognized_event' ELSE 'ok' END AS outcome, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1""")
+def stream_ingest(spark, sf_dir):
+    """Events as a stream of messages: each micro-batch is decoded and replaces its own output, then all output is read."""
+    path = f"{sf_dir}/events.parquet"
+    out = fresh_path(spark, "stream")
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        key = F.concat(F.lit("bronze/house/year=2026/"), as_text("event_id"), F.lit(".pdf"))
+        body = F.when(F.col("event_id") % 3 == 2, F.to_json(F.struct(F.col("event_id").alias("other")))).otherwise(queue_message(key))
+        decoded = decoded_messages(batch.select(body.alias("body")))
+        failed = batch.where(F.col("event_id") % 3 == 2).agg(F.min("event_id").alias("first_event")).select(F.lit("unrecognized_event").alias("outcome"), "first_event")
+        read = decoded.where(F.col("error").isNull()).agg(F.min(parsed_bronze_key(F.col("bronze_key"))["doc_id"].cast("long")).alias("first_event")).select(F.lit("ok").alias("outcome"), "first_event")
+        counts = decoded.groupBy(F.coalesce("error", F.lit("ok")).alias("outcome")).agg(F.count("*").alias("n"))
+        counts.join(failed.unionByName(read), "outcome").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    run_available(source, write, f"{out}-checkpoint")
+    return spark.read.parquet(out).groupBy("outcome").agg(F.sum("n").alias("n"), F.min("first_event").alias("first_event"))
