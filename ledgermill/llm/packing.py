@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .tokenise import blocks, default_vocabulary, encoder
+from .tokenise import blocks, columns_of, default_vocabulary, encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -160,12 +160,12 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
     def count(batches):
         encode = encoder(vocabulary)
         end = np.array([end_id], "<u4")
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
+        for ids, texts in columns_of(batches):
+            doc_ids = pa.array(ids, pa.int64())
             tokens, full, rest, powers = [], [], [], []
             for a, b in blocks(texts):
-                for ids in encode.encode(texts[a:b]):
-                    raw = np.concatenate([encode.as_uint32(ids), end]).tobytes()
+                for packed in encode.encode(texts[a:b]):
+                    raw = np.concatenate([encode.as_uint32(packed), end]).tobytes()
                     n = len(raw) // 4
                     tokens.append(n)
                     edge = n // window * window
@@ -178,7 +178,7 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
                             at += 1 << bit
                     powers.append(parts)
             many = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(full, many), pa.array(rest, pa.int64()), pa.array(powers, many)], names=["doc_id", "doc_tokens", "full", "rest", "powers"])
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(tokens, pa.int64()), pa.array(full, many), pa.array(rest, pa.int64()), pa.array(powers, many)], names=["doc_id", "doc_tokens", "full", "rest", "powers"])
 
     kept = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counted = kept.mapInArrow(count, "doc_id long, doc_tokens long, full array<long>, rest long, powers array<long>")

@@ -22,9 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise
+from ..shared import fresh_path
+from .common import materialise
 from .elias_fano import EliasFano
-from .tokenise import blocks, default_vocabulary, encoder
+from .tokenise import blocks, columns_of, default_vocabulary, encoder
 
 MAGIC = b"EFTOKEN1"
 END_ID = 0
@@ -113,7 +114,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
     vocabulary = vocabulary or default_vocabulary()
 
     def write(batches):
-        encode, writer, listed, number = encoder(vocabulary), None, [], 0
+        encode, writer, listed = encoder(vocabulary), None, []
         task = TaskContext.get()
         end = np.array([end_id], f"<u{encode.width}").tobytes()
 
@@ -121,8 +122,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
             writer.close()
             listed.append((writer.uri, task.partitionId(), len(listed), len(writer.ends), writer.total))
 
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for ids, texts in columns_of(batches):
             for a, b in blocks(texts):
                 for doc_id, tokens in zip(ids[a:b], encode.encode(texts[a:b])):
                     if writer is not None and (writer.total >= IDS_A_FILE or len(writer.ends) >= DOCS_A_FILE):

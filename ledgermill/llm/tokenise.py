@@ -80,7 +80,7 @@ class _Words(dict):
 class WordwiseEncoder:
     """encode(texts): the little-endian ids of each text as bytes, ``width`` bytes an id."""
 
-    def __init__(self, path: str, young: int = 300_000, old: int = 500_000, pieces: int = 200_000) -> None:
+    def __init__(self, path: str, young: int = 150_000, old: int = 250_000, pieces: int = 80_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -137,7 +137,7 @@ def encoder(path: str) -> WordwiseEncoder:
     return _encoders[path]
 
 
-def blocks(texts: list[str], limit: int = 4_000_000):
+def blocks(texts: list[str], limit: int = 1_000_000):
     """(from, to) of runs of texts with at most ``limit`` characters, or one longer text."""
     start = size = 0
     for i, x in enumerate(texts):
@@ -147,3 +147,11 @@ def blocks(texts: list[str], limit: int = 4_000_000):
         size += len(x)
     if start < len(texts):
         yield start, len(texts)
+
+
+def columns_of(batches, rows: int = 500):
+    """The first two columns as lists, a few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield part.column(0).to_pylist(), part.column(1).to_pylist()
