@@ -11,7 +11,7 @@ and backward scores, and only those parts are searched. Words recur, so workers
 bounded stores. A character without a piece becomes its UTF-8 byte pieces, at a score below every piece's.
 
 Defined cases: a null or empty text has no pieces, score 0 and one (empty) segmentation; equal scores
-go by the order of ids; repeated rows are segmented each; long texts are cut into words first; a
+come in an order that the text fixes; repeated rows are segmented each; long texts are cut into words first; a
 literal U+2581 decodes as a space, as in the library; an empty table gives no rows.
 """
 
@@ -100,18 +100,20 @@ class PieceLattice:
     def search(self, text: str) -> list[Alternative]:
         """(score, ids) of the N best segmentations, best first: backward A-star under forward Viterbi scores."""
         edges, forward = self.edges(text)
-        heap, out = [(-forward[-1], (), len(text), 0)], []
+        # (reach, place, count, ids as a chain, score so far): of equal reach the one nearest the start, so ties cost no breadth.
+        heap, out, count = [(-forward[-1], len(text), 0, None, 0)], [], 0
         while heap and len(out) < self.best:
-            # All of one score are popped before the next score, so ties are put in the order of ids.
-            reach, ties = heap[0][0], []
-            while heap and heap[0][0] == reach:
-                _, ids, at, done = heapq.heappop(heap)
-                if at == 0:
-                    ties.append(ids)
-                for a, s, own in edges[at]:
-                    heapq.heappush(heap, (-(forward[a] + s + done), own + ids, a, s + done))
-            out += [(-reach, x) for x in sorted(ties)]
-        return out[: self.best]
+            reach, at, _, chain, done = heapq.heappop(heap)
+            if at == 0:
+                ids: list[int] = []
+                while chain:
+                    ids.extend(chain[0])
+                    chain = chain[1]
+                out.append((-reach, tuple(ids)))
+            for a, s, own in edges[at]:
+                count += 1
+                heapq.heappush(heap, (-(forward[a] + s + done), a, count, (own, chain), s + done))
+        return out
 
     def first(self, text: str) -> tuple[tuple[int, ...], int, int | None]:
         """Ids and score of the best segmentation, and the loss of the second best (None without one)."""
@@ -125,7 +127,7 @@ class PieceLattice:
             for a, s, _ in edges[b]:
                 if rest + s > backward[a]:
                     backward[a] = rest + s
-        # Of paths of the best score, the one with the smallest ids; the second best has an edge off it.
+        # Where one path alone has the best score, the second best has an edge off it; else the search tells.
         rest, tied = -(1 << 60), 0
         for b in range(1, n + 1):
             for a, s, _ in edges[b]:
