@@ -542,7 +542,7 @@ def stream_ingest(spark, sf_dir):
     """Events as a stream of messages: each micro-batch is decoded and replaces its own output, then all output is read."""
     path = f"{sf_dir}/events.parquet"
     out = fresh_path(spark, "stream")
-    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    source = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(f"{path}*")  # a pattern: the path may be one file
 
     def write(batch: DataFrame, batch_id: int) -> None:
         key = F.concat(F.lit("bronze/house/year=2026/"), as_text("event_id"), F.lit(".pdf"))
