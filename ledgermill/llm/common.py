@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..shared import fresh_path
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
