@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .tokenise import WordStore
+
 MODEL = "piece_bpe_32k.model"
 BEST = 4
 SPACE = "▁"
@@ -64,9 +66,8 @@ class PieceLattice:
         self.bytes = [values.get(i, b"") for i in range(n)]
         for x, (i, _) in self.pieces.items():
             self.bytes[i] = x.encode()
-        self.limits = young, old
-        self.young: dict[str, tuple[bytes, int, int]] = {}
-        self.old: dict[str, tuple[bytes, int, int]] = {}
+        self.limit = old
+        self.words = WordStore(self.word, young, old)
         self.parts: dict[str, tuple[bytes, int, int]] = {}
 
     @staticmethod
@@ -122,20 +123,19 @@ class PieceLattice:
         if n == 1:
             return edges[1][0][2], best, None
         backward = [-(1 << 60)] * n + [0]
+        # Where one path alone has the best score, the second best has an edge off it; else the search tells.
+        second, tied = -(1 << 60), 0
         for b in range(n, 0, -1):
             rest = backward[b]
             for a, s, _ in edges[b]:
-                if rest + s > backward[a]:
-                    backward[a] = rest + s
-        # Where one path alone has the best score, the second best has an edge off it; else the search tells.
-        rest, tied = -(1 << 60), 0
-        for b in range(1, n + 1):
-            for a, s, _ in edges[b]:
-                through = forward[a] + s + backward[b]
+                onward = rest + s
+                if onward > backward[a]:
+                    backward[a] = onward
+                through = forward[a] + onward
                 if through == best:
                     tied += b - a
-                elif through > rest:
-                    rest = through
+                elif through > second:
+                    second = through
         if tied != n:
             found = self.search(text)
             return found[0][1], best, best - found[1][0]
@@ -144,7 +144,7 @@ class PieceLattice:
         while at:
             at, _, own = next(x for x in edges[at] if forward[x[0]] + x[1] == forward[at])
             ids.append(own)
-        return tuple(i for own in reversed(ids) for i in own), best, best - rest if rest > -(1 << 59) else None
+        return tuple(i for own in reversed(ids) for i in own), best, best - second if second > -(1 << 59) else None
 
     def cut(self, text: str) -> list[str]:
         """Parts of a word that no piece joins."""
@@ -186,37 +186,18 @@ class PieceLattice:
             out.append((loss, {i: b"".join(array("I", found[p][taken.get(p, 0)][1]).tobytes() for p, (j, _) in enumerate(cut) if j == i) for i in changed}))
         return out
 
-    def _words(self, words: list[str]) -> dict[str, tuple[bytes, int, int]]:
-        """word() of each distinct word, through the stores."""
-        met = set(words)
-        known = met.intersection(self.old)
-        local = {x: self.old[x] for x in known}
-        met -= known
-        again = {x: self.young.pop(x) for x in met.intersection(self.young)}
-        local.update(again)
-        self.old.update(again)
-        new = met.difference(again)
-        if len(self.parts) > self.limits[1]:
-            self.parts = {}
-        for x in new:
-            local[x] = self.word(x)
-        if len(self.old) > self.limits[1]:
-            self.old = {}
-        if len(self.young) + len(new) > self.limits[0]:
-            self.young = {}
-        self.young.update((x, local[x]) for x in new if len(x) <= 64)
-        return local
-
     def n_best(self, texts: list[str]) -> list[list[tuple[int, bytes]]]:
         """(score, little-endian unsigned 32-bit ids) of each text's N best segmentations."""
-        cut = [_WORD.findall(self.normalised(x)) for x in texts]
-        local = self._words([x for words in cut for x in words])
-        out = []
-        for words in cut:
+        get, out = self.words.__getitem__, []
+        for text in texts:
+            words = _WORD.findall(self.normalised(text))
+            self.words.trim()
+            if len(self.parts) > self.limit:
+                self.parts = {}
             if not words:
                 out.append([(0, b"")])
                 continue
-            ids, scores, losses = zip(*map(local.__getitem__, words))
+            ids, scores, losses = zip(*map(get, words))
             score, loss = sum(scores), np.array(losses)
             few = min(self.best - 1, len(words))
             # The few words of the least loss, the earlier ones of equal loss.

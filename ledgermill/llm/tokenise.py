@@ -53,22 +53,22 @@ def default_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-class _Words(dict):
-    """Ids of words (with a space before them) met at least twice; asks ``find`` for others. A word met once waits in ``young``."""
+class WordStore(dict):
+    """What ``find`` says of words met at least twice; asks it for others. A word met once waits in ``young``."""
 
     def __init__(self, find, young: int, old: int) -> None:
         super().__init__()
         self.find, self.young, self.limits = find, {}, (young, old)
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.young.pop(word, None)
-        if ids is None:
-            ids = self.find(word)
+    def __missing__(self, word: str):
+        found = self.young.pop(word, None)
+        if found is None:
+            found = self.find(word)
             if len(word) <= _LONGEST_KEPT:
-                self.young[word] = ids
+                self.young[word] = found
         else:
-            self[word] = ids
-        return ids
+            self[word] = found
+        return found
 
     def trim(self) -> None:
         if len(self.young) > self.limits[0]:
@@ -89,8 +89,8 @@ class WordwiseEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.model = self.tokenizer.model if _plain_byte_level(self.tokenizer) else None
-        self.pieces = _Words(self._piece, pieces, pieces)
-        self.words = _Words(self._word if self.model is not None else self._whole, young, old)
+        self.pieces = WordStore(self._piece, pieces, pieces)
+        self.words = WordStore(self._word if self.model is not None else self._whole, young, old)
 
     def _whole(self, word: str) -> bytes:
         return self._ids([" " + word])[0]
