@@ -66,9 +66,8 @@ class PieceLattice:
         self.bytes = [values.get(i, b"") for i in range(n)]
         for x, (i, _) in self.pieces.items():
             self.bytes[i] = x.encode()
-        self.limit = old
         self.words = WordStore(self.word, young, old)
-        self.parts: dict[str, tuple[bytes, int, int]] = {}
+        self.parts = WordStore(self._part, old, old)
 
     @staticmethod
     def normalised(text: str) -> str:
@@ -156,16 +155,15 @@ class PieceLattice:
         out.append(text[start:])
         return out
 
+    def _part(self, text: str) -> tuple[bytes, int, int]:
+        ids, score, loss = self.first(text)
+        return array("I", ids).tobytes(), score, NEVER if loss is None else loss
+
     def word(self, text: str) -> tuple[bytes, int, int]:
         """Packed best ids, score, and least loss of another segmentation."""
         ids, score, least = [], 0, NEVER
         for x in self.cut(text):
-            found = self.parts.get(x)
-            if found is None:
-                own, s, loss = self.first(x)
-                found = array("I", own).tobytes(), s, NEVER if loss is None else loss
-                if len(x) <= 32:
-                    self.parts[x] = found
+            found = self.parts[x]
             ids.append(found[0])
             score += found[1]
             least = min(least, found[2])
@@ -192,8 +190,7 @@ class PieceLattice:
         for text in texts:
             words = _WORD.findall(self.normalised(text))
             self.words.trim()
-            if len(self.parts) > self.limit:
-                self.parts = {}
+            self.parts.trim()
             if not words:
                 out.append([(0, b"")])
                 continue
