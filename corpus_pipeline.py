@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.common import materialise, table
+from ledgermill.llm.near_copies import keep_one
 from ledgermill.llm.packing import pack
 from ledgermill.llm.pii import redact
 from ledgermill.llm.quality import keep_good
-from ledgermill.llm.simhash import keep_one
 from ledgermill.llm.toxicity import keep_clean
 
 

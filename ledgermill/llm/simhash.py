@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .bk_tree import forest_links
 from .common import materialise
 from .components import components
+from .near_copies import keep_one  # noqa: F401
 
 RADIUS = 3
 SHINGLE = 3
@@ -160,15 +161,6 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return linked(marked).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; columns as they were."""
-    whole = with_fingerprints(docs, docs.columns, name="_fp").withColumn("_row", F.monotonically_increasing_id())
-    marked = materialise(whole, "marked-docs")
-    rows = marked.select("doc_id", F.col("_fp").alias("fp"), "_row")
-    first = linked(rows).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row"))
-    return marked.join(first, "_row", "left_semi").select(*docs.columns)
-
-
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
