@@ -43,3 +43,10 @@ def test_similar_and_keys():
     assert len(band_keys(shingles(""))) == 0 and len(set(band_keys(shingles("a b c d e f")).tolist())) == 32
     key = np.array([1])
     assert group_roots([a[:8], a[:0], np.arange(9, 18, dtype=np.uint64), a], [key, key, key, key]) == [0, 1, 2, 0]
+
+
+def test_null_and_repeated_ids_are_no_component(spark, docs):
+    """Unrelated texts without an id, or under one id, all stay; only real copies go."""
+    texts = ["one text without id", "another text without an id", "one text without id", "first under three", "second under three", "first under three"]
+    out = keep_one(docs(*texts, ids=[None, None, None, 3, 3, 3]))
+    assert sorted(x.text for x in out.collect()) == sorted(set(texts))
