@@ -4,8 +4,8 @@ The network is trained in numpy from labelled spans (by default a fixed, seeded
 with e-mail addresses, ip addresses, card and phone numbers in many written forms, and look-alikes that
 are none). A text is cut into overlapping windows; emissions of all windows are averaged place by place,
 weighted towards each window's middle, and one Viterbi pass over every stretch of touching windows gives
-spans that no window edge cuts. Every span must hold a digit or an @, so windows without either have no
-span by definition and are not run. Added spans must pass the checks of their kind and overlap no base
+spans that no window edge cuts. Every span must hold a digit, an @, (at) or [at], so windows without any
+of them have no span by definition and are not run. Added spans must pass the checks of their kind and overlap no base
 span; base spans stay as they are.
 
 Defined cases: a null text is empty and has no span; repeated rows are read each; a very long text is
@@ -35,6 +35,8 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+#: What an added span must hold; base spans hold a digit or an @.
+_ADDED_TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]", re.IGNORECASE)
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 
@@ -76,7 +78,9 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-_ADDED_EMAIL = re.compile(r"[^\W_][\w.%+-]*\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:\s?(?:\.|\(dot\)|\[dot\])\s?[\w-]+)+")
+_ADDED_EMAIL = re.compile(r"[^\W_][\w.%+-]*\s?(?:@|\(at\)|\[at\])\s?[\w-]+(?:\s?(?:\.|\(dot\)|\[dot\])\s?[\w-]+)+", re.IGNORECASE)
+#: The network knows (at) only; [at] is as long, so it is shown as (at) and all places stay.
+_SQUARE_AT = re.compile(r"\[at\]", re.IGNORECASE)
 
 
 def valid(kind: str, text: str) -> bool:
@@ -186,12 +190,11 @@ class Detector:
         self.weight = (LENGTH / 2 + 0.5 - away).astype(np.float32)
 
     def windows(self, text: str) -> list[int]:
-        """Starts of the windows that hold a digit or an @."""
+        """Starts of the windows that hold a digit, an @, (at) or [at], or a part of one."""
         last = max(0, -(-(len(text) - LENGTH) // STRIDE))
         found = set()
-        for x in _TRIGGER.finditer(text):
-            i = x.start() // STRIDE
-            found.update(k for k in (i - 1, i) if 0 <= k <= last)
+        for x in _ADDED_TRIGGER.finditer(text):
+            found.update(k for k in range(x.start() // STRIDE - 1, (x.end() - 1) // STRIDE + 1) if 0 <= k <= last)
         return [k * STRIDE for k in sorted(found)]
 
     def stretches(self, text: str):
@@ -208,6 +211,7 @@ class Detector:
     def raw_spans(self, texts: list[str]) -> list[list[Span]]:
         """Spans of the network alone, before any check."""
         out: list[list[Span]] = [[] for _ in texts]
+        texts = [_SQUARE_AT.sub("(at)", x) for x in texts]
         jobs = [(k, *x) for k, text in enumerate(texts) for x in self.stretches(text)]
         ask = [(j, start) for j, (_, _, _, run) in enumerate(jobs) for start in run]
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}

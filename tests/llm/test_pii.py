@@ -78,3 +78,13 @@ def test_redact(spark, docs):
     out = {x.doc_id: x for x in redact(frame).collect()}
     assert out[0].text == "x [EMAIL] y" and out[0].n_chars == 11 and out[1].text is None and out[2].text == "clean"
     assert redact(frame).columns == frame.columns and KINDS == ("email", "ip", "card", "phone")
+
+
+@pytest.mark.parametrize("at", ["(at)", "[at]", "(AT)", "[At]"])
+def test_address_without_digit_or_at_sign(at):
+    """Found wherever it stands to the windows, with no digit or @ in the whole text."""
+    detector, address = Detector(default_model()), f"jane {at} example.org"
+    texts = [f"{'plain words and more of them ' * 5}{'x' * k} write to {address} for the rest of the story" for k in range(0, 64, 3)]
+    found = [every for _, every in detector.spans(texts)]
+    assert all(spans == [("email", x.index(address), x.index(address) + len(address))] for x, spans in zip(texts, found))
+    assert detector.windows("no address (here) or [there] " * 9) == []
