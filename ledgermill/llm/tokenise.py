@@ -5,6 +5,8 @@ may be cut there and its parts (words here) encoded apart. Words recur, so each
 has met: new ones in a young store that is emptied when full, those met again in an old store. Both are
 bounded, and what they hold changes nothing but time. New words of Latin script are cut further into
 pre-tokens, which go to the model of the tokenizer itself; all others go through the whole tokenizer.
+Added tokens are looked for in the whole text before it is cut, so a text that holds the literal of one
+goes through the unchanged tokenizer in one piece.
 """
 
 from __future__ import annotations
@@ -78,14 +80,19 @@ class WordStore(dict):
 
 
 class WordwiseEncoder:
-    """encode(texts): the little-endian ids of each text as bytes, ``width`` bytes an id."""
+    """encode(texts): the little-endian ids of each text as bytes, ``width`` bytes an id.
 
-    def __init__(self, path: str, young: int = 150_000, old: int = 250_000, pieces: int = 80_000) -> None:
+    Literals of added tokens become their ids, as in the library, if ``added``; else they are text.
+    """
+
+    def __init__(self, path: str, young: int = 150_000, old: int = 250_000, pieces: int = 80_000, added: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        literals = [x.content for x in self.tokenizer.get_added_tokens_decoder().values() if x.content] if added else []
+        self.literal = re.compile("|".join(map(re.escape, literals))) if literals else None
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.model = self.tokenizer.model if _plain_byte_level(self.tokenizer) else None
@@ -111,6 +118,10 @@ class WordwiseEncoder:
         return [array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.literal is not None and (held := [i for i, x in enumerate(texts) if self.literal.search(x)]):
+            whole = dict(zip(held, self._ids([texts[i] for i in held])))
+            rest = iter(self.encode([x for i, x in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
         parts = [_CUT.split(x) if _INNER_SPACE.search(x) else x.split(" ") for x in texts]
         heads = self._ids([x[0] for x in parts])
         get, out = self.words.__getitem__, []
@@ -133,7 +144,7 @@ _encoders: dict[str, WordwiseEncoder] = {}
 def encoder(path: str) -> WordwiseEncoder:
     """One encoder for each worker process and vocabulary."""
     if path not in _encoders:
-        _encoders[path] = WordwiseEncoder(path)
+        _encoders[path] = WordwiseEncoder(path, added=True)
     return _encoders[path]
 
 

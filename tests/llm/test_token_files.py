@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgermill.llm.elias_fano import EliasFano
+from ledgermill.llm.packing import pack
 from ledgermill.llm.token_files import TokenFile, read_token_files, write_token_files
-from ledgermill.llm.tokenise import WordwiseEncoder, default_vocabulary
+from ledgermill.llm.tokenise import WordwiseEncoder, default_vocabulary, encoder
 from ledgermill.shared import fresh_path
 
 
@@ -54,3 +55,22 @@ def test_files(spark, docs):
     last = held[-1]
     assert last.all_doc_ids()[-1] == 9 and last.ids(len(last) - 1).tolist() == [*WHOLE.encode("a " * 5000).ids, 0]
     assert read_token_files(write_token_files(frame.where("false"), fresh_path(spark, "tokens"))).count() == 0
+
+
+PLAIN = Tokenizer.from_file(default_vocabulary())
+AS_USED = encoder(default_vocabulary())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(list(" \n'abE1é.-<|> 日") + ["  ", "<|endoftext|>", "'ll"]), max_size=20).map("".join), max_size=5))
+def test_operators_encode_as_the_unchanged_tokenizer(texts):
+    assert [AS_USED.as_uint32(x).tolist() for x in AS_USED.encode(texts)] == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_literal_of_an_added_token(spark, docs):
+    text = "one <|endoftext|> two"
+    assert AS_USED.as_uint32(AS_USED.encode([text])[0]).tolist() == [505, 220, 50256, 734]
+    ids = [np.array([*PLAIN.encode(x, add_special_tokens=False).ids, 0], "<u4") for x in (text, "three")]
+    rows = sorted(read_token_files(write_token_files(docs(text, "three"), fresh_path(spark, "tokens"))).collect(), key=lambda x: x.start)
+    assert [(x.start, x.n_tokens, x.ids_crc32) for x in rows] == [(0, len(ids[0]), zlib.crc32(ids[0].tobytes())), (len(ids[0]), len(ids[1]), zlib.crc32(ids[1].tobytes()))]
+    assert {x.doc_id: x.doc_tokens for x in pack(docs(text, "three")).collect()} == {0: len(ids[0]), 1: len(ids[1])}
