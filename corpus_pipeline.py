@@ -18,7 +18,7 @@ from ledgermill.llm.toxicity import keep_clean
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return keep_good(docs, table(spark, sf_dir, "labels"))
+    return keep_good(docs, table(spark, sf_dir, "labels"), whole=True)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
 """Quality rules: base counts of every text, then a hashed n-gram log-likelihood ratio.
 
-Built-in functions only. The n-grams are the last three characters of each word, hashed by XXH64
-into BUCKETS cells. Two multinomials with add-one smoothing are counted over all documents: the
-trusted target (documents labelled quality 1) and the raw corpus. A document's ratio is the mean
-over its words of log p_target - log p_raw; it is kept if it passes the base rules and the ratio is
-at least THRESHOLD. Every document gets a verdict.
+Built-in functions only. The n-grams of the query and of the pipeline are all words and all pairs of
+neighbouring words, whole, hashed by XXH64 into WHOLE_BUCKETS cells. (Without ``whole`` the functions
+take the last three characters of each word in BUCKETS cells and THRESHOLD instead.) Two multinomials with
+add-one smoothing are counted over all documents: the trusted target (documents labelled quality 1)
+and the raw corpus. A document's ratio is the mean over its n-grams of log p_target - log p_raw; it is
+kept if it passes the base rules and the ratio is at least the threshold, which is one number for all
+documents: SPREADS standard deviations below the mean ratio of the target's texts of MIN_WORDS words or
+more. (Ratios shrink as the corpus grows, so no constant serves every size.) Every document gets a verdict.
 
 Defined cases: null text has no words (and so fails the base rules); with no trusted document the
 ratio is 0 for all; repeated rows are counted and judged each; a doc_id labelled twice is trusted
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 12
 GRAM = 3
 THRESHOLD = -0.5
+WHOLE_BUCKETS, SPREADS = 1 << 16, 6
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -38,6 +42,17 @@ def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
     return F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, -GRAM, GRAM)), F.lit(buckets)).cast("short"))
 
 
+def whole_buckets_of(words: Column, buckets: int = WHOLE_BUCKETS) -> Column:
+    """Cells of all words, then of all pairs of neighbours."""
+
+    def cells(w: Column) -> Column:
+        pairs = F.greatest(F.size(w) - 1, F.lit(0))
+        one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
+        return F.concat(one, F.zip_with(F.slice(w, F.lit(1), pairs), F.slice(w, F.lit(2), pairs), lambda x, y: F.pmod(F.xxhash64(x, y), F.lit(buckets)).cast("int")))
+
+    return let(words, cells)
+
+
 def _covered(windows: Column) -> Column:
     """Word places inside windows whose hash occurs again: sorted by hash, equal neighbours stay, intervals are united."""
 
@@ -76,10 +91,14 @@ def with_base(docs: DataFrame, words: str, text: str, prefix: str = "") -> DataF
     return added.withColumn(prefix + "base_failed", (n < MIN_WORDS) | (100 * again > MAX_REPEATED_PERCENT * n))
 
 
-def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.lit(1).alias("_trusted"))
+
+
+def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, grams_of=buckets_of) -> list[float]:
     """log p_target - log p_raw of each bucket, counted over all documents; ``buckets`` numbers come to the driver."""
-    trusted = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.lit(1).alias("_trusted"))
-    grams = docs.select("doc_id", buckets_of(words_of(F.col("text")), buckets).alias("_b")).where(F.size("_b") > 0)
+    trusted = trusted_ids(labels)
+    grams = docs.select("doc_id", grams_of(words_of(F.col("text")), buckets).alias("_b")).where(F.size("_b") > 0)
     counts = (
         grams.join(trusted.hint("merge"), "doc_id", "left")  # the labels grow with the corpus: never broadcast
         .select(F.explode("_b").alias("b"), "_trusted")
@@ -95,32 +114,45 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) ->
     return [math.log((t + 1) / (n_target + buckets)) - math.log((r + 1) / (n_raw + buckets)) for r, t in zip(raw, target)]
 
 
-def mean_ratio(words: Column, weights: list[float]) -> Column:
+def mean_ratio(words: Column, weights: list[float], grams_of=buckets_of) -> Column:
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
-    total = F.aggregate(buckets_of(words, len(weights)), F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
-    return F.when(F.size(words) > 0, total / F.size(words)).otherwise(F.lit(0.0))
+    total = lambda grams: F.aggregate(grams, F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int"))) / F.size(grams)
+    return F.when(F.size(words) > 0, let(grams_of(words, len(weights)), total)).otherwise(F.lit(0.0))
+
+
+def target_threshold(docs: DataFrame, labels: DataFrame, weights: list[float]) -> float:
+    """SPREADS standard deviations below the mean ratio of the target's texts of MIN_WORDS words or more."""
+    ids = trusted_ids(labels).select("doc_id")
+    worded = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").select(words_of(F.col("text")).alias("w")).where(F.size("w") >= MIN_WORDS)
+    mean, spread = worded.select(mean_ratio(F.col("w"), weights, whole_buckets_of).alias("r")).agg(F.avg("r"), F.stddev_pop("r")).first()
+    return 0.0 if mean is None else mean - SPREADS * spread - 1e-9  # less than a rounding error of the mean
 
 
-def judge(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
+def judge(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD, prefix: str = "", grams_of=buckets_of) -> DataFrame:
     """docs with the base counts, ``ratio`` and ``kept`` added under ``prefix``."""
     worded = docs.withColumn(prefix + "words", words_of(F.col("text")))
-    based = with_base(worded, prefix + "words", "text", prefix).withColumn(prefix + "ratio", mean_ratio(F.col(prefix + "words"), weights))
+    based = with_base(worded, prefix + "words", "text", prefix).withColumn(prefix + "ratio", mean_ratio(F.col(prefix + "words"), weights, grams_of))
     return based.withColumn(prefix + "kept", ~F.col(prefix + "base_failed") & (F.col(prefix + "ratio") >= threshold)).drop(prefix + "words")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id and every count, the ratio and the verdict of each document."""
-    docs = docs.select("doc_id", "text")
-    return judge(docs, ratio_weights(docs, labels), threshold)
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float, prefix: str, whole: bool) -> DataFrame:
+    if not whole:
+        return judge(docs, ratio_weights(docs.select("doc_id", "text"), labels), threshold, prefix)
+    weights = ratio_weights(docs.select("doc_id", "text"), labels, WHOLE_BUCKETS, whole_buckets_of)
+    return judge(docs, weights, target_threshold(docs, labels, weights), prefix, whole_buckets_of)
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
+    """doc_id and every count, the ratio and the verdict of each document; ``whole`` brings its own threshold."""
+    return _judged(docs.select("doc_id", "text"), labels, threshold, "", whole)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
     """The documents that pass, with their columns as they were."""
-    judged = judge(docs, ratio_weights(docs.select("doc_id", "text"), labels), prefix="_q_")
-    return judged.where("_q_kept").select(*docs.columns)
+    return _judged(docs, labels, THRESHOLD, "_q_", whole).where("_q_kept").select(*docs.columns)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
-    return quality_rules(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+    return quality_rules(docs, labels, whole=True).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
