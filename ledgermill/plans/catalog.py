@@ -355,10 +355,14 @@ def ticker_cascade_near(spark, sf_dir):
 
 @query()
 def similarity_score(spark, sf_dir):
-    """Similarity of every benchmark item to the first 200 characters of the documents whose hash puts them with it."""
-    items = table(spark, sf_dir, "benchmark")
-    docs = table(spark, sf_dir, "documents").where(F.col("text") != "").select("doc_id", F.substring("text", 1, 200).alias("head"), F.pmod(F.xxhash64("doc_id"), F.lit(50)).cast("long").alias("item_id"))
-    return docs.join(items, "item_id").select("doc_id", "item_id", F.round(similarity(F.col("text"), F.col("head")), 6).alias("score"))
+    """Similarity of every benchmark item to the whole texts of the documents whose hash puts them with it, or of all documents if no hash does."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text") != "").select("doc_id", F.col("text").alias("whole"))
+    # The benchmark is short, so one task numbers its items.
+    items = table(spark, sf_dir, "benchmark").withColumn("place", F.row_number().over(Window.orderBy("item_id", "text")) - 1)
+    placed = docs.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(max(1, items.count()))).cast("int"))
+    alone = items.join(placed.select("place").distinct(), "place", "left_anti")
+    pairs = placed.join(items, "place").select("doc_id", "item_id", "text", "whole").union(docs.crossJoin(alone).select("doc_id", "item_id", "text", "whole"))
+    return pairs.select("doc_id", "item_id", F.round(similarity(F.col("text"), F.col("whole")), 6).alias("score"))
 
 
 @query("""SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS h1, CAST(len(regexp_extract_all(html, '<a href=')) AS INTEGER) AS links FROM pages""")
