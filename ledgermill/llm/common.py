@@ -1,11 +1,19 @@
-"""Shared plumbing: table access, tables in the shared folder, and their removal."""
+"""Shared plumbing: table access, tables in the shared folder and their removal, documents as one column, hot keys."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shared import fresh_path
 
+#: A key is hot from this part of all rows on, so there are at most HOT_KEYS of them, whatever the table holds.
+HOT_KEYS = 1024
+
+_scratch: list[list[DataFrame]] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,6 +26,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._ledgermill_path = path
+    if _scratch:
+        _scratch[-1].append(back)
     return back
 
 
@@ -28,3 +38,31 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        df._ledgermill_path = None
+
+
+@contextmanager
+def scratch():
+    """Removes, at its end, every table that was materialised inside: write or collect what reads them before."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for df in _scratch.pop():
+            discard(df)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Each row as one struct ``doc``: names added beside it cannot clash with the documents' own; undone by select("doc.*")."""
+    return docs.select(F.struct("*").alias("doc"))
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Inner join of rows with ``keyed``, one small row a key. Keys that hold over 1 / HOT_KEYS of the rows, by ``counts``
+    (key, n), are met by broadcast where they lie, at most HOT_KEYS of them; all others are shuffled."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = keyed.join(F.broadcast(counts.where(F.col("n") * HOT_KEYS > total).select(key)), key, "left_semi")
+    hot = materialise(hot, "hot-keys")
+    there = rows.join(F.broadcast(hot), key)
+    others = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed, key)
+    return there.unionByName(others)
