@@ -131,16 +131,72 @@ class BiLstmCrf:
                     self.p[k] -= now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
+    def _transitions(self, allowed: np.ndarray | None) -> np.ndarray:
+        return self.p["trans"] if allowed is None else np.where(allowed, self.p["trans"], np.float32(-1e4))
+
     def viterbi(self, e: np.ndarray, allowed: np.ndarray | None = None) -> np.ndarray:
         """Best tags of one sequence of emissions (time, tags); allowed (tags, tags) forbids transitions."""
-        tr = self.p["trans"] if allowed is None else np.where(allowed, self.p["trans"], -1e4)
-        best, back = e[0].copy(), np.zeros(e.shape, np.int64)
-        for t in range(1, len(e)):
-            all_ = best[:, None] + tr
-            back[t] = all_.argmax(0)
-            best = all_[back[t], np.arange(e.shape[1])] + e[t]
-        out = np.empty(len(e), np.int64)
-        out[-1] = best.argmax()
-        for t in range(len(e) - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
-        return out
+        return self.viterbi_batch([e], allowed)[0]
+
+    def viterbi_batch(self, sequences: list[np.ndarray], allowed: np.ndarray | None = None) -> list[np.ndarray]:
+        """Best tags of each sequence of emissions (time, tags), all sequences in step."""
+        if not sequences:
+            return []
+        tr, sizes = self._transitions(allowed).T[None], np.array([len(x) for x in sequences])
+        steps, rows = int(sizes.max()), np.arange(len(sequences))
+        e = np.zeros((steps, len(sequences), self.tags), np.float32)
+        for i, x in enumerate(sequences):
+            e[: len(x), i] = x
+        best, back = e[0].copy(), np.empty((steps, len(sequences), self.tags), np.uint8)
+        for t in range(1, steps):
+            all_ = best[:, None, :] + tr  # (sequence, next, before)
+            back[t] = all_.argmax(2)
+            live = (t < sizes)[:, None]
+            best = np.where(live, all_.max(2) + e[t], best)
+        out, tag = np.zeros((steps, len(sequences)), np.uint8), best.argmax(1)
+        for t in range(steps - 1, -1, -1):
+            out[t] = tag
+            if t:
+                tag = np.where(t < sizes, back[t, rows, tag], tag)
+        return [out[:n, i] for i, n in enumerate(sizes)]
+
+
+class CarriedViterbi:
+    """Viterbi over a sequence that comes in blocks. What all best paths share is settled, the rest is carried on."""
+
+    def __init__(self, model: BiLstmCrf, allowed: np.ndarray | None = None) -> None:
+        self.tr = np.ascontiguousarray(model._transitions(allowed).T)
+        self.best: np.ndarray | None = None
+        self.back = np.empty((0, model.tags), np.uint8)  # of the places after the settled ones
+        self.settled: list[np.ndarray] = []
+
+    def feed(self, e: np.ndarray) -> None:
+        back = np.empty((len(e), e.shape[1]), np.uint8)
+        best, start, places = self.best, 0, np.arange(e.shape[1])
+        if best is None:
+            best, start, back[0] = e[0], 1, places
+        for t in range(start, len(e)):
+            all_ = self.tr + best
+            back[t] = all_.argmax(1)
+            best = all_.max(1) + e[t]
+        self.best, self.back = best - best.max(), np.concatenate([self.back, back])
+        tags = places
+        for t in range(len(self.back) - 1, 0, -1):
+            tags = self.back[t][tags]
+            if (tags == tags[0]).all():  # the tag at t - 1, whatever follows
+                self._settle(t, int(tags[0]))
+                break
+
+    def _settle(self, n: int, tag: int) -> None:
+        """The first n places end with this tag."""
+        out = np.empty(n, np.uint8)
+        for t in range(n - 1, -1, -1):
+            out[t] = tag
+            tag = int(self.back[t, tag])
+        self.settled.append(out)
+        self.back = self.back[n:]
+
+    def finish(self) -> np.ndarray:
+        if self.best is not None and len(self.back):
+            self._settle(len(self.back), int(self.best.argmax()))
+        return np.concatenate(self.settled) if self.settled else np.empty(0, np.uint8)

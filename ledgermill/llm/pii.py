@@ -1,15 +1,18 @@
 """Personal data: base patterns with checks, and a character BiLSTM-CRF that adds what they miss.
 
-The network is trained in numpy from labelled spans (by default a fixed, seeded set of drawn sentences
-with e-mail addresses, ip addresses, card and phone numbers in many written forms, and look-alikes that
-are none). A text is cut into overlapping windows; emissions of all windows are averaged place by place,
-weighted towards each window's middle, and one Viterbi pass over every stretch of touching windows gives
-spans that no window edge cuts. Every span must hold a digit, an @, (at) or [at], so windows without any
-of them have no span by definition and are not run. Added spans must pass the checks of their kind and overlap no base
-span; base spans stay as they are.
-
-Defined cases: a null text is empty and has no span; repeated rows are read each; a very long text is
-read in runs of windows; an empty table gives no rows.
+The network is trained in numpy from labelled spans (a fixed, seeded set of drawn sentences with e-mail
+addresses, ip addresses, card and phone numbers in many written forms, and look-alikes that are none) by
+``train_pii.py``, which writes ``pii_weights.npz``. A text is cut into overlapping windows; emissions of
+all windows are averaged place by place, weighted towards each window's middle, and one Viterbi pass over
+every stretch of touching windows gives spans that no window edge cuts. Added spans must pass the checks of
+their kind (``valid``) and overlap no base span; base spans stay as they are. Windows are run wherever such
+a span can lie: ``extents`` are all runs of characters that hold a span which ``valid`` accepts, and every
+window that covers a place of one is run, so those places have the emissions that running every window gives.
+
+Defined cases: a null text is empty and has no span; repeated rows are read each; null and repeated doc_ids
+are rows like any other; a very long text is read in blocks of windows, its Viterbi pass carried from block
+to block, in time and memory in proportion to the text; columns of other names are ignored, and kept as they
+were by ``redact``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,26 +20,28 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lstm_crf import PAD, BiLstmCrf, char_codes
+from .common import packed
+from .lstm_crf import PAD, BiLstmCrf, CarriedViterbi, char_codes
 
 KINDS = ("email", "ip", "card", "phone")
 LENGTH, STRIDE = 64, 32
 Span = tuple[str, int, int]
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+#: From the start of a run of digits only, and without going back: one pass over any text, the same matches.
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
-#: What an added span must hold; base spans hold a digit or an @.
-_ADDED_TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]", re.IGNORECASE)
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 
@@ -92,7 +97,7 @@ def valid(kind: str, text: str) -> bool:
         return re.fullmatch(r"[0-9]{1,3}(?:\s?\.\s?[0-9]{1,3}){3}", text) is not None and small_parts(re.sub(r"\s", "", text))
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits) and re.fullmatch(r"[0-9][0-9\s._/-]*[0-9]", text) is not None
-    return 9 <= len(digits) <= 15 and re.fullmatch(r"[+(0-9][0-9\s().\-/]*[0-9]", text) is not None and len(re.findall(r"[0-9]+", text)) > 1
+    return 9 <= len(digits) <= 15 and re.fullmatch(r"[+(]{0,2}[0-9][0-9\s().\-/]*[0-9]", text) is not None and len(re.findall(r"[0-9]+", text)) > 1
 
 
 def tag_of(kind: str, first: bool) -> int:
@@ -178,64 +183,157 @@ def train(examples: list[tuple[str, list[Span]]], epochs: int = 6, hidden: int =
     return BiLstmCrf(N_TAGS, hidden=hidden).fit(codes, gold, epochs)
 
 
+#: Written by train_pii.py from drawn_examples(DRAWN).
+WEIGHTS, DRAWN = Path(__file__).with_name("pii_weights.npz"), 6000
+
+
 @lru_cache(1)
 def default_model() -> BiLstmCrf:
-    return train(drawn_examples(6000))
+    model = BiLstmCrf(N_TAGS)
+    with np.load(WEIGHTS) as held:
+        model.p = {k: held[k] for k in held.files}
+    return model
+
+
+#: Where an added e-mail address has its sign, what follows it, and what can stand before it.
+_AT = re.compile(r"@|\(at\)|\[at\]", re.IGNORECASE)
+_HOST = re.compile(r"\s?[\w-]++(?:\s?(?:\.|\(dot\)|\[dot\])\s?[\w-]++)++", re.IGNORECASE)
+_NAME = re.compile(r"[\w.%+-]")
+#: Digits and the marks that added numbers hold. No added number has more than 19 digits.
+_NUMBERS = re.compile(r"[+(]{0,2}[0-9][0-9\s().\-/_]*+")
+_TOO_LONG = re.compile(r"[0-9]{20,}+")
+
+
+def extents(text: str) -> list[tuple[int, int]]:
+    """Runs of characters, one of which holds each span that ``valid`` can accept, in no order."""
+    out = []
+    for x in _AT.finditer(text):
+        host = _HOST.match(text, x.end())
+        start = x.start() - 1 if text[x.start() - 1 : x.start()].isspace() else x.start()
+        low = start
+        while low > 0 and _NAME.match(text[low - 1]):
+            low -= 1
+        if host and low < start:
+            out.append((low, host.end()))
+    for x in _NUMBERS.finditer(text):
+        low, end = x.span()
+        if end - low < 7:  # 1.1.1.1
+            continue
+        cuts = [low, *(e for y in _TOO_LONG.finditer(text, low, end) for e in y.span()), end]
+        for a, b in zip(cuts[::2], cuts[1::2]):
+            run = text[a:b]
+            n = sum(map(run.count, "0123456789"))
+            if n >= 9 or (n >= 4 and run.count(".") >= 3):
+                out.append((a, b))
+    return out
+
+
+#: Places of a stretch that are decoded at once; longer stretches carry their Viterbi state from block to block.
+BLOCK = 8192
+
+
+class _Stretch:
+    """A run of touching windows: averages emissions as its windows come in, and decodes long ones block by block."""
+
+    def __init__(self, text: int, start: int, end: int, last: int) -> None:
+        self.text, self.start, self.end, self.last = text, start, end, last
+        self.total = np.zeros((0, N_TAGS), np.float32)
+        self.weight = np.zeros(0, np.float32)
+        self.at, self.blocks, self.carry = start, [], None
+
+    def add(self, start: int, e: np.ndarray, weight: np.ndarray, detector: Detector) -> None:
+        done = start - self.at
+        if done >= BLOCK:
+            self._decode(done, detector)
+        n = min(LENGTH, self.end - start)
+        grow = start - self.at + n - len(self.weight)
+        if grow > 0:
+            self.total = np.concatenate([self.total, np.zeros((max(grow, min(len(self.weight), 2 * BLOCK)), N_TAGS), np.float32)])
+            self.weight = np.concatenate([self.weight, np.zeros(len(self.total) - len(self.weight), np.float32)])
+        a = start - self.at
+        self.total[a : a + n] += e[:n] * weight[:n, None]
+        self.weight[a : a + n] += weight[:n]
+
+    def _decode(self, n: int, detector: Detector) -> None:
+        if self.carry is None:
+            self.carry = CarriedViterbi(detector.model, detector.steps)
+        self.carry.feed(self.total[:n] / self.weight[:n, None])
+        self.total, self.weight, self.at = self.total[n:].copy(), self.weight[n:].copy(), self.at + n
+
+    def tags(self, detector: Detector) -> np.ndarray | None:
+        """The tags of a long stretch; short ones are decoded with others, from ``emissions``."""
+        if self.carry is None:
+            return None
+        self._decode(self.end - self.at, detector)
+        return self.carry.finish()
+
+    def emissions(self) -> np.ndarray:
+        n = self.end - self.at
+        return self.total[:n] / self.weight[:n, None]
 
 
 class Detector:
-    def __init__(self, model: BiLstmCrf, batch: int = 256) -> None:
-        self.model, self.batch, self.steps = model, batch, allowed_steps()
+    """``every`` runs all windows of a text, also those in which no span can lie."""
+
+    def __init__(self, model: BiLstmCrf, batch: int = 256, every: bool = False) -> None:
+        self.model, self.batch, self.every, self.steps = model, batch, every, allowed_steps()
         away = np.abs(np.arange(LENGTH) - (LENGTH - 1) / 2)
         self.weight = (LENGTH / 2 + 0.5 - away).astype(np.float32)
 
     def windows(self, text: str) -> list[int]:
-        """Starts of the windows that hold a digit, an @, (at) or [at], or a part of one."""
+        """Starts of all windows that cover a place of an extent."""
         last = max(0, -(-(len(text) - LENGTH) // STRIDE))
-        found = set()
-        for x in _ADDED_TRIGGER.finditer(text):
-            found.update(k for k in range(x.start() // STRIDE - 1, (x.end() - 1) // STRIDE + 1) if 0 <= k <= last)
+        if self.every:
+            return [k * STRIDE for k in range(last + 1)] if text else []
+        found: set[int] = set()
+        for low, end in extents(text):
+            found.update(range(max(0, (low - LENGTH) // STRIDE + 1), min(last, (end - 1) // STRIDE) + 1))
         return [k * STRIDE for k in sorted(found)]
 
-    def stretches(self, text: str):
-        """(start, end, window starts) of runs of windows that touch; long runs are cut where they can be."""
+    def stretches(self, k: int, text: str):
+        """(stretch, window start) of every window to run, stretch by stretch."""
         run: list[int] = []
-        for start in self.windows(text):
-            if run and start > run[-1] + LENGTH:
-                yield run[0], min(len(text), run[-1] + LENGTH), run
+        for start in [*self.windows(text), None]:
+            if run and (start is None or start > run[-1] + LENGTH):
+                held = _Stretch(k, run[0], min(len(text), run[-1] + LENGTH), run[-1])
+                for x in run:
+                    yield held, x
                 run = []
             run.append(start)
-        if run:
-            yield run[0], min(len(text), run[-1] + LENGTH), run
 
     def raw_spans(self, texts: list[str]) -> list[list[Span]]:
         """Spans of the network alone, before any check."""
         out: list[list[Span]] = [[] for _ in texts]
         texts = [_SQUARE_AT.sub("(at)", x) for x in texts]
-        jobs = [(k, *x) for k, text in enumerate(texts) for x in self.stretches(text)]
-        ask = [(j, start) for j, (_, _, _, run) in enumerate(jobs) for start in run]
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for at in range(0, len(ask), self.batch):
-            block = ask[at : at + self.batch]
+        ended: list[_Stretch] = []
+        asked = (x for k, text in enumerate(texts) for x in self.stretches(k, text))
+        while block := list(islice(asked, self.batch)):
             codes = np.full((len(block), LENGTH), PAD)
-            for r, (j, start) in enumerate(block):
-                row = char_codes(texts[jobs[j][0]][start : start + LENGTH])
+            for r, (held, start) in enumerate(block):
+                row = char_codes(texts[held.text][start : start + LENGTH])
                 codes[r, : len(row)] = row
             e = self.model.emissions(codes)
-            for r, (j, start) in enumerate(block):
-                k, a, b, run = jobs[j]
-                if j not in held:
-                    held[j] = np.zeros((b - a, N_TAGS), np.float32), np.zeros(b - a, np.float32)
-                total, weight = held[j]
-                n = min(LENGTH, b - start)
-                total[start - a : start - a + n] += e[:n, r] * self.weight[:n, None]
-                weight[start - a : start - a + n] += self.weight[:n]
-                if start == run[-1]:
-                    tags = self.model.viterbi(total / weight[:, None], self.steps)
-                    out[k] += [(kind, a + x, a + y) for kind, x, y in spans_of(tags)]
-                    del held[j]
+            for r, (held, start) in enumerate(block):
+                held.add(start, e[:, r], self.weight, self)
+                if start == held.last:
+                    tags = held.tags(self)
+                    if tags is None:
+                        ended.append(held)
+                    else:
+                        out[held.text] += [(kind, held.start + x, held.start + y) for kind, x, y in spans_of(tags)]
+            if len(ended) >= self.batch:
+                self._decoded(ended, out)
+                ended = []
+        self._decoded(ended, out)
         return out
 
+    def _decoded(self, ended: list[_Stretch], out: list[list[Span]]) -> None:
+        ended = sorted(ended, key=lambda x: x.end - x.start)
+        for at in range(0, len(ended), 64):
+            part = ended[at : at + 64]
+            for held, tags in zip(part, self.model.viterbi_batch([x.emissions() for x in part], self.steps)):
+                out[held.text] += [(kind, held.start + x, held.start + y) for kind, x, y in spans_of(tags)]
+
     def spans(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(base, all) of each text, by kind as listed, then start."""
         out = []
@@ -252,13 +350,16 @@ class Detector:
 
 
 def spans_of(tags: np.ndarray) -> list[Span]:
-    out, start = [], -1
-    for t, tag in enumerate([*tags.tolist(), 0]):
-        if start >= 0 and (tag == 0 or tag % 2 == 1):
-            out.append((KINDS[(tags[start] - 1) // 2], start, t))
+    """Each first tag with the inside tags that follow it."""
+    out, start, before = [], -1, -1
+    places = np.flatnonzero(tags)
+    for t, tag in zip([*places.tolist(), len(tags)], [*tags[places].tolist(), 0]):
+        if start >= 0 and (tag % 2 == 1 or tag == 0 or t > before + 1):
+            out.append((KINDS[(int(tags[start]) - 1) // 2], start, before + 1))
             start = -1
         if tag % 2 == 1:
             start = t
+        before = t
     return out
 
 
@@ -277,7 +378,7 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def _batched(docs: DataFrame, place: int, schema, make):
-    """mapInArrow of make(batch slice, texts, spans of texts) with the network sent once."""
+    """mapInArrow of make(batch slice, spans of its texts) over (doc), with the network sent once."""
     sent = docs.sparkSession.sparkContext.broadcast(default_model())
 
     def run(batches):
@@ -285,19 +386,19 @@ def _batched(docs: DataFrame, place: int, schema, make):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [x or "" for x in part.column(place).to_pylist()]
-                yield make(part, texts, detector.spans(texts))
+                texts = pc.struct_field(part.column(0), [place]).to_pylist()
+                yield make(part.column(0), texts, detector.spans([x or "" for x in texts]))
 
-    return docs.mapInArrow(run, schema)
+    return packed(docs).mapInArrow(run, schema)
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, base counts by kind, base_sha256 and all spans of every text."""
 
-    def make(part, texts, spans):
+    def make(docs, texts, spans):
         counts = [[sum(x[0] == kind for x in base) for base, _ in spans] for kind in KINDS]
         sums = [hashlib.sha256(listed(base).encode()).hexdigest() for base, _ in spans]
-        columns = [part.column(0), *(pa.array(x, pa.int64()) for x in counts), pa.array(sums, pa.string()), pa.array([listed(x) for _, x in spans], pa.string())]
+        columns = [pc.struct_field(docs, [0]), *(pa.array(x, pa.int64()) for x in counts), pa.array(sums, pa.string()), pa.array([listed(x) for _, x in spans], pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", *(f"n_{x}" for x in KINDS), "base_sha256", "spans"])
 
     return _batched(docs.select("doc_id", "text"), 1, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string", make)
@@ -305,14 +406,14 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind; n_chars follows the text; other columns stay."""
-    place = docs.columns.index("text")
 
-    def make(part, texts, spans):
-        clean = [None if old is None else redacted(x, found) for old, x, (_, found) in zip(part.column(place).to_pylist(), texts, spans)]
-        return part.set_column(place, part.schema.field(place), pa.array(clean, part.schema.field(place).type))
+    def make(docs, texts, spans):
+        clean = [None if old is None else redacted(old, found) for old, (_, found) in zip(texts, spans)]
+        return pa.RecordBatch.from_arrays([docs, pa.array(clean, pa.string())], names=["doc", "clean"])
 
-    out = _batched(docs, place, docs.schema, make)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+    out = _batched(docs, docs.columns.index("text"), packed(docs).withColumn("clean", F.lit(None).cast("string")).schema, make)
+    changed = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    return out.select(*(changed.get(x, F.col("doc")[x]).alias(x) for x in docs.columns))
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
