@@ -1,30 +1,39 @@
 """Near-duplicates of the pipeline: 5-word shingle sets with a Jaccard similarity of 0.8 or more.
 
-Each document's set of shingles gives BANDS keys of ROWS MinHash values each. Documents that share a
-key are candidates, and candidates are linked only if the exact Jaccard similarity of their whole sets
-is at least 0.8. Two sets of similarity s share no key with probability (1 - s ** ROWS) ** BANDS: 6 in
-100,000 at 0.8, less than one in ten million at 0.9. Equal sets are one node from the start, so groups of copies cost
-nothing; the nodes of a candidate group are compared in one place, and only nodes that are not connected
-yet, so a group of near copies costs about one comparison a member.
+Each document's set of shingles gives one SimHash fingerprint, whose component under op5's BK-trees is a key,
+and BANDS keys of ROWS MinHash values each: at 0.8 fingerprints differ by ten bits on average, so 3 bits alone
+would miss most pairs. Documents that share a key are candidates, and candidates are linked only if the exact
+Jaccard similarity of their whole sets is at least 0.8. Two sets of similarity s share no MinHash key with
+probability (1 - s ** ROWS) ** BANDS: 6 in 100,000 at 0.8, less than one in ten million at 0.9.
+
+Equal sets are one node from the start, so groups of copies cost nothing. The nodes of a candidate group of up to
+LARGEST are compared in one task, and only nodes that are not connected yet. In a larger group each node is first
+compared with the smallest node of each of its keys, pair by pair in many tasks; that connects groups of near
+copies. What is then outside the group's largest component is compared with the whole group, in blocks of LARGEST.
 
 Defined cases: null and empty texts have the empty set, which is similar to itself only; fewer than five
-words give one shingle, the whole sequence; doc_ids may be null or repeat: components are of texts.
+words give one shingle, the whole sequence; doc_ids may be null or repeat: components are of texts; columns of
+any name stay as they were; whole texts are read, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import join_hot, materialise, packed
 from .components import components
+from .simhash import majority, rooted
 
 SHINGLE = 5
 SEED = 42
 BANDS, ROWS = 32, 6
+#: Nodes of a candidate group that one task compares.
+LARGEST = 1024
 #: Similarity NUMERATOR / DENOMINATOR, in whole numbers so that the bound itself is met.
 NUMERATOR, DENOMINATOR = 4, 5
 
@@ -97,31 +106,33 @@ def group_roots(sets: list[np.ndarray], keys: list[np.ndarray]) -> list[int]:
 
 
 def with_sketches(docs: DataFrame) -> DataFrame:
-    """docs with _set (one number for each set of shingles) and _bands (its keys)."""
-    columns, place = docs.columns, docs.columns.index("text")
-    out = docs.select("*", F.lit(0).cast("long").alias("_set"), F.array(F.lit(0).cast("long")).alias("_bands")).schema
+    """(doc, row, set, fp, bands): each row as one struct, one number for its set of shingles, the set's fingerprint and keys."""
+    kept, place = packed(docs).withColumn("row", F.monotonically_increasing_id()), docs.columns.index("text")
+    mark = F.lit(0).cast("long")
+    out = kept.select("*", mark.alias("set"), mark.alias("fp"), F.array(mark).alias("bands")).schema
 
     def add(batches):
         for batch in batches:
-            marks, keys = np.empty(batch.num_rows, np.int64), []
-            for i, x in enumerate(batch.column(place)):
+            marks, keys = np.empty((2, batch.num_rows), np.uint64), []
+            for i, x in enumerate(pc.struct_field(batch.column(0), [place])):
                 hashes = shingles(x.as_py())
-                marks[i] = np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)
+                marks[:, i] = xxhash.xxh64_intdigest(hashes.tobytes(), SEED), majority(hashes)
                 keys.append(band_keys(hashes))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in keys], dtype=np.int64)]).astype(np.int32)
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks), bands], names=[*columns, "_set", "_bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, marks.view(np.int64)), bands], names=["doc", "row", "set", "fp", "bands"])
 
-    return docs.mapInArrow(add, out)
+    return kept.mapInArrow(add, out)
 
 
 def _compared(batches):
-    """(node, top) of every node of (root, _set, _bands, text), rows of a root together."""
+    """(a, b) links that join each group of (root, set, bands, text), rows of a root together."""
     root, nodes, sets, keys = None, [], [], []
 
     def done():
         tops = [nodes[i] for i in group_roots(sets, keys)]
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(tops, pa.int64())], names=["node", "top"])
+        apart = [(a, b) for a, b in zip(nodes, tops) if a != b]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in apart], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     for batch in batches:
         for i in range(batch.num_rows):
@@ -137,16 +148,94 @@ def _compared(batches):
         yield done()
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def _held_against(batches):
+    """(a, b) links between the held rows and the others of each (block, part, other, set, top, text), held rows first:
+    similar ones that neither their ``top`` nor an earlier link connects."""
+    key, held, parent = None, [], {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        found = []
+        for block, part, other, node, own, text in zip(*(x.to_pylist() for x in batch.columns)):
+            if key != (block, part):
+                key, held, parent = (block, part), [], {}
+            mine = shingles(text)
+            if not other:
+                held.append((node, own, mine))
+                continue
+            for there, group, theirs in held:
+                if top(own) != top(group) and similar(mine, theirs):
+                    parent[top(own)] = top(group)
+                    found.append((node, there))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
+def _against(held: DataFrame, others: DataFrame) -> DataFrame:
+    """Links of (block, part, set, top, text) rows of both sides that share block and part."""
+    rows = held.withColumn("other", F.lit(0)).unionByName(others.withColumn("other", F.lit(1))).select("block", "part", "other", "set", "top", "text")
+    return rows.repartition("block", "part").sortWithinPartitions("block", "part", "other").mapInArrow(_held_against, "a long, b long")
+
+
+def _part(node: str, parts) -> F.Column:
+    return F.pmod(F.xxhash64(node, F.lit("part")), parts)
+
+
+def _large_links(large: DataFrame, dealt: DataFrame, texts: DataFrame, largest: int) -> DataFrame:
+    """Links in the candidate groups large (set, root, n): against each key's smallest node, then of what is left against all."""
+    members = dealt.join(large.select(F.col("set").alias("a")), "a", "left_semi")
+    keys = materialise(members.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n")), "large-keys")
+    pairs = join_hot(members, keys.select("key", "b"), "key", keys.select("key", "n")).where("a != b").select("a", "b").distinct()
+    pairs = materialise(pairs, "large-pairs")
+    leaders = pairs.groupBy("b").agg(F.ceil(F.count("*") / largest).cast("int").alias("parts"), F.count("*").alias("n"))
+    leaders = materialise(leaders, "leaders")
+    placed = join_hot(pairs, leaders.select("b", "parts"), "b", leaders.select("b", "n")).select(F.col("b").alias("block"), _part("a", F.col("parts")).alias("part"), F.col("a").alias("set"))
+    lead = leaders.select(F.col("b").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("b").alias("set"))
+    with_text = lambda x: x.join(texts, "set").withColumn("top", F.col("set"))
+    links = materialise(_against(with_text(lead), with_text(placed)), "leader-links")
+
+    tops = components(links).select(F.col("node").alias("set"), F.col("root").alias("top"))
+    placed = materialise(large.join(tops, "set", "left").withColumn("top", F.coalesce("top", "set")), "large-tops")
+    sizes = placed.groupBy("root", "top").count()
+    main = materialise(sizes.groupBy("root").agg(F.max(F.struct("count", "top")).alias("main"), F.sum("count").alias("n")), "largest-parts")
+    main = main.select("root", F.col("main.top").alias("main"), F.ceil((F.col("n") - F.col("main.count")) / largest).cast("int").alias("blocks"), F.ceil(F.col("n") / largest).cast("int").alias("parts"), "n")
+    placed = join_hot(placed.select("root", "set", "top"), main.select("root", "main", "blocks", "parts"), "root", main.select("root", "n")).where("blocks > 0").join(texts, "set")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    block = lambda i: F.xxhash64("root", i.cast("int"))
+    left = placed.where("top != main").withColumn("i", F.pmod(F.xxhash64("set", F.lit("block")), F.col("blocks"))).withColumn("part", every("parts"))
+    whole = placed.withColumn("part", _part("set", F.col("parts"))).withColumn("i", every("blocks"))
+    pick = lambda x: x.select(block(F.col("i")).alias("block"), F.col("part").cast("int"), "set", "top", "text")
+    return links.unionByName(_against(pick(left), pick(whole)))
+
+
+def keep_one(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
     """One document of each component of similar texts, the one with the smallest doc_id; columns as they were."""
-    marked = materialise(with_sketches(docs).withColumn("_row", F.monotonically_increasing_id()), "sketched-docs")
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    alone = materialise(marked.groupBy("_set").agg(least.alias("first")), "sets")
-    rows = alone.select(F.col("first")["_row"].alias("_row"))
-    dealt = marked.select("_row", "_set", "_bands").join(rows, "_row", "left_semi").select(F.explode("_bands").alias("key"), F.col("_set").alias("a"))
-    links = dealt.withColumn("b", F.min("a").over(Window.partitionBy("key"))).select("a", "b")
-    groups = materialise(components(links), "candidates").join(alone, F.col("node") == F.col("_set")).select("root", F.col("first")["_row"].alias("_row"))
-    members = marked.select("_row", "_set", "_bands", "text").join(groups, "_row").select("root", "_set", "_bands", "text")
-    tops = members.repartition("root").sortWithinPartitions("root").mapInArrow(_compared, "node long, top long")
-    kept = alone.join(tops, F.col("_set") == F.col("node"), "left").groupBy(F.coalesce("top", "_set")).agg(F.min("first")["_row"].alias("_row")).select("_row")
-    return marked.join(kept, "_row", "left_semi").select(*docs.columns)
+    marked = materialise(with_sketches(docs), "sketched-docs")
+    least = F.min(F.struct(F.col("doc.doc_id").isNull(), "doc.doc_id", "row"))
+    alone = materialise(marked.groupBy("set", "fp").agg(least.alias("first")), "sets")
+    rows = alone.select(F.col("first")["row"].alias("row"))
+    prints = materialise(alone.groupBy("fp").agg(F.count("*").alias("n")), "fingerprints")
+    roots = rooted(prints.select("fp"))
+    by_print = join_hot(alone.select("set", "fp"), roots.select("fp", F.xxhash64("root", F.lit("simhash")).alias("key")), "fp", prints).select("key", F.col("set").alias("a"))
+    by_band = marked.select("row", "set", "bands").join(rows, "row", "left_semi").select(F.explode("bands").alias("key"), F.col("set").alias("a"))
+    dealt = materialise(by_band.unionByName(by_print), "dealt-keys")
+    keys = materialise(dealt.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n")).where(F.col("n") > 1), "keys")
+    candidates = join_hot(dealt, keys.select("key", "b"), "key", keys.select("key", "n")).select("a", "b")
+    groups = materialise(components(candidates).select(F.col("node").alias("set"), "root"), "candidates")
+    sizes = materialise(groups.groupBy("root").agg(F.count("*").alias("n")), "group-sizes")
+    sized = materialise(join_hot(groups, sizes.withColumn("size", F.col("n")).select("root", "size"), "root", sizes), "sized-groups")
+
+    texts = marked.select("row", "set", "bands", "fp", "doc.text").join(rows, "row", "left_semi")
+    key = F.xxhash64(F.col("root_fp"), F.lit("simhash"))
+    small = texts.join(sized.where(F.col("size") <= largest).select("set", "root"), "set").join(roots.select("fp", F.col("root").alias("root_fp")), "fp")
+    small = small.select("root", "set", F.concat("bands", F.array(key)).alias("bands"), "text")
+    links = small.repartition("root").sortWithinPartitions("root").mapInArrow(_compared, "a long, b long")
+    large = sized.where(F.col("size") > largest).select("set", "root")
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(large, dealt, texts.select("set", "text"), largest))
+    tops = components(links).select(F.col("node").alias("set"), F.col("root").alias("top"))
+    kept = alone.join(tops, "set", "left").groupBy(F.coalesce("top", "set")).agg(F.min("first")["row"].alias("row")).select("row")
+    return marked.join(kept, "row", "left_semi").select("doc.*")

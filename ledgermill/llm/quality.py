@@ -11,7 +11,9 @@ more. (Ratios shrink as the corpus grows, so no constant serves every size.) Eve
 
 Defined cases: null text has no words (and so fails the base rules); with no trusted document the
 ratio is 0 for all; repeated rows are counted and judged each; a doc_id labelled twice is trusted
-if any of its labels is 1; an empty table gives no rows; other columns are ignored.
+if any of its labels is 1, and each text under it is; a null doc_id is judged and never trusted; a very
+long text is split once and takes memory in proportion to it; an empty table gives no rows; columns of
+other names are ignored, and kept as they were by keep_good.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 BUCKETS = 1 << 12
 GRAM = 3
 THRESHOLD = -0.5
 WHOLE_BUCKETS, SPREADS = 1 << 16, 6
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SPACE = r"[\x20\x09-\x0D]"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def let(value: Column, body) -> Column:
@@ -75,7 +80,7 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(counted)
 
 
-def with_base(docs: DataFrame, words: str, text: str, prefix: str = "") -> DataFrame:
+def with_base(docs: DataFrame, words: str, text: str) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -86,9 +91,9 @@ def with_base(docs: DataFrame, words: str, text: str, prefix: str = "") -> DataF
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
         "n_repeat_words": repeated_words(F.col(words)),
     }
-    added = docs.withColumns({prefix + k: v.cast("long") for k, v in counts.items()})
-    n, again = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
-    return added.withColumn(prefix + "base_failed", (n < MIN_WORDS) | (100 * again > MAX_REPEATED_PERCENT * n))
+    added = docs.withColumns({k: v.cast("long") for k, v in counts.items()})
+    n, again = F.col("n_words"), F.col("n_repeat_words")
+    return added.withColumn("base_failed", (n < MIN_WORDS) | (100 * again > MAX_REPEATED_PERCENT * n))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -128,31 +133,32 @@ def target_threshold(docs: DataFrame, labels: DataFrame, weights: list[float]) -
     return 0.0 if mean is None else mean - SPREADS * spread - 1e-9  # less than a rounding error of the mean
 
 
-def judge(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD, prefix: str = "", grams_of=buckets_of) -> DataFrame:
-    """docs with the base counts, ``ratio`` and ``kept`` added under ``prefix``."""
-    worded = docs.withColumn(prefix + "words", words_of(F.col("text")))
-    based = with_base(worded, prefix + "words", "text", prefix).withColumn(prefix + "ratio", mean_ratio(F.col(prefix + "words"), weights, grams_of))
-    return based.withColumn(prefix + "kept", ~F.col(prefix + "base_failed") & (F.col(prefix + "ratio") >= threshold)).drop(prefix + "words")
+def judge(texts: DataFrame, weights: list[float], threshold: float = THRESHOLD, grams_of=buckets_of) -> DataFrame:
+    """(doc, text) with the base counts, ``ratio`` and ``kept`` added."""
+    worded = texts.withColumn("words", words_of(F.col("text")))
+    based = with_base(worded, "words", "text").withColumn("ratio", mean_ratio(F.col("words"), weights, grams_of))
+    return based.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)).drop("words")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, threshold: float, prefix: str, whole: bool) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float, whole: bool) -> DataFrame:
+    texts = packed(docs).select("doc", "doc.text")
     if not whole:
-        return judge(docs, ratio_weights(docs.select("doc_id", "text"), labels), threshold, prefix)
+        return judge(texts, ratio_weights(docs.select("doc_id", "text"), labels), threshold)
     weights = ratio_weights(docs.select("doc_id", "text"), labels, WHOLE_BUCKETS, whole_buckets_of)
-    return judge(docs, weights, target_threshold(docs, labels, weights), prefix, whole_buckets_of)
+    return judge(texts, weights, target_threshold(docs, labels, weights), whole_buckets_of)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
     """doc_id and every count, the ratio and the verdict of each document; ``whole`` brings its own threshold."""
-    return _judged(docs.select("doc_id", "text"), labels, threshold, "", whole)
+    return _judged(docs.select("doc_id", "text"), labels, threshold, whole).select("doc.doc_id", *COUNTS, "base_failed", "ratio", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
     """The documents that pass, with their columns as they were."""
-    return _judged(docs, labels, THRESHOLD, "_q_", whole).where("_q_kept").select(*docs.columns)
+    return _judged(docs, labels, THRESHOLD, whole).where("kept").select("doc.*")
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
-    return quality_rules(docs, labels, whole=True).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+    return quality_rules(docs, labels, whole=True).select("doc_id", *COUNTS, "base_failed", "kept", "ratio")

@@ -11,7 +11,8 @@ all trees would grow with the corpus.
 
 Defined cases: null and empty texts have fingerprint zero, which links like any other; fewer than
 three words give one shingle, the whole sequence; rows that repeat a doc_id are linked row by row; a
-null doc_id never becomes a component id unless its component has no other; empty table: no rows.
+null doc_id never becomes a component id unless its component has no other; a very long text is hashed in
+blocks; other columns are ignored, whatever their names; empty table: no rows.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bk_tree import forest_links
-from .common import materialise
+from .common import join_hot, materialise
 from .components import components
-from .near_copies import keep_one  # noqa: F401
 
 RADIUS = 3
 SHINGLE = 3
@@ -45,11 +45,16 @@ def fingerprint(text: str | None) -> int:
         return 0
     grams = list(map(b" ".join, zip(words, words[1:], words[2:]))) if len(words) >= SHINGLE else [b" ".join(words)]
     digest = xxhash.xxh64_intdigest
-    total, n = np.zeros(64, np.int64), len(grams)
-    for at in range(0, n, 65_536):
-        hashes = np.array([digest(x, SEED) for x in grams[at : at + 65_536]], dtype="<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * total > n, bitorder="little").tobytes(), "little")
+    return majority(np.fromiter((digest(x, SEED) for x in grams), np.uint64, len(grams)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits that are set in over half of the unsigned 64-bit hashes."""
+    total = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_536):
+        block = hashes[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8)
+        total += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * total > len(hashes), bitorder="little").tobytes(), "little")
 
 
 def with_fingerprints(docs: DataFrame, columns: list[str], text: str = "text", name: str = "fp") -> DataFrame:
@@ -145,14 +150,22 @@ def tree_links(dealt: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.repartition("mask", "key").sortWithinPartitions("mask", "key").select("mask", "key", "fp").mapInArrow(walk, "a long, b long")
 
 
-def linked(marked: DataFrame, largest: int = LARGEST, bands: int | None = None) -> DataFrame:
-    """marked (doc_id, fp, ...) with component_id, the smallest doc_id of the row's component."""
-    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+def rooted(distinct: DataFrame, largest: int = LARGEST, bands: int | None = None) -> DataFrame:
+    """distinct (fp, ...) with root, one fingerprint for each component."""
     links = tree_links(shards(distinct.select("fp"), distinct.count(), largest, bands))
     roots = components(links).withColumnRenamed("node", "fp")
-    rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp")
+    return materialise(distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+
+
+def linked(marked: DataFrame, largest: int = LARGEST, bands: int | None = None) -> DataFrame:
+    """marked (doc_id, fp, ...) with component_id, the smallest doc_id of the row's component."""
+    distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "fingerprints")
+    placed = rooted(distinct.select("fp", "least"), largest, bands)
+    smallest = materialise(placed.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "roots")
+    # One group of near copies, or of copies of one text, may hold a third of all rows.
+    named = join_hot(placed.select("fp", "root"), smallest.select("root", "component_id"), "root", smallest.select("root", "n"))
+    named = materialise(named.select("fp", "component_id"), "named")
+    return join_hot(marked, named, "fp", distinct.select("fp", "n"))
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:

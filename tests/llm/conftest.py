@@ -2,7 +2,10 @@ import pytest
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names clash with what the operators add.
-CLASHING = ("score", "fp", "shard", "row", "words", "kept", "length", "rank", "slot", "run", "_b", "number")
+CLASHING = (
+    "score fp shard row words kept length rank slot run _b number doc set bands root key top clean first size part block other n ratio base_failed n_words held_out"
+    " _fp _row _score _q_n_words _q_words _set _bands mark grp about bytes low high least component_id toxic fold full rest powers predicted spans a.b"
+).split()
 
 
 @pytest.fixture()
@@ -14,7 +17,7 @@ def docs(spark):
         if clashing:
             from pyspark.sql import functions as F
 
-            frame = frame.withColumns({x: F.lit(7) for x in CLASHING})
+            frame = frame.select("*", *(F.lit(7).alias(x) for x in CLASHING))
         return frame
 
     return make

@@ -33,7 +33,26 @@ def test_near_copies_of_similarity_four_fifths(spark, docs):
     for i, x in enumerate(top):
         first.setdefault(x, i)
     assert len(first) < len(texts) - 60
-    assert {x.doc_id for x in keep_one(docs(*texts)).collect()} == set(first.values())
+    frame = docs(*texts)
+    out = keep_one(frame)
+    assert out.columns == frame.columns and {x.doc_id for x in out.collect()} == set(first.values())
+    # Groups above two nodes go pair by pair and block by block.
+    assert {x.doc_id for x in keep_one(frame, largest=2).collect()} == set(first.values())
+
+
+def test_one_large_group(spark, docs):
+    """Near copies of one text, with some that only few others are near to."""
+    draw = random.Random(2)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(changed(words, 1 + i % 3, draw)) for i in range(90)] + [" ".join(changed(words, 40, draw)) for _ in range(5)]
+    sets, top = [brute_set(x) for x in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                top = [top[j] if x == top[i] else x for x in top]
+    for largest in (8, 1024):
+        assert {x.doc_id for x in keep_one(docs(*texts), largest).collect()} == {min(i for i, x in enumerate(top) if x == t) for t in top}
+    assert keep_one(docs("x").where("false")).count() == 0
 
 
 def test_similar_and_keys():

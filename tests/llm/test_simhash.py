@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 
 from ledgermill.llm.bk_tree import BKTree, forest_links
 from ledgermill.llm.components import components
-from ledgermill.llm.simhash import band_masks, bands_for, fingerprint, keep_one, linked, simhash_components
+from ledgermill.llm.near_copies import keep_one
+from ledgermill.llm.simhash import band_masks, bands_for, fingerprint, linked, simhash_components
 
 
 def brute_print(text):
