@@ -1,30 +1,33 @@
 """Sharding by best-fit-decreasing bin packing of indivisible groups (copies of one text).
 
-Law: ``bytes`` - shard sizes come out near equal. A group never splits. Groups larger than
-a share of the total are packed one by one, largest first; the many smaller ones are first
-gathered into a fixed number of hash cells (each an indivisible item itself), so the driver
-packs a bounded number of items whatever the corpus holds. Each item goes into the bin with
-the tightest remaining capacity, found in a balanced search tree (an AVL tree here). The
-capacity is the smallest at which the items fit the wanted number of shards.
+Law: ``bytes`` - shard sizes come out near equal. A group never splits. Groups are packed as
+themselves, largest first, each into the bin with the tightest remaining capacity that takes it,
+found in a balanced search tree (an AVL tree here). Groups of one size are interchangeable, so the
+driver gets sizes with their numbers of groups and packs all groups of a size in a few steps; a
+group's rank among those of its size then tells its bin. Sizes are told apart to PRECISE significant
+bits (exactly below 2 ** PRECISE bytes, to 0.02 % above, rounded up), which bounds the number of
+sizes by 2 ** (PRECISE - 1) for each doubling. The capacity is the smallest (to 0.05 %) at which the
+groups fit the wanted number of shards.
 
 Defined cases: a null text has size 1 and groups with the other nulls; an empty text is a
-group of its own; an empty table gives no rows; repeated rows each get a slot of their own; a
-group above an even share makes its shard that large, and the rest stays balanced.
+group of its own; null and repeated doc_ids are rows like any other; an empty table gives no rows;
+repeated rows each get a slot of their own; a very long text, or any group above an even share, makes
+its shard that large, and the rest stays balanced; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import join_hot, materialise
 
 SHARDS = 8
-#: Hash cells for small groups, and the part of an even share from which a group is packed alone.
-CELLS = 4096
-ALONE = 1 / 512
+#: Significant bits to which group sizes are told apart.
+PRECISE = 13
+ROWS_PER_RUN = 50_000
 
 
 @dataclass
@@ -106,26 +109,30 @@ class CapacityTree:
         return self._fixed(node)
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int, bins: int | None = None) -> list[int] | None:
-    """The bin of each item; sizes must not increase. None if more than ``bins`` are needed."""
+def best_fit_decreasing(sizes: list[tuple[int, int]], capacity: int, bins: int | None = None) -> list[tuple[int, int, int]] | None:
+    """(size, bin, number of groups) in the order of packing, for (size, number of groups), sizes falling. None if more
+    than ``bins`` are needed. A bin that takes a group stays the tightest for the next of its size as long as it takes one."""
     tree, opened, out = CapacityTree(), 0, []
-    for size in sizes:
+    for size, n in sizes:
         if size > capacity:
             return None
-        found = tree.take(size)
-        if found is None:
-            if opened == bins:
-                return None
-            found, opened = (capacity, opened), opened + 1
-        out.append(found[1])
-        tree.add(found[0] - size, found[1])
+        while n:
+            found = tree.take(size)
+            if found is None:
+                if opened == bins:
+                    return None
+                found, opened = (capacity, opened), opened + 1
+            here = min(n, found[0] // size)
+            out.append((size, found[1], here))
+            tree.add(found[0] - here * size, found[1])
+            n -= here
     return out
 
 
-def pack_into(sizes: list[int], bins: int) -> list[int]:
+def pack_into(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int]]:
     """Best-fit decreasing into ``bins`` bins at the smallest capacity (to 0.05 %) that holds all."""
-    total = sum(sizes)
-    low, high = max(-(-total // bins), sizes[0] if sizes else 0), max(total, 1)
+    total = sum(s * n for s, n in sizes)
+    low, high = max(-(-total // bins), sizes[0][0] if sizes else 0), max(total, 1)
     found = best_fit_decreasing(sizes, low, bins)
     if found is not None:
         return found
@@ -140,7 +147,25 @@ def pack_into(sizes: list[int], bins: int) -> list[int]:
     return found if found is not None else best_fit_decreasing(sizes, high, bins)
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, alone: float = ALONE) -> DataFrame:
+def rounded(size: Column) -> Column:
+    """A size (column) rounded up to PRECISE significant bits."""
+    spare = F.greatest(F.length(F.bin(size)) - PRECISE, F.lit(0)).cast("int")
+    unit = F.call_function("shiftleft", F.lit(1).cast("long"), spare)
+    return (size + unit - 1 - (size + unit - 1) % unit).cast("long")
+
+
+def ranked(rows: DataFrame, within: str, by: str, total: int, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """rows with ``rank`` from 0 among equal ``within``: row numbers in bounded runs plus the sizes of earlier runs."""
+    runs = max(1, -(-total // rows_per_run))
+    kept = rows.withColumn("run", F.pmod(F.xxhash64(by, F.lit("run")), F.lit(runs)).cast("int"))
+    counts = kept.groupBy(within, "run").count()
+    before = F.sum("count").over(Window.partitionBy(within).orderBy("run")) - F.col("count")
+    number = F.row_number().over(Window.partitionBy(within, "run").orderBy(by)) - 1
+    numbered = kept.withColumn("number", number).join(counts.select(within, "run", before.alias("before")), [within, "run"])
+    return numbered.withColumn("rank", F.col("before") + F.col("number")).drop("run", "number", "before")
+
+
+def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row of (doc_id, text)."""
     rows = materialise(
         docs.select(
@@ -148,47 +173,27 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, cells: int = CELLS, al
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("text_crc32"),
             F.coalesce(F.sha2(F.encode("text", "UTF-8"), 256), F.lit("null")).alias("grp"),
-        ).withColumn("cell", F.pmod(F.xxhash64("grp"), F.lit(cells)).cast("int")),
+        ).withColumn("row", F.monotonically_increasing_id()),
         "shard-rows",
     )
-    groups = rows.groupBy("cell", "grp").agg(F.sum("size").alias("bytes"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    limit = max(1, int(total / shards * alone))
-    # At most shards / alone groups reach the limit, and there are `cells` cells: the items are bounded.
-    items = (
-        groups.select(F.when(F.col("bytes") >= limit, F.col("grp")).alias("big"), F.when(F.col("bytes") < limit, F.col("cell")).alias("cell"), "bytes")
-        .groupBy("big", "cell").agg(F.sum("bytes").alias("bytes"))
-        .collect()
-    )
-    items.sort(key=lambda x: (-x["bytes"], x["big"] or "", -1 if x["cell"] is None else x["cell"]))
-    spark = docs.sparkSession
-    placed = pack_into([x["bytes"] for x in items], shards)
-    named = [(x["big"], x["cell"], int(b)) for x, b in zip(items, placed)]
-    of_group = spark.createDataFrame([(g, b) for g, _, b in named if g is not None], "grp string, big_shard int")
-    of_cell = spark.createDataFrame([(c, b) for _, c, b in named if c is not None], "cell int, cell_shard int")
-    dealt = (
-        rows.join(F.broadcast(of_group), "grp", "left")
-        .join(F.broadcast(of_cell), "cell", "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("big_shard", "cell_shard").alias("shard"))
-    )
-    return with_slots(dealt)
-
-
-def with_slots(dealt: DataFrame, rows_per_run: int = 50_000) -> DataFrame:
-    """Adds ``slot``, gapless from 0 in each shard: row numbers in bounded runs plus the sizes of earlier runs."""
-    kept = materialise(dealt.withColumn("row", F.monotonically_increasing_id()), "shard-dealt")
-    runs = max(1, -(-kept.count() // rows_per_run)) * SHARDS
-    kept = kept.withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int"))
-    counts = kept.groupBy("shard", "run").count()
-    before = F.sum("count").over(Window.partitionBy("shard").orderBy("run")) - F.col("count")
-    offsets = counts.select("shard", "run", before.alias("before"))
-    number = F.row_number().over(Window.partitionBy("shard", "run").orderBy("row")) - 1
-    return (
-        kept.withColumn("number", number)
-        .join(offsets, ["shard", "run"])
-        .withColumn("slot", (F.col("before") + F.col("number")).cast("long"))
-        .drop("row", "run", "number", "before")
-    )
+    groups = materialise(rows.groupBy("grp").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).withColumn("about", rounded(F.col("bytes"))), "shard-groups")
+    sizes = sorted(((x["about"], x["count"]) for x in groups.groupBy("about").count().collect()), reverse=True)  # bounded by PRECISE
+    plan, done = [], {}
+    for size, shard, n in pack_into(sizes, shards):
+        low = done.get(size, 0)
+        plan.append((size, low, low + n, shard))
+        done[size] = low + n
+    plan = docs.sparkSession.createDataFrame(plan, "about long, low long, high long, shard int")  # ``shards`` rows a size at most
+    placed = ranked(groups, "about", "grp", sum(n for _, n in sizes), rows_per_run).join(F.broadcast(plan), "about")
+    placed = placed.where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))).select("grp", "shard")
+    dealt = join_hot(rows, placed, "grp", groups.select("grp", "n")).select("doc_id", "size", "text_crc32", "shard", "row")
+    return with_slots(dealt, rows_per_run)
+
+
+def with_slots(dealt: DataFrame, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """Adds ``slot``, gapless from 0 in each shard, to rows that ``row`` tells apart."""
+    kept = materialise(dealt, "shard-dealt")
+    return ranked(kept, "shard", "row", kept.count(), rows_per_run).withColumn("slot", F.col("rank").cast("long")).drop("row", "rank")
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:
