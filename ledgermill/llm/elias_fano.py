@@ -60,14 +60,22 @@ class EliasFano:
         place = (byte << 3) + (bits & -bits).bit_length() - 1
         return (place - i) << self.low_bits | self._low(i)
 
-    def values(self) -> np.ndarray:
-        """All values, in one pass."""
-        if not self.n:
+    def values(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        """Values first to last - 1: from the nearest sample on, only the bytes that hold them are unpacked."""
+        last = self.n if last is None else min(last, self.n)
+        if first >= last:
             return np.zeros(0, np.uint64)
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        out = (places - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+        start = first // SAMPLE
+        end = -(-last // SAMPLE)
+        byte = int(self.samples[start]) >> 3
+        stop = (int(self.samples[end]) >> 3) + 1 if end < len(self.samples) else len(self.high)
+        bits = np.unpackbits(self.high[byte:stop], bitorder="little")
+        bits[: int(self.samples[start]) - 8 * byte] = 0
+        places = np.flatnonzero(bits)[first - start * SAMPLE : last - start * SAMPLE] + 8 * byte
+        out = (places - np.arange(first, last)).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            low = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
+            at = first * self.low_bits
+            low = np.unpackbits(self.low[at >> 3 : (last * self.low_bits + 7) >> 3], bitorder="little")[at & 7 :][: (last - first) * self.low_bits].reshape(last - first, self.low_bits)
             out |= low.astype(np.uint64) @ (np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64))
         return out
 

@@ -6,14 +6,19 @@ order hold all documents in ascending doc_id order. A task names its files after
 Spark commits the list of files; files of lost or repeated attempts are never listed. The folder must
 be one that pyarrow can open on every executor (file://, hdfs://, s3://, gs://).
 
+Boundaries are read through select and in blocks decoded from the nearest sample: no file's boundaries or
+doc_ids are ever expanded whole.
+
 Defined cases: a null text is empty (only the end id); rows with a null doc_id come first; repeated
-doc_ids keep one entry a row, ordered by text; an empty table writes no file and gives no rows.
+doc_ids keep one entry a row, ordered by the text's hash; a very long text has a file of its own or shares
+one, and is read back whole; other columns are ignored; an empty table writes no file and gives no rows.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +52,7 @@ class TokenFileWriter:
         system, path = open_place(uri)
         self.out = system.open_output_stream(path)
         self.out.write(MAGIC)
-        self.ends: list[int] = []
-        self.ids: list[int] = []
+        self.ends, self.ids = array("Q"), array("q")
         self.nulls = self.total = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
@@ -63,7 +67,7 @@ class TokenFileWriter:
     def close(self) -> None:
         base = self.ids[0] if self.ids else 0
         ends = EliasFano.encode(np.array(self.ends, dtype=np.uint64)).to_bytes()
-        ids = EliasFano.encode(np.array([x - base for x in self.ids], dtype=np.uint64)).to_bytes()
+        ids = EliasFano.encode(np.array(self.ids, dtype=np.int64).view(np.uint64) - np.array(base, np.int64).view(np.uint64)).to_bytes()
         foot = json.dumps({"width": self.width, "docs": len(self.ends), "nulls": self.nulls, "base": base, "ids": self.total, "ends": len(ends), "doc_ids": len(ids)}).encode()
         self.out.write(ends + ids + foot + len(foot).to_bytes(8, "little") + MAGIC)
         self.out.close()
@@ -93,20 +97,25 @@ class TokenFile:
         raw = self.source.read_at((self.ends.select(i) - start) * width, len(MAGIC) + start * width)
         return np.frombuffer(raw, f"<u{width}").astype("<u4")
 
-    def all_doc_ids(self) -> list[int | None]:
-        base = self.foot["base"]
-        return [None] * self.foot["nulls"] + [int(x) + base for x in self.doc_ids.values()]
-
-    def scan(self, step: int = 1 << 22):
-        """(first document, boundaries, ids) of runs of whole documents, about ``step`` ids at a time."""
-        ends, width = self.ends.values().astype(np.int64), self.foot["width"]
-        first = 0
-        while first < len(ends):
-            start = int(ends[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, start + step, "right")))
-            raw = self.source.read_at((int(ends[last - 1]) - start) * width, len(MAGIC) + start * width)
-            yield first, ends[first:last] - start, np.frombuffer(raw, f"<u{width}").astype("<u4")
-            first = last
+    def doc_id_block(self, first: int, last: int) -> np.ma.MaskedArray:
+        """doc_ids of documents first to last - 1; the nulls come first."""
+        nulls = self.foot["nulls"]
+        own = self.doc_ids.values(max(0, first - nulls), max(0, last - nulls)).astype(np.int64) + self.foot["base"]
+        none = min(nulls, last) - min(nulls, first)
+        return np.ma.array(np.concatenate([np.zeros(none, np.int64), own]), mask=np.arange(last - first) < none)
+
+    def scan(self, step: int = 1 << 22, docs: int = 4096):
+        """(first document, start, boundaries after it, ids) of runs of whole documents: boundaries of ``docs`` documents are
+        decoded at a time, and about ``step`` ids read."""
+        width, n = self.foot["width"], len(self)
+        for at in range(0, n, docs):
+            ends = self.ends.values(at, at + docs).astype(np.int64)
+            start, first = (self.ends.select(at - 1) if at else 0), 0
+            while first < len(ends):
+                last = max(first + 1, int(np.searchsorted(ends, start + step, "right")))
+                raw = self.source.read_at((int(ends[last - 1]) - start) * width, len(MAGIC) + start * width)
+                yield at + first, start, ends[first:last] - start, np.frombuffer(raw, f"<u{width}").astype("<u4")
+                start, first = int(ends[last - 1]), last
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -135,7 +144,10 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
             close()
         yield pa.RecordBatch.from_pylist([dict(zip(("file", "task", "number", "n_docs", "n_ids"), x)) for x in listed], schema=pa.schema([("file", pa.string()), ("task", pa.int32()), ("number", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The text's hash and the row's number let the range of one repeated doc_id be split.
+    keys = ["doc_id", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row")]
+    dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(*keys, "text").repartitionByRange("doc_id", "mark", "row")
+    dealt = dealt.sortWithinPartitions("doc_id", "mark", "row").select("doc_id", "text")
     return materialise(dealt.mapInArrow(write, LISTED), "token-files")
 
 
@@ -149,12 +161,11 @@ def read_token_files(listed: DataFrame) -> DataFrame:
         for batch in batches:
             for uri, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held = TokenFile(uri)
-                doc_ids = held.all_doc_ids()
-                for first, ends, ids in held.scan():
+                for first, start, ends, ids in held.scan():
                     starts = np.concatenate([[0], ends[:-1]])
-                    at = before + (held.ends.select(first - 1) if first else 0)
                     crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)]
-                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids[first : first + len(ends)], pa.int64()), pa.array(starts + at, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crcs, pa.int64())], schema=READ)
+                    doc_ids = held.doc_id_block(first, first + len(ends))
+                    yield pa.RecordBatch.from_arrays([pa.array(doc_ids.data, mask=np.ma.getmaskarray(doc_ids)), pa.array(starts + start + before, pa.int64()), pa.array(ends - starts, pa.int64()), pa.array(crcs, pa.int64())], schema=READ)
 
     return placed.select("file", "before").repartition(files, "file").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

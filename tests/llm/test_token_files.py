@@ -18,6 +18,8 @@ from ledgermill.shared import fresh_path
 def test_elias_fano(values):
     found = EliasFano.from_bytes(EliasFano.encode(np.array(values, np.uint64)).to_bytes())
     assert found.values().tolist() == values
+    cuts = [0, 1, len(values) // 3, len(values) // 2, len(values)]
+    assert all(found.values(a, b).tolist() == values[a:b] for a in cuts for b in cuts)
     assert [found.select(i) for i in range(len(values))] == values
 
 
@@ -53,10 +55,24 @@ def test_files(spark, docs):
     held = [TokenFile(x.file) for x in listed.orderBy("task", "number").collect()]
     assert sum(map(len, held)) == 6
     last = held[-1]
-    assert last.all_doc_ids()[-1] == 9 and last.ids(len(last) - 1).tolist() == [*WHOLE.encode("a " * 5000).ids, 0]
+    assert last.doc_id_block(len(last) - 1, len(last)).tolist() == [9] and held[0].doc_id_block(0, 1).tolist() == [None] and last.ids(len(last) - 1).tolist() == [*WHOLE.encode("a " * 5000).ids, 0]
+    for step, run in ((1, 1), (3, 2), (1 << 22, 4096)):
+        assert [x.tolist() for f in held for _, _, ends, ids in f.scan(step, run) for x in np.split(ids, ends[:-1])] == [f.ids(i).tolist() for f in held for i in range(len(f))]
     assert read_token_files(write_token_files(frame.where("false"), fresh_path(spark, "tokens"))).count() == 0
 
 
+def test_one_id_for_many_rows_is_split(spark, docs):
+    """A repeated doc_id is dealt over many files, and starts stay gapless."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        listed = write_token_files(docs(*(f"text {i % 7}" for i in range(400)), ids=[3] * 400), fresh_path(spark, "tokens"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = sorted(read_token_files(listed).collect(), key=lambda x: x.start)
+    assert len(rows) == 400 and {x.doc_id for x in rows} == {3} and listed.count() > 1
+    assert [x.start for x in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(400)]
+
+
 PLAIN = Tokenizer.from_file(default_vocabulary())
 AS_USED = encoder(default_vocabulary())
 
