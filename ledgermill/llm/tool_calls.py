@@ -2,7 +2,7 @@
 
 Messages are (conv_id, turn, role, text). An assistant message may hold ``{"tool_calls": [{"id", "name",
 "arguments", "depends_on"}]}``, a tool message ``{"tool_call_id", "content"}``. Calls and results meet in a
-hash join on (conv_id, id). Calls are ordered topologically: a dependency on an earlier turn holds by
+shuffled hash join on (conv_id, id), built from one row an id. Calls are ordered topologically: a dependency on an earlier turn holds by
 turn; inside a message levels are raised along dependencies until they stand, and a call whose level
 reaches the number of calls lies on or behind a cycle. Arguments are checked against the tools' schemas,
 and each call becomes canonical JSON: keys sorted, no white space, nulls left out.
@@ -10,8 +10,9 @@ and each call becomes canonical JSON: keys sorted, no white space, nulls left ou
 Defined cases: messages with null conv_id, turn or text, or text that is no such JSON, hold no calls and
 no results; the first result (by turn, then content) of an id answers it, others are counted; an id that
 occurs more than once in a conversation is ``duplicate_id`` and each occurrence is linked; a result that
-does not come after its call, or without a call, links nothing; an empty table gives no rows. Levels cost
-the square of the calls in one message, never of a conversation.
+does not come after its call, or without a call, links nothing; very long texts and contents are kept whole;
+columns of other names are ignored; an empty table gives no rows. Levels cost the square of the calls in one
+message, never of a conversation.
 """
 
 from __future__ import annotations
@@ -87,14 +88,14 @@ def link_tool_calls(messages: DataFrame, tools: Tools) -> DataFrame:
     known = calls.groupBy("conv_id", "id").agg(F.min("turn").alias("first_turn"), F.count("*").alias("n_same"))
     row = F.struct("turn", "number").alias("at")
     asked = calls.select("conv_id", "id", row, F.explode(F.array_except("depends_on", "inner")).alias("dep"))
-    seen = asked.join(known.select("conv_id", F.col("id").alias("dep"), "first_turn"), ["conv_id", "dep"], "left")
+    seen = asked.join(known.select("conv_id", F.col("id").alias("dep"), "first_turn").hint("shuffle_hash"), ["conv_id", "dep"], "left")
     outer = seen.withColumn("error", F.when(F.col("first_turn").isNull(), F.concat(F.lit("unknown_dependency:"), "dep")).when(F.col("first_turn") >= F.col("at.turn"), F.concat(F.lit("later_dependency:"), "dep")))
     outer = outer.where(F.col("error").isNotNull()).groupBy("conv_id", "id", "at").agg(F.array_sort(F.collect_set("error")).alias("order_errors"))
     linked = (
         calls.withColumn("at", row)
-        .join(known, ["conv_id", "id"])
-        .join(outer, ["conv_id", "id", "at"], "left")
-        .join(results_of(messages.select("conv_id", "turn", "role", "text")), ["conv_id", "id"], "left")
+        .join(known.hint("shuffle_hash"), ["conv_id", "id"])
+        .join(outer.hint("shuffle_hash"), ["conv_id", "id", "at"], "left")
+        .join(results_of(messages.select("conv_id", "turn", "role", "text")).hint("shuffle_hash"), ["conv_id", "id"], "left")
     )
     after = F.coalesce(F.col("result_turn") > F.col("turn"), F.lit(False))
     own = F.array_compact(F.array(F.when(F.col("n_same") > 1, F.lit("duplicate_id")), F.when(F.col("level") >= F.col("n_calls"), F.lit("cycle")), F.when(F.col("result_turn").isNotNull() & ~after, F.lit("result_before_call"))))
@@ -111,17 +112,29 @@ TURN_TOOLS: Tools = {
 
 
 def turns_as_calls(turns: DataFrame) -> DataFrame:
-    """Plain turns as tool messages: a user turn asks for an answer that depends on a search listed after it, a system
-    turn for a tool that is not declared, and an assistant turn is the answer's result of the turn before."""
-    call = lambda name, arguments, depends: F.struct(F.concat_ws("-", "turn", F.lit(name)).alias("id"), F.lit(name).alias("name"), F.to_json(arguments).alias("arguments"), depends.cast("array<string>").alias("depends_on"))
+    """Plain turns as tool messages. A user turn asks for an answer, which depends on a search listed after it and on the
+    answer two turns before, which may not be there; every fifth turn's search depends on that answer in turn, a cycle. The
+    search's k is a number for texts of even length and text for others, every third length's answer has a style. A system
+    turn calls a tool that is not declared. An assistant turn is the result of the answer of the turn before."""
+    n, named = F.length("text"), lambda turn, name: F.concat_ws("-", turn, F.lit(name))
+    none = F.array().cast("array<string>")
+    call = lambda name, arguments, depends: F.struct(named(F.col("turn"), name).alias("id"), F.lit(name).alias("name"), arguments.alias("arguments"), depends.alias("depends_on"))
     user = F.array(
-        call("answer", F.struct(F.col("text").alias("prompt"), F.length("text").alias("chars")), F.array(F.concat_ws("-", "turn", F.lit("search")))),
-        call("search", F.struct(F.col("text").alias("query"), F.lit("5").alias("k")), F.array()),
+        call(
+            "answer",
+            F.to_json(F.struct(F.col("text").alias("prompt"), n.alias("chars"), F.when(n % 3 == 0, "brief").alias("style"))),
+            F.concat(F.array(named(F.col("turn"), "search")), F.when(F.col("turn") >= 2, F.array(named(F.col("turn") - 2, "answer"))).otherwise(none)),
+        ),
+        call(
+            "search",
+            F.when(n % 2 == 0, F.to_json(F.struct(F.col("text").alias("query"), F.lit(5).alias("k")))).otherwise(F.to_json(F.struct(F.col("text").alias("query"), F.lit("5").alias("k")))),
+            F.when(F.col("turn") % 5 == 4, F.array(named(F.col("turn"), "answer"))).otherwise(none),
+        ),
     )
-    system = F.array(call("configure", F.struct(F.col("text").alias("text")), F.array()))
+    system = F.array(call("configure", F.to_json(F.struct(F.col("text").alias("text"))), none))
     # The arguments are put in as JSON, not as a string.
     as_calls = lambda calls: F.concat(F.lit('{"tool_calls":['), F.array_join(F.transform(calls, lambda c: F.concat(F.lit('{"id":"'), c["id"], F.lit('","name":"'), c["name"], F.lit('","arguments":'), c["arguments"], F.lit(',"depends_on":'), F.to_json(c["depends_on"]), F.lit("}"))), ","), F.lit("]}"))
-    result = F.to_json(F.struct(F.concat((F.col("turn") - 1).cast("string"), F.lit("-answer")).alias("tool_call_id"), F.col("text").alias("content")))
+    result = F.to_json(F.struct(named(F.col("turn") - 1, "answer").alias("tool_call_id"), F.col("text").alias("content")))
     text = F.when(F.col("role") == "user", as_calls(user)).when(F.col("role") == "system", as_calls(system)).when(F.col("role") == "assistant", result)
     return turns.select("conv_id", "turn", F.when(F.col("role") == "assistant", "tool").otherwise("assistant").alias("role"), text.alias("text"))
 
@@ -133,24 +146,29 @@ def op2_tool_calls(spark, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = """
-WITH calls AS (
-  SELECT conv_id, turn, 1 AS position, turn || '-answer' AS id, 'answer' AS name, 1 AS level,
-         '{"chars":' || length(text) || ',"prompt":' || CAST(to_json(text) AS VARCHAR) || '}' AS arguments, '' AS own
-  FROM conversations WHERE role = 'user' AND text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+WITH t AS (
+  SELECT *, turn % 5 = 4 AS looped FROM conversations WHERE text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+), calls AS (
+  SELECT conv_id, turn, CASE WHEN looped THEN 0 ELSE 1 END AS position, turn || '-answer' AS id, 'answer' AS name, CASE WHEN looped THEN 2 ELSE 1 END AS level,
+         '{"chars":' || length(text) || ',"prompt":' || CAST(to_json(text) AS VARCHAR) || CASE WHEN length(text) % 3 = 0 THEN ',"style":"brief"' ELSE '' END || '}' AS arguments,
+         looped, NULL AS wrong, CASE WHEN turn >= 2 THEN (turn - 2) || '-answer' END AS earlier
+  FROM t WHERE role = 'user'
   UNION ALL
-  SELECT conv_id, turn, 0, turn || '-search', 'search', 0, '{"k":"5","query":' || CAST(to_json(text) AS VARCHAR) || '}', 'type:k'
-  FROM conversations WHERE role = 'user' AND text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+  SELECT conv_id, turn, CASE WHEN looped THEN 1 ELSE 0 END, turn || '-search', 'search', CASE WHEN looped THEN 2 ELSE 0 END,
+         '{"k":' || CASE WHEN length(text) % 2 = 0 THEN '5' ELSE '"5"' END || ',"query":' || CAST(to_json(text) AS VARCHAR) || '}', looped, CASE WHEN length(text) % 2 <> 0 THEN 'type:k' END, NULL
+  FROM t WHERE role = 'user'
   UNION ALL
-  SELECT conv_id, turn, 0, turn || '-configure', 'configure', 0, '{"text":' || CAST(to_json(text) AS VARCHAR) || '}', 'unknown_tool'
-  FROM conversations WHERE role = 'system' AND text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+  SELECT conv_id, turn, 0, turn || '-configure', 'configure', 0, '{"text":' || CAST(to_json(text) AS VARCHAR) || '}', false, 'unknown_tool', NULL
+  FROM t WHERE role = 'system'
 ), results AS (
   SELECT conv_id, (turn - 1) || '-answer' AS id, min(turn) AS result_turn, min(text) AS result, count(*) AS n_results
-  FROM conversations WHERE role = 'assistant' AND text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL
+  FROM t WHERE role = 'assistant' GROUP BY ALL
 ), same AS (SELECT conv_id, id, count(*) AS n_same FROM calls GROUP BY ALL)
 SELECT c.conv_id, c.turn, CAST(c.position AS INTEGER) AS position, c.id, c.name, CAST(c.level AS INTEGER) AS level,
        r.result_turn, coalesce(r.n_results, 0) AS n_results,
-       concat_ws(',', CASE WHEN s.n_same > 1 THEN 'duplicate_id' END, CASE WHEN c.own <> '' THEN c.own END) AS errors,
+       concat_ws(',', CASE WHEN s.n_same > 1 THEN 'duplicate_id' END, CASE WHEN c.looped THEN 'cycle' END,
+         CASE WHEN c.earlier IS NOT NULL AND e.id IS NULL THEN 'unknown_dependency:' || c.earlier END, c.wrong) AS errors,
        '{"arguments":' || c.arguments || ',"id":"' || c.id || '","name":"' || c.name || '"'
          || CASE WHEN r.result IS NULL THEN '' ELSE ',"result":' || CAST(to_json(r.result) AS VARCHAR) END || '}' AS canonical
-FROM calls c JOIN same s USING (conv_id, id) LEFT JOIN results r USING (conv_id, id)
+FROM calls c JOIN same s USING (conv_id, id) LEFT JOIN results r USING (conv_id, id) LEFT JOIN same e ON e.conv_id = c.conv_id AND e.id = c.earlier
 """
