@@ -19,14 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends here, and lost executors take nothing with them."""
+def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends here, and lost executors take nothing with them.
+    ``keep`` spares it from the scratch() around."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._ledgermill_path = path
-    if _scratch:
+    if _scratch and not keep:
         _scratch[-1].append(back)
     return back
 

@@ -10,8 +10,9 @@ rank among equal lengths (numbered in bounded runs) picks its sequence and offse
 lengths meets in one task. Checksums of every possible piece are taken while tokenising, so ids are
 never shuffled.
 
-Defined cases: a null or empty text is the end id alone; an empty table gives no rows; repeated rows
-are packed each; ties in length go by row number.
+Defined cases: a null or empty text is the end id alone; null and repeated doc_ids are rows like any other;
+repeated rows are packed each; ties in length go by row number; a very long text has as many full windows as
+it fills; other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ END_ID = 1
 SLACK = 8
 #: Combinations of more than two lengths are taken among so many of the commonest lengths.
 COMMON = 64
+#: Rows of one length are numbered in runs of about so many rows of all lengths.
+ROWS_PER_RUN = 8192
 
 
 def combinations_of(lengths: dict[int, int], window: int = WINDOW, slack: int = SLACK, common: int = COMMON) -> list[tuple[int, ...]]:
@@ -185,7 +188,7 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
     return materialise(counted.withColumn("row", F.monotonically_increasing_id()), "pack-tokens")
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, rows_per_run: int = 50_000) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     spark = docs.sparkSession
     rows = tokenised(docs, vocabulary, window=window)

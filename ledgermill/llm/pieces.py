@@ -11,8 +11,9 @@ and backward scores, and only those parts are searched. Words recur, so workers
 bounded stores. A character without a piece becomes its UTF-8 byte pieces, at a score below every piece's.
 
 Defined cases: a null or empty text has no pieces, score 0 and one (empty) segmentation; equal scores
-come in an order that the text fixes; repeated rows are segmented each; long texts are cut into words first; a
-literal U+2581 decodes as a space, as in the library; an empty table gives no rows.
+come in an order that the text fixes; repeated rows are segmented each, and null and repeated doc_ids are rows
+like any other; long texts are cut into words first; a literal U+2581 decodes as a space, as in the library;
+other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

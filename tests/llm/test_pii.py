@@ -1,13 +1,16 @@
+import base64
 import hashlib
+import random
 import re
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgermill.llm.lstm_crf import BiLstmCrf
-from ledgermill.llm.pii import KINDS, Detector, base_spans, default_model, drawn_examples, find_pii, listed, luhn, redact
+from ledgermill.llm.lstm_crf import BiLstmCrf, CarriedViterbi
+from ledgermill.llm.pii import DRAWN, KINDS, N_TAGS, Detector, allowed_steps, base_spans, default_model, drawn_examples, extents, find_pii, listed, luhn, redact, train, valid
 
 
 def brute(text):
@@ -88,3 +91,59 @@ def test_address_without_digit_or_at_sign(at):
     found = [every for _, every in detector.spans(texts)]
     assert all(spans == [("email", x.index(address), x.index(address) + len(address))] for x, spans in zip(texts, found))
     assert detector.windows("no address (here) or [there] " * 9) == []
+
+
+PARTS = ["jane", "x.y", " ", "  ", "@", "(at)", "[AT]", "(dot)", "[dot]", ".", "example", "org", "1", "42", "255", "4111 1111 1111 1111", "4111.1111-1111/1111", "9" * 25, "+49", "(030)", "/", "-", "_", "(", "+", "é", "\n", "10 . 0 . 0 . 1"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), min_size=1, max_size=9).map("".join))
+def test_every_span_that_can_be_valid_lies_in_an_extent(text):
+    held = extents(text)
+    for a in range(len(text)):
+        for b in range(a + 1, len(text) + 1):
+            if any(valid(kind, text[a:b]) for kind in KINDS) and not (text[a - 1 : a].isalnum() or text[b : b + 1].isalnum()):
+                assert any(x <= a and b <= y for x, y in held), text[a:b]
+
+
+def test_all_windows_find_no_more():
+    """Running every window of a text gives the same spans as running those that an extent touches."""
+    examples = [x for x, _ in drawn_examples(900, seed=41)]
+    texts = [" ".join(examples[i : i + 12]) for i in range(0, 900, 12)]
+    assert Detector(default_model()).spans(texts) == Detector(default_model(), every=True).spans(texts)
+
+
+def test_long_runs():
+    """A million characters of one kind take seconds, and base spans stay those of the patterns."""
+    n, detector = 1_000_000, Detector(default_model())
+    for text in ("a" * n, "9" * n, base64.b64encode(random.Random(1).randbytes(n * 3 // 4)).decode(), "a@" * (n // 2), "+1" * (n // 2)):
+        began = time.perf_counter()
+        base, every = detector.spans([text])[0]
+        assert time.perf_counter() - began < 20 and base == every == []
+    text = "1." * 60_000 + " or call (415) 555-2671 today"
+    base, every = detector.spans([text])[0]
+    assert base == brute(text) and ("phone", 120_009, 120_023) in every
+
+
+def test_carried_viterbi_is_viterbi():
+    draw, model = np.random.default_rng(2), default_model()
+    for n in (1, 2, 40, 700):
+        e = (draw.normal(size=(n, N_TAGS)) * 3).astype(np.float32)
+        carried = CarriedViterbi(model, allowed_steps())
+        for at in range(0, n, 37):
+            carried.feed(e[at : at + 37])
+        assert carried.finish().tolist() == model.viterbi(e, allowed_steps()).tolist()
+    several = [(draw.normal(size=(n, N_TAGS)) * 3).astype(np.float32) for n in (5, 1, 90, 33)]
+    assert [x.tolist() for x in model.viterbi_batch(several, allowed_steps())] == [model.viterbi(e, allowed_steps()).tolist() for e in several]
+    # By brute force on a short one.
+    e, steps = several[0][:4], np.where(allowed_steps(), model.p["trans"], -1e4)
+    paths = np.stack(np.meshgrid(*[np.arange(N_TAGS)] * 4, indexing="ij"), -1).reshape(-1, 4)
+    scores = sum(e[t, paths[:, t]] for t in range(4)) + sum(steps[paths[:, t - 1], paths[:, t]] for t in range(1, 4))
+    assert paths[scores.argmax()].tolist() == model.viterbi(e, allowed_steps()).tolist()
+
+
+def test_training_gives_the_kept_weights():
+    """The weights beside the code are those that training gives (rounding may differ between machines)."""
+    again, texts = train(drawn_examples(DRAWN)), [x for x, _ in drawn_examples(300, seed=17)]
+    found, kept = (Detector(x).raw_spans(texts) for x in (again, default_model()))
+    assert sum(x == y for x, y in zip(found, kept)) >= 285
