@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm.common import materialise, table
+from ledgermill.llm.common import discard, materialise, scratch, table
 from ledgermill.llm.near_copies import keep_one
 from ledgermill.llm.packing import pack
 from ledgermill.llm.pii import redact
@@ -27,7 +27,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id: SimHash components and MinHash
+    keys of 5-word shingles find candidates, exact similarity of 0.8 decides."""
     return keep_one(docs)
 
 
@@ -49,12 +50,17 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Trained scores and tokenised packing have no SQL; the tests hold the stages against brute force.
+#: Trained scores and tokenised packing have no SQL; tests hold each stage against a brute-force version of its operator.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed pieces. A stage's own tables go when its output is written, and that when the next stage has read it; those of
+    the last stage and its input stay until the result has been read (see scratch())."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = docs
+        with scratch():
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
