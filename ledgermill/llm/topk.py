@@ -119,14 +119,11 @@ def integer_vectors(vectors: DataFrame) -> DataFrame:
     return usable.where(norm < LARGEST).select(F.monotonically_increasing_id().alias("row"), "vec_id", F.transform("x", lambda x: F.floor(x)).alias("v"), F.size("x").alias("dims"))
 
 
-def _blocks(queries: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(dims, home, ids, known, v): queries (dims, home, query, vec_id, v, known) in blocks that share a home."""
-    # A home shard's queries are numbered in bounded runs; a block is a run's next few.
-    run = F.pmod(F.xxhash64("query", F.lit("run")), F.lit(64))
-    number = F.row_number().over(Window.partitionBy("dims", "home", "run").orderBy("query")) - 1
-    numbered = queries.withColumn("run", run).withColumn("block", F.floor(number / block))
-    listed = F.sort_array(F.collect_list(F.struct("query", "vec_id", "known", "v")))  # ``block`` of them at most
-    return numbered.groupBy("dims", "home", "run", "block").agg(listed.alias("asked")).select("dims", "home", "asked")
+def _blocks(queries: DataFrame) -> DataFrame:
+    """(dims, home, asked): queries (dims, home, blocks, query, vec_id, v, known) in blocks that share a home."""
+    block = F.pmod(F.xxhash64("query", F.lit("block")), F.col("blocks"))
+    listed = F.sort_array(F.collect_list(F.struct("query", "vec_id", "known", "v")))  # about BLOCK of them
+    return queries.groupBy("dims", "home", block.alias("block")).agg(listed.alias("asked")).select("dims", "home", "asked")
 
 
 def _answers(dealt: DataFrame, k: int) -> DataFrame:
@@ -169,9 +166,10 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, shard_rows: int
     rows = candidates.join(sizes, "dims").withColumn("shard", dealt_to)
     none = F.lit(None).cast("array<struct<query:bigint,vec_id:bigint,known:double,v:array<bigint>>>")
     rows = materialise(rows.select("dims", "shard", F.lit(0).alias("asks"), "row", "vec_id", "v", none.alias("asked")), "topk-rows")
-    alone = queries.groupBy("vec_id", "v", "dims").agg(F.min("row").alias("query")).join(sizes, "dims")
+    alone = materialise(queries.groupBy("vec_id", "v", "dims").agg(F.min("row").alias("query")), "topk-alone")
+    asking = alone.groupBy("dims").agg(F.count("*").alias("n")).join(sizes, "dims").select("dims", "shards", F.ceil(F.col("n") / F.col("shards") / BLOCK).cast("int").alias("blocks"))
     home = F.pmod(F.xxhash64("query", F.lit("home")), F.col("shards")).cast("int")
-    alone = materialise(alone.select("dims", "shards", home.alias("home"), "query", "vec_id", "v"), "topk-queries")
+    alone = materialise(alone.join(asking, "dims").select("dims", "shards", "blocks", home.alias("home"), "query", "vec_id", "v"), "topk-queries")
 
     def ask(blocks: DataFrame) -> DataFrame:
         asked = blocks.select("dims", "shard", F.lit(1).alias("asks"), F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("vec_id"), F.lit(None).cast("array<bigint>").alias("v"), "asked")
