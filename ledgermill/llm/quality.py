@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import materialise, packed
 
 BUCKETS = 1 << 12
 GRAM = 3
@@ -103,10 +103,10 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, grams_of=buckets_of) -> list[float]:
     """log p_target - log p_raw of each bucket, counted over all documents; ``buckets`` numbers come to the driver."""
     trusted = trusted_ids(labels)
-    grams = docs.select("doc_id", grams_of(words_of(F.col("text")), buckets).alias("_b")).where(F.size("_b") > 0)
+    # Texts are shuffled and not their n-grams, which are larger; the labels grow with the corpus and are never broadcast.
     counts = (
-        grams.join(trusted.hint("merge"), "doc_id", "left")  # the labels grow with the corpus: never broadcast
-        .select(F.explode("_b").alias("b"), "_trusted")
+        docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left")
+        .select(F.explode(grams_of(words_of(F.col("text")), buckets)).alias("b"), "_trusted")
         .groupBy("b").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
         .collect()
     )
@@ -125,37 +125,45 @@ def mean_ratio(words: Column, weights: list[float], grams_of=buckets_of) -> Colu
     return F.when(F.size(words) > 0, let(grams_of(words, len(weights)), total)).otherwise(F.lit(0.0))
 
 
-def target_threshold(docs: DataFrame, labels: DataFrame, weights: list[float]) -> float:
-    """SPREADS standard deviations below the mean ratio of the target's texts of MIN_WORDS words or more."""
+def target_threshold(judged: DataFrame, labels: DataFrame) -> float:
+    """SPREADS standard deviations below the mean ratio of the target's texts of MIN_WORDS words or more, from
+    (doc_id, n_words, ratio) of all documents."""
     ids = trusted_ids(labels).select("doc_id")
-    worded = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").select(words_of(F.col("text")).alias("w")).where(F.size("w") >= MIN_WORDS)
-    mean, spread = worded.select(mean_ratio(F.col("w"), weights, whole_buckets_of).alias("r")).agg(F.avg("r"), F.stddev_pop("r")).first()
+    worded = judged.where(F.col("n_words") >= MIN_WORDS).join(ids.hint("merge"), "doc_id", "left_semi")
+    mean, spread = worded.agg(F.avg("ratio"), F.stddev_pop("ratio")).first()
     return 0.0 if mean is None else mean - SPREADS * spread - 1e-9  # less than a rounding error of the mean
 
 
-def judge(texts: DataFrame, weights: list[float], threshold: float = THRESHOLD, grams_of=buckets_of) -> DataFrame:
-    """(doc, text) with the base counts, ``ratio`` and ``kept`` added."""
+def judge(texts: DataFrame, weights: list[float], grams_of=buckets_of) -> DataFrame:
+    """(doc, text) with the base counts and ``ratio`` added."""
     worded = texts.withColumn("words", words_of(F.col("text")))
-    based = with_base(worded, "words", "text").withColumn("ratio", mean_ratio(F.col("words"), weights, grams_of))
-    return based.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold)).drop("words")
+    return with_base(worded, "words", "text").withColumn("ratio", mean_ratio(F.col("words"), weights, grams_of)).drop("words", "text")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, threshold: float, whole: bool) -> DataFrame:
-    texts = packed(docs).select("doc", "doc.text")
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float, whole: bool, shown: DataFrame) -> DataFrame:
+    """(doc, counts, base_failed, ratio, kept): ``doc`` holds the columns of ``shown``, a selection of docs with doc_id and text."""
+    texts = packed(shown).select("doc", "doc.text")
     if not whole:
-        return judge(texts, ratio_weights(docs.select("doc_id", "text"), labels), threshold)
-    weights = ratio_weights(docs.select("doc_id", "text"), labels, WHOLE_BUCKETS, whole_buckets_of)
-    return judge(texts, weights, target_threshold(docs, labels, weights), whole_buckets_of)
+        judged = judge(texts, ratio_weights(docs, labels))
+    else:
+        # Written once: the threshold comes from the ratios of all texts, and verdicts then need no text.
+        judged = judge(texts, ratio_weights(docs, labels, WHOLE_BUCKETS, whole_buckets_of), whole_buckets_of)
+        if shown is not docs:
+            judged = judged.withColumn("doc", F.struct("doc.doc_id"))
+        judged = materialise(judged, "judged")
+        threshold = target_threshold(judged.select("doc.doc_id", "n_words", "ratio"), labels)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
     """doc_id and every count, the ratio and the verdict of each document; ``whole`` brings its own threshold."""
-    return _judged(docs.select("doc_id", "text"), labels, threshold, whole).select("doc.doc_id", *COUNTS, "base_failed", "ratio", "kept")
+    judged = _judged(docs, labels, threshold, whole, docs.select("doc_id", "text"))
+    return judged.select("doc.doc_id", *COUNTS, "base_failed", "ratio", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
     """The documents that pass, with their columns as they were."""
-    return _judged(docs, labels, THRESHOLD, whole).where("kept").select("doc.*")
+    return _judged(docs, labels, THRESHOLD, whole, docs).where("kept").select("doc.*")
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
