@@ -112,7 +112,7 @@ def with_sketches(docs: DataFrame) -> DataFrame:
     out = kept.select("*", mark.alias("set"), mark.alias("fp"), F.array(mark).alias("bands")).schema
 
     def add(batches):
-        for batch in batches:
+        for batch in (x.slice(at, 512) for x in batches for at in range(0, x.num_rows, 512)):
             marks, keys = np.empty((2, batch.num_rows), np.uint64), []
             for i, x in enumerate(pc.struct_field(batch.column(0), [place])):
                 hashes = shingles(x.as_py())

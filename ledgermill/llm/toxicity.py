@@ -197,10 +197,10 @@ def with_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def add(batches):
         for batch in batches:
-            texts, scores = pc.struct_field(batch.column(0), [place]), []
-            for at in range(0, batch.num_rows, 256):
-                scores.append(sent.value.score(texts.slice(at, 256).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*scores, np.zeros(0)]))], names=["doc", "score"])
+            for at in range(0, batch.num_rows, 512):
+                docs = batch.column(0).slice(at, 512)
+                scores = sent.value.score(pc.struct_field(docs, [place]).to_pylist())
+                yield pa.RecordBatch.from_arrays([docs, pa.array(scores, pa.float64())], names=["doc", "score"])
 
     return kept.mapInArrow(add, kept.withColumn("score", F.lit(0.0)).schema)
 
