@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import SCORED
-from ..operators.fallback import ENUMS, field_schema
+from ..operators.fallback import ENUMS, fallback_schema
 from ..operators.lines import renumbered
 
 EXTRACTOR = "llm"
@@ -18,7 +18,7 @@ ROWS = "transactions array<struct<" + ",".join(f"{x}:string" for x in SCORED) +
 
 
 def transaction_schema() -> dict:
-    return {"type": "object", "properties": {x: field_schema(x) for x in SCORED}, "required": list(SCORED), "additionalProperties": False}
+    return fallback_schema(SCORED)
 
 
 def page_schema() -> dict:
