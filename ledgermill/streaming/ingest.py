@@ -1,7 +1,9 @@
 """Incremental extraction: documents named by messages, in micro-batches.
 
 Delivery is at least once and the sink replaces whole documents, so a batch may be run again. A document
-that fails goes to the quarantine table with its attempts and does not stop its batch.
+that fails, or whose batch the gate holds back, goes to the quarantine table with its reason, its message and
+its attempts and does not stop its batch; a message that names no document is kept whole under the hash of its
+body. ``redelivered`` gives what is not dead yet back as messages. A batch that raises leaves a line in the run log.
 """
 
 from __future__ import annotations
@@ -35,37 +37,62 @@ def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silve
     """foreachBatch function: load(keys) gives documents (doc_id, bronze_key, content); the gate, if any, must pass before silver is replaced."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        began, spark = time.time(), batch.sparkSession
-        keys = decoded_messages(batch)
-        named = keys.where(F.col("error").isNull()).select("bronze_key").distinct()
-        documents = load(named).persist()
+        began, count = time.time(), None
+        try:
+            outcome, count = taken(batch, batch_id)
+        except Exception as error:
+            tell(wide_event("extract", batch=batch_id, outcome="error", error=f"{type(error).__name__}: {error}"[:500], duration_ms=round(1000 * (time.time() - began))))
+            raise
+        tell(wide_event("extract", batch=batch_id, outcome=outcome, duration_ms=round(1000 * (time.time() - began)), documents=count))
+
+    def taken(batch: DataFrame, batch_id: int) -> tuple[str, int]:
+        spark = batch.sparkSession
+        keys = decoded_messages(batch, with_body=True)
+        named = keys.where(F.col("error").isNull()).groupBy("bronze_key").agg(F.first("body").alias("body"))
+        documents = load(named.select("bronze_key")).persist()
         filings, transactions, failed = extract(documents)
         transactions = transactions.persist()
         passed = gate is None or gate(transactions)
+        lost = failed.select("doc_id", F.array_join("reasons", ",").alias("reason"))
+        good = documents.join(failed.select("doc_id"), "doc_id", "left_anti")
         if passed:
-            good = documents.join(failed.select("doc_id"), "doc_id", "left_anti")
             write_silver(filings, transactions, good.select("doc_id", "bronze_key"), silver)
-        lost = failed.select("doc_id", F.array_join("reasons", ",").alias("reason"))
-        unknown = keys.where(F.col("error").isNotNull()).select(F.lit("?").alias("doc_id"), F.col("error").alias("reason"))
+        else:
+            lost = lost.unionByName(good.select("doc_id", F.lit("quality_gate").alias("reason")))
+        lost = lost.join(documents.select("doc_id", "bronze_key"), "doc_id").join(named, "bronze_key").select("doc_id", "reason", "body")
+        unknown = keys.where(F.col("error").isNotNull()).select(F.concat(F.lit("message-"), F.sha2("body", 256)).alias("doc_id"), F.col("error").alias("reason"), "body")
         record_failures(spark, lost.unionByName(unknown), quarantine, batch_id)
-        tell(wide_event("extract", batch=batch_id, outcome="success" if passed else "gate", duration_ms=round(1000 * (time.time() - began)), documents=documents.count()))
+        count = documents.count()
         documents.unpersist()
         transactions.unpersist()
+        return "success" if passed else "gate", count
 
     return write
 
 
-def record_failures(spark: SparkSession, failures: DataFrame, quarantine: str, batch_id: int) -> None:
-    """Writes this batch's failures over what the same batch wrote before, with attempts counted over all other batches."""
+QUARANTINE = "doc_id string, attempts long, reason string, dead boolean, body string, batch_id long"
+
+
+def _quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
     place = spark._jvm.org.apache.hadoop.fs.Path(quarantine)
     there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-    schema = "doc_id string, attempts long, reason string, dead boolean, batch_id long"
-    earlier = spark.read.schema(schema).parquet(quarantine) if there else spark.createDataFrame([], schema)
-    prior = earlier.where(F.col("batch_id") != batch_id).groupBy("doc_id").agg(F.max("attempts").alias("attempts"))
-    out = dead_letters(failures, prior).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    return spark.read.schema(QUARANTINE).parquet(quarantine) if there else spark.createDataFrame([], QUARANTINE)
+
+
+def record_failures(spark: SparkSession, failures: DataFrame, quarantine: str, batch_id: int) -> None:
+    """Writes this batch's failures over what the same batch wrote before, with attempts counted over all other batches."""
+    earlier = _quarantined(spark, quarantine).where(F.col("batch_id") != batch_id)
+    prior = earlier.groupBy("doc_id").agg(F.max("attempts").alias("attempts"))
+    bodies = failures.groupBy("doc_id").agg(F.max("body").alias("body"))
+    out = dead_letters(failures, prior).join(bodies, "doc_id").withColumn("batch_id", F.lit(batch_id).cast("long"))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
 
 
+def redelivered(spark: SparkSession, quarantine: str, batch_id: int) -> DataFrame:
+    """(body) of the messages that the batch quarantined and that are not dead, to be put into the queue again."""
+    return _quarantined(spark, quarantine).where((F.col("batch_id") == batch_id) & ~F.col("dead")).select("body")
+
+
 def run_available(messages: DataFrame, writer, checkpoint: str) -> StreamingQuery:
     """Takes all that is there and ends; the checkpoint keeps what was taken."""
     query = messages.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

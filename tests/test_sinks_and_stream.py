@@ -1,10 +1,13 @@
+import hashlib
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.operators.collect import bronze_plan
 from ledgermill.plans.senate import extract_senate
 from ledgermill.schemas import split_valid
 from ledgermill.sinks import compact, read_silver, write_silver
-from ledgermill.streaming.ingest import batch_writer, message_stream, run_available, stale
+from ledgermill.streaming.ingest import batch_writer, message_stream, redelivered, run_available, stale
 
 from .conftest import values
 from .test_plans import page
@@ -58,10 +61,35 @@ def test_stream(spark, tmp_path):
     run_available(message_stream(spark, str(queue)), writer, str(tmp_path / "checkpoint"))
     assert values(read_silver(spark, str(tmp_path / "silver"), "filings"), "doc_id") == [("a",)]
     failed = spark.read.parquet(str(tmp_path / "quarantine"))
-    assert values(failed, "doc_id", "attempts", "batch_id") == [("?", 1, 0), ("bad", 1, 0), ("bad", 2, 1)]
+    unread = "message-" + hashlib.sha256(b'{"x":1}').hexdigest()
+    assert values(failed, "doc_id", "attempts", "batch_id") == [("bad", 1, 0), ("bad", 2, 1), (unread, 1, 0)]
+    assert values(failed.where("batch_id = 0"), "body") == [('{"bronze_key":"bronze/senate/year=2025/bad.html"}',), ('{"x":1}',)]
+    assert values(redelivered(spark, str(tmp_path / "quarantine"), 1)) == [('{"bronze_key":"bronze/senate/year=2025/bad.html"}',)]
     assert len(told) == 2 and '"outcome": "success"' in told[0]
 
 
+def test_gate_and_errors_lose_no_document(spark, tmp_path):
+    store = documents(spark, {"a": page([ROW])})
+    queue = tmp_path / "queue"
+    queue.mkdir()
+    (queue / "1.json").write_text('{"bronze_key":"bronze/senate/year=2025/a.html"}\n')
+    load = lambda keys: store.join(keys, "bronze_key", "left_semi")
+    told = []
+    held = batch_writer(load, extract_senate, str(tmp_path / "silver"), str(tmp_path / "quarantine"), gate=lambda rows: False, tell=told.append)
+    run_available(message_stream(spark, str(queue)), held, str(tmp_path / "checkpoint"))
+    failed = spark.read.parquet(str(tmp_path / "quarantine"))
+    assert values(failed, "doc_id", "reason", "dead") == [("a", "quality_gate", False)] and '"outcome": "gate"' in told[0]
+    assert not (tmp_path / "silver").exists()
+    (queue / "2.json").write_text(redelivered(spark, str(tmp_path / "quarantine"), 0).first().body + "\n")
+    broken = batch_writer(lambda keys: 1 / 0, extract_senate, str(tmp_path / "silver"), str(tmp_path / "quarantine"), tell=told.append)
+    with pytest.raises(Exception, match="ZeroDivisionError|division by zero"):
+        run_available(message_stream(spark, str(queue)), broken, str(tmp_path / "checkpoint"))
+    assert '"outcome": "error"' in told[1] and "ZeroDivisionError" in told[1]
+    passed = batch_writer(load, extract_senate, str(tmp_path / "silver"), str(tmp_path / "quarantine"), tell=told.append)
+    run_available(message_stream(spark, str(queue)), passed, str(tmp_path / "checkpoint"))
+    assert values(read_silver(spark, str(tmp_path / "silver"), "filings"), "doc_id") == [("a",)]
+
+
 def test_stale(spark):
     log = spark.sql("select * from values ('a','success',timestamp'2026-01-01 00:00:00'),('b','success',timestamp'2026-01-03 00:00:00'),('c','failed',timestamp'2026-01-03 00:00:00') t(stage,outcome,at)")
     from datetime import datetime
