@@ -20,7 +20,7 @@ from ..functions.names import clean_asset_name, comparable_name, scanned_filer,
 from ..functions.similarity import similarity
 from ..functions.text import is_nfc, snake, unicode_findings
 from ..operators.collect import bronze_plan, capped, run_counters, split_known
-from ..operators.evaluate import exact_score, last_wins
+from ..operators.evaluate import SCORED, consistency, filing_scores, gold_set_scores, line_scores, report, unequal_runs, weakest
 from ..operators.fallback import applied, needed_fields
 from ..operators.lines import islands, ordered_text, paired_by_order, renumbered
 from ..operators.quality_gate import gate, run_summary
@@ -262,41 +262,83 @@ def order_pairing(spark, sf_dir):
     return paired_by_order(side("click"), side("purchase"), ["user_id"])
 
 
-GOLD_SQL = """SELECT doc_id, coalesce(lang, 'none') AS kind, CAST(CASE WHEN d.doc_id IS NULL OR l.doc_id IS NULL THEN 0 WHEN quality IS NOT DISTINCT FROM CAST(n_chars > 300 AS INTEGER) THEN 1 ELSE 0 END AS DOUBLE) AS score
-FROM (SELECT doc_id, lang, n_chars FROM documents WHERE doc_id % 5 <> 0) d FULL OUTER JOIN labels l USING (doc_id)"""
+def _scored(rows: DataFrame, position: Column, **fields: Column) -> DataFrame:
+    """Line 1 of each document with the scored fields; those that are not named are null."""
+    kinds = {"transaction_date": "date", "notification_date": "date", "value_min": "double", "value_max": "double"}
+    values = {x: fields.get(x, F.lit(None)).cast(kinds.get(x, "string")) for x in SCORED}
+    return rows.select("doc_id", *(x for x in ("run",) if x in rows.columns), F.lit(1).alias("line_no"), position.alias("position"), *(v.alias(k) for k, v in values.items()))
+
+
+def _gold_lines(spark, sf_dir) -> DataFrame:
+    """Predictions (text length, never toxic) against gold (labels), every document and every label."""
+    predicted = _scored(table(spark, sf_dir, "documents"), F.lit(0), owner=(F.col("n_chars") > 300).cast("int"), transaction_type=F.lit(0))
+    gold = _scored(table(spark, sf_dir, "labels"), F.col("toxic"), owner=F.col("quality").cast("int"), transaction_type=F.col("toxic").cast("int"))
+    return line_scores(gold, predicted)
+
+
+GOLD_SQL = """SELECT doc_id, CAST(CASE WHEN d.doc_id IS NULL OR l.doc_id IS NULL THEN 0 WHEN quality IS NOT DISTINCT FROM CAST(n_chars > 300 AS INTEGER) THEN 1 ELSE 0 END AS DOUBLE) AS owner,
+  CAST(CASE WHEN d.doc_id IS NULL OR l.doc_id IS NULL THEN 0 WHEN toxic = 0 THEN 1 ELSE 0 END AS DOUBLE) AS transaction_type,
+  CAST(CASE WHEN d.doc_id IS NULL OR l.doc_id IS NULL THEN 0 ELSE 1 END AS DOUBLE) AS description
+FROM (SELECT doc_id, n_chars FROM documents) d FULL OUTER JOIN labels l USING (doc_id)"""
 
 
 @query(GOLD_SQL)
 def gold_outer_score(spark, sf_dir):
-    """Predictions (text length) against gold (quality), full outer; a side that is missing scores 0."""
-    predicted = table(spark, sf_dir, "documents").where(F.col("doc_id") % 5 != 0).select("doc_id", "lang", (F.col("n_chars") > 300).cast("int").alias("predicted"))
-    gold = last_wins(table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("toxic").alias("position")), ["doc_id"], "position")
-    both = predicted.join(gold, "doc_id", "full_outer")
-    here = F.col("predicted").isNotNull() & F.col("position").isNotNull()
-    return both.select("doc_id", F.coalesce("lang", F.lit("none")).alias("kind"), F.when(here, exact_score(F.col("quality"), F.col("predicted"))).otherwise(0.0).alias("score"))
+    """Scores of every document's line, full outer; a side that is missing scores 0, fields null on both sides 1."""
+    return _gold_lines(spark, sf_dir).select("doc_id", "owner", "transaction_type", "description")
+
 
+MACRO_SQL = f"""SELECT f.field, CASE WHEN grouping(k.kind) = 1 THEN 'overall' ELSE k.kind END AS kind,
+  avg(CASE f.field WHEN 'owner' THEN owner WHEN 'transaction_type' THEN transaction_type ELSE description END) AS score
+FROM ({GOLD_SQL}) g JOIN (SELECT doc_id, CASE WHEN lang = 'en' THEN 'digital' ELSE 'scanned' END AS kind FROM documents) k USING (doc_id),
+  (SELECT unnest([{', '.join(f"'{x}'" for x in SCORED)}]) AS field) f
+GROUP BY GROUPING SETS ((f.field, k.kind), (f.field))"""
 
-@query(f"SELECT coalesce(kind, 'overall') AS kind, round(avg(score), 6) AS score, count(*) AS n FROM ({GOLD_SQL}) GROUP BY ROLLUP (kind)")
+
+def _macro(spark, sf_dir) -> DataFrame:
+    filings = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", "digital").otherwise("scanned").alias("kind"))
+    return gold_set_scores(filing_scores(filings, _gold_lines(spark, sf_dir)))
+
+
+@query(f"SELECT field, kind, round(score, 6) AS score FROM ({MACRO_SQL})")
 def macro_average_by_kind(spark, sf_dir):
-    rolled = gold_outer_score(spark, sf_dir).rollup("kind").agg(F.round(F.avg("score"), 6).alias("score"), F.count("*").alias("n"))
-    return rolled.withColumn("kind", F.coalesce("kind", F.lit("overall")))
+    """Means of filing means by field and kind, and overall."""
+    return _macro(spark, sf_dir).withColumn("score", F.round("score", 6))
+
+
+@query(f"""SELECT CASE WHEN kind = 'overall' THEN field ELSE field || '@' || kind END AS field, round(score, 6) AS score FROM ({MACRO_SQL})
+WHERE kind = 'overall' ORDER BY round(score, 9), list_position([{', '.join(f"'{x}'" for x in SCORED)}], field) LIMIT 3""")
+def weakest_fields(spark, sf_dir):
+    """The three fields with the lowest overall score; ties in the order of the fields."""
+    overall = _macro(spark, sf_dir).where(F.col("kind") == "overall").select("field", F.round("score", 9).alias("score"))
+    return weakest(overall).withColumn("score", F.round("score", 6))
+
+
+@query(f"""SELECT field, kind, round(score, 6) AS score FROM (SELECT field, kind, score FROM ({MACRO_SQL})) WHERE kind = 'digital'""")
+def report_digital(spark, sf_dir):
+    """The report's column of digital filings."""
+    return report(_macro(spark, sf_dir)).select("field", F.lit("digital").alias("kind"), F.round("digital", 6).alias("score"))
 
 
 RUNS_SQL = "SELECT doc_id, 1 AS run, quality AS v FROM labels UNION ALL SELECT doc_id, 2, toxic FROM labels UNION ALL SELECT doc_id, 3, CAST(doc_id % 2 AS INTEGER) FROM labels"
 
 
-@query(f"WITH r AS ({RUNS_SQL}) SELECT a.run AS first, b.run AS second, round(avg(CAST(a.v = b.v AS INTEGER)), 6) AS agreement, count(*) AS n FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.run < b.run GROUP BY ALL")
-def run_pair_consistency(spark, sf_dir):
+def _runs(spark, sf_dir) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     runs = reduce(DataFrame.union, [labels.select("doc_id", F.lit(i).alias("run"), v.cast("int").alias("v")) for i, v in enumerate((F.col("quality"), F.col("toxic"), F.col("doc_id") % 2), 1)])
-    a, b = runs.alias("a"), runs.alias("b")
-    pairs = a.join(b, (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.run") < F.col("b.run")))
-    return pairs.groupBy(F.col("a.run").alias("first"), F.col("b.run").alias("second")).agg(F.round(F.avg(exact_score(F.col("a.v"), F.col("b.v"))), 6).alias("agreement"), F.count("*").alias("n"))
+    return _scored(runs, F.lit(0), owner=F.col("v"))
 
 
-@query("SELECT p_type AS field, round(avg(p_size), 6) AS score FROM part GROUP BY p_type ORDER BY round(avg(p_size), 6), p_type LIMIT 3")
-def weakest_fields(spark, sf_dir):
-    return table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("field")).agg(F.round(F.avg("p_size"), 6).alias("score")).orderBy("score", "field").limit(3)
+@query(f"""WITH r AS ({RUNS_SQL}) SELECT f.field, round(avg(CASE WHEN f.field = 'owner' THEN CAST(a.v IS NOT DISTINCT FROM b.v AS INTEGER) ELSE 1 END), 6) AS score
+FROM r a JOIN r b ON a.doc_id = b.doc_id AND a.run < b.run, (SELECT unnest([{', '.join(f"'{x}'" for x in SCORED)}]) AS field) f GROUP BY ALL""")
+def run_pair_consistency(spark, sf_dir):
+    """Agreement of all pairs of runs of a document, field by field."""
+    return consistency(_runs(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+@query(f"WITH r AS ({RUNS_SQL}) SELECT doc_id FROM r GROUP BY doc_id HAVING count(DISTINCT coalesce(v, -1)) > 1")
+def runs_that_differ(spark, sf_dir):
+    return unequal_runs(_runs(spark, sf_dir))
 
 
 @query("""WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (event_type = 'error' AND value > 60) AS v FROM events GROUP BY 1),
@@ -397,13 +439,13 @@ def fallback_apply(spark, sf_dir):
     return applied(rows, fields).select("doc_id", "line_no", "asset_description", "owner", "confidence", "extractor")
 
 
-@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE lang = 'en'),
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 a AS (SELECT *, length(line) >= 6 AND length(regexp_replace(line, '[^\\p{L}]', '', 'g')) / length(line) >= 0.6
   AND NOT regexp_matches(lower(line), 'example|ticker symbol|provide full|note number|footnote|filer note|publicly disclosed')
   AND NOT list_has_any(regexp_extract_all(lower(line), '[a-z'']+'), ['was','not','aware','that','this','which','from','have','been','the','and','for','are','month']) AS ok FROM l)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (ok) AS n_assets FROM a GROUP BY 1""")
 def asset_text_filter(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if((F.length("line") > 0) & looks_like_asset(F.col("line"))).alias("n_assets"))
 
 
@@ -431,10 +473,10 @@ def decode_messages(spark, sf_dir):
     return decoded_messages(table(spark, sf_dir, "events").select(body.alias("body")))
 
 
-@query("""SELECT 'house' AS chamber, CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderdate AS DATE) AS day FROM orders UNION ALL SELECT 'senate', CAST(l_orderkey AS VARCHAR), CAST(l_shipdate AS DATE) FROM lineitem WHERE l_linenumber = 1""")
+@query("""SELECT 'house' AS chamber, CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderdate AS DATE) AS day FROM orders UNION ALL SELECT 'senate', CAST(l_orderkey AS VARCHAR), CAST(l_shipdate AS DATE) FROM lineitem""")
 def union_chambers(spark, sf_dir):
     house = table(spark, sf_dir, "orders").select(F.lit("house").alias("chamber"), as_text("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("day"))
-    senate = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == 1).select(F.to_date("l_shipdate").alias("day"), F.lit("senate").alias("chamber"), as_text("l_orderkey").alias("doc_id"))
+    senate = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.lit("senate").alias("chamber"), as_text("l_orderkey").alias("doc_id"))
     return house.unionByName(senate)
 
 
