@@ -74,3 +74,16 @@ def test_search_outcome(spark):
     rows = [(200, '{"data":[]}'), (200, '{"data":1}'), (200, "x"), (403, ""), (403, "y"), (500, "Access Denied")]
     found = spark.createDataFrame(rows, "s int, b string").select(search_outcome(F.col("s"), F.col("b")).alias("o")).collect()
     assert [x.o for x in found] == ["cleared", "ambiguous", "ambiguous", "blocked_akamai", "blocked_other", "blocked_other"]
+
+
+def test_one_page_that_cannot_be_parsed(spark):
+    """Its document goes to quarantine; the rest of the batch is read."""
+    from ledgermill.sources import senate_html
+
+    frame = spark.createDataFrame([("a", "k", b"<html></html>"), ("b", "k", None)], "doc_id string, bronze_key string, content binary")
+    rows = {x.doc_id: x for x in senate_html.filing_pages(frame).collect()}
+    assert rows["a"].n_tables == rows["b"].n_tables == 0 and rows["a"].bronze_key == "k"
+    from ledgermill.plans.senate import extract_senate
+
+    filings, lines, lost = extract_senate(frame)
+    assert filings.count() == lines.count() == 0 and {x.doc_id: x.reasons for x in lost.collect()} == {x: ["filer_name", "filing_date", "table"] for x in "ab"}
