@@ -40,6 +40,12 @@ def unicode_findings(text: Column) -> Column:
     return F.array_compact(F.array(F.when(text.startswith("﻿"), F.lit("bom")), *found))
 
 
+def file_findings(content: Column) -> Column:
+    """Findings of a file's bytes: ``invalid_utf8`` alone where they are no UTF-8, else those of the text."""
+    text = content.cast("string")
+    return F.when(F.is_valid_utf8(text), unicode_findings(text)).otherwise(F.array(F.lit("invalid_utf8")))
+
+
 @F.pandas_udf(BooleanType())
 def is_nfc(text):
     """Whether a text is NFC-normalised; there is no built-in function for it."""

@@ -93,3 +93,21 @@ def report(scores: DataFrame) -> DataFrame:
     return scores.groupBy("field").pivot("kind").agg(F.first("score"))
 
 
+
+
+def failures_by_kind(filings: DataFrame) -> DataFrame:
+    """kind, filings, failed of filings (kind, error)."""
+    return filings.groupBy("kind").agg(F.count("*").alias("filings"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+
+
+def report_json(scores: DataFrame, failures: DataFrame) -> DataFrame:
+    """One row (report): JSON of the scores (kind, field, score) by kind and overall, and of filings and failures by kind.
+
+    Both are a few rows whatever the corpus; scores of single filings go out as rows (``filing_scores``)."""
+    entries = lambda key, value: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
+    fields = scores.groupBy("kind").agg(entries("field", "score").alias("fields"))
+    by_kind = fields.agg(F.map_from_arrays(F.collect_list("kind"), F.collect_list("fields")).alias("every"))
+    counts = failures.select("kind", F.struct("filings", "failed").alias("n")).agg(F.map_from_arrays(F.collect_list("kind"), F.collect_list("n")).alias("errors"))
+    joined = by_kind.join(counts, F.lit(True))
+    rest = F.map_filter("every", lambda k, _: k != "overall")
+    return joined.select(F.to_json(F.struct(rest.alias("by_kind"), F.try_element_at("every", F.lit("overall")).alias("overall"), "errors")).alias("report"))

@@ -1,58 +1,88 @@
-"""Silver tables: one set of files a document, replaced whole when the document is read again."""
+"""Silver tables (documents replaced whole), bronze contents with their manifest, dead letters."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.keys import parsed_bronze_key
-from .schemas import FILINGS, TRANSACTIONS
+from .schemas import FILINGS, MANIFEST, TRANSACTIONS
+from .sources.messages import queue_message
 
 #: Named apart from the data columns chamber and year: the path's year can differ from the filing's.
-PARTITIONS = ("bronze_chamber", "bronze_year", "part_doc_id")
+PARTITIONS = ("bronze_chamber", "bronze_year", "version")
+#: Actions that leave a content behind.
+NEW = ("write", "versioned")
+DONE = "doc_id string, bronze_chamber string, bronze_year int, version long"
 
 
 def _columns(ddl: str) -> list[str]:
     return [x.split()[0] for x in ddl.replace(",", ", ").split(", ") if x.strip()]
 
 
-def _placed(rows: DataFrame, ddl: str) -> DataFrame:
+def _placed(rows: DataFrame, names: list[str], version: Column) -> DataFrame:
     key = parsed_bronze_key(F.col("bronze_key"))
-    return rows.select(*_columns(ddl), key["chamber"].alias("bronze_chamber"), key["year"].alias("bronze_year"), F.col("doc_id").alias("part_doc_id"))
-
+    return rows.select(*names, key["chamber"].alias("bronze_chamber"), key["year"].alias("bronze_year"), version.alias("version"))
 
-def _drop_parts(documents: DataFrame, path: str) -> None:
-    """Removes the folders of this batch's documents, so that a document that lost all its rows keeps no old ones."""
-    spark = documents.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    key = parsed_bronze_key(F.col("bronze_key"))
-    for x in documents.select(key.alias("k")).distinct().toLocalIterator():  # a micro-batch of documents, one at a time
-        if x["k"]:
-            place = jvm.org.apache.hadoop.fs.Path(f"{path}/bronze_chamber={x['k']['chamber']}/bronze_year={x['k']['year']}/part_doc_id={x['k']['doc_id']}")
-            place.getFileSystem(conf).delete(place, True)
 
+def write_silver(filings: DataFrame, transactions: DataFrame, documents: DataFrame, path: str, version: int | None = None) -> None:
+    """Replaces ``documents`` (doc_id, bronze_key), also those that have no rows left.
 
-def write_silver(filings: DataFrame, transactions: DataFrame, documents: DataFrame, path: str) -> None:
-    """Replaces the parts of ``documents`` (doc_id, bronze_key): transactions first, filings last as the mark that both are there."""
+    Rows are written under a new version, and last the list of the documents that it holds. Readers take a document's
+    newest version on that list, so a run that is lost half way leaves them what was there before."""
+    # Nanoseconds of the clock: a batch that is run again gets a later version.
+    mark = F.lit(time.time_ns() if version is None else version).cast("long")
     for name, rows, ddl in (("transactions", transactions, TRANSACTIONS), ("filings", filings, FILINGS)):
-        _drop_parts(documents, f"{path}/{name}")
-        _placed(rows, ddl).repartition(*PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
+        placed = _placed(rows, _columns(ddl), mark)
+        placed.repartition(*PARTITIONS, F.pmod(F.xxhash64("doc_id"), F.lit(8))).write.mode("append").partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
+    _placed(documents, ["doc_id"], mark).dropDuplicates().write.mode("append").parquet(f"{path}/done")
 
 
 def read_silver(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A silver table with its partition columns; the ids stay strings."""
+    """A silver table with its partition columns, each document in its newest finished version; the ids stay strings."""
+    place = ["doc_id", "bronze_chamber", "bronze_year"]
+    newest = spark.read.schema(DONE).parquet(f"{path}/done").groupBy(*place).agg(F.max("version").alias("version"))
     ddl = FILINGS if name == "filings" else TRANSACTIONS
-    return spark.read.schema(f"{ddl}, bronze_chamber string, bronze_year int, part_doc_id string").parquet(f"{path}/{name}")
+    rows = spark.read.schema(f"{ddl}, bronze_chamber string, bronze_year int, version long").parquet(f"{path}/{name}")
+    return rows.join(newest, [*place, "version"], "left_semi").select(*_columns(ddl), "bronze_chamber", "bronze_year", "version")
 
 
 def compact(spark: SparkSession, path: str, name: str, out: str, files_a_year: int = 1) -> None:
-    """A copy with few files a chamber and year; for tables that no longer change."""
+    """A copy of the newest versions with few files a chamber and year."""
     keys = ["bronze_chamber", "bronze_year"]
-    rows = read_silver(spark, path, name).drop("part_doc_id")
+    rows = read_silver(spark, path, name).drop("version")
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(files_a_year)))
     salted.repartition(*keys, "_salt").drop("_salt").sortWithinPartitions("doc_id").write.partitionBy(*keys).parquet(out)
 
 
+def write_bronze(planned: DataFrame, path: str, run: str) -> DataFrame:
+    """Writes a run's plan (bronze_plan's columns with chamber, ext, source_url, fetched_at, index_row, kind) and gives the outcomes back.
+
+    Contents go first, in one pass, so that nothing is fetched twice; the manifest rows of what is new follow as the mark
+    that their contents are there. What is known under the same hash keeps no second content."""
+    spark = planned.sparkSession
+    new = F.col("action").isin(*NEW)
+    planned.withColumn("content", F.when(new, F.col("content"))).write.parquet(f"{path}/contents/run={run}")
+    kept = spark.read.parquet(f"{path}/contents/run={run}")
+    listed = kept.where(new).select(*(F.col(x).cast("string") if x == "fetched_at" else F.col(x) for x in _columns(MANIFEST)))
+    listed.write.mode("append").parquet(f"{path}/manifest")
+    return kept.drop("content")
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """All manifest rows of a bronze folder, none if there is no run yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest") if there else spark.createDataFrame([], MANIFEST)
+
+
+def enqueue(outcomes: DataFrame, queue: str) -> None:
+    """One message for each document that was written, none for others, as lines of files in the queue's folder."""
+    outcomes.where(F.col("action").isin(*NEW)).select(queue_message(F.col("bronze_key"))).write.mode("append").text(queue)
+
+
 def dead_letters(failures: DataFrame, prior: DataFrame, most: int = 3) -> DataFrame:
     """doc_id, attempts, reason, dead of failures (doc_id, reason) added to prior (doc_id, attempts)."""
     seen = failures.groupBy("doc_id").agg(F.count("*").alias("now"), F.max("reason").alias("reason"))

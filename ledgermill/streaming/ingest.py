@@ -8,10 +8,7 @@ body. ``redelivered`` gives what is not dead yet back as messages. A batch that
 
 from __future__ import annotations
 
-import json
-import time
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks import dead_letters, write_silver
 from ..sources.messages import decoded_messages
+from .run_log import logged
 
 Extract = Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]
 
@@ -28,22 +26,12 @@ def message_stream(spark: SparkSession, folder: str, files_a_batch: int = 100) -
     return spark.readStream.schema("value string").option("maxFilesPerTrigger", files_a_batch).text(folder).select(F.col("value").alias("body"))
 
 
-def wide_event(stage: str, **fields) -> str:
-    """One JSON line of a run."""
-    return json.dumps({"stage": stage, "at": datetime.now(timezone.utc).isoformat(), **fields}, sort_keys=True)
-
-
 def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silver: str, quarantine: str, gate: Callable[[DataFrame], bool] | None = None, tell: Callable[[str], None] = print):
     """foreachBatch function: load(keys) gives documents (doc_id, bronze_key, content); the gate, if any, must pass before silver is replaced."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        began, count = time.time(), None
-        try:
-            outcome, count = taken(batch, batch_id)
-        except Exception as error:
-            tell(wide_event("extract", batch=batch_id, outcome="error", error=f"{type(error).__name__}: {error}"[:500], duration_ms=round(1000 * (time.time() - began))))
-            raise
-        tell(wide_event("extract", batch=batch_id, outcome=outcome, duration_ms=round(1000 * (time.time() - began)), documents=count))
+        with logged("extract", tell, batch=batch_id) as event:
+            event["outcome"], event["documents"] = taken(batch, batch_id)
 
     def taken(batch: DataFrame, batch_id: int) -> tuple[str, int]:
         spark = batch.sparkSession

@@ -1,13 +1,17 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.operators.collect import bronze_plan
+from ledgermill.plans.collect import collect_run, run_result
+from ledgermill.plans.drive import by_kind, house_digital, whole
 from ledgermill.plans.senate import extract_senate
 from ledgermill.schemas import split_valid
-from ledgermill.sinks import compact, read_silver, write_silver
+from ledgermill.sinks import compact, manifest, read_silver, write_silver
 from ledgermill.streaming.ingest import batch_writer, message_stream, redelivered, run_available, stale
+from ledgermill.streaming.run_log import logged, progress
 
 from .conftest import values
 from .test_plans import page
@@ -31,6 +35,57 @@ def test_replace_per_document(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "small")).count() == 2
 
 
+def test_lost_run_changes_nothing(spark, tmp_path):
+    docs = documents(spark, {"a": page([ROW])})
+    write_silver(*extract_senate(docs)[:2], docs, str(tmp_path), version=1)
+    filings, rows, _ = extract_senate(documents(spark, {"a": page([ROW, ["2", *ROW[1:]]])}))
+    write_silver(filings, rows, docs.where("false"), str(tmp_path), version=2)  # lost before its list of documents
+    assert values(read_silver(spark, str(tmp_path), "transactions"), "doc_id", "line_no", "version") == [("a", 1, 1)]
+    write_silver(filings, rows, docs, str(tmp_path), version=3)
+    assert values(read_silver(spark, str(tmp_path), "transactions"), "line_no", "version") == [(1, 3), (2, 3)]
+
+
+def test_collect_again(spark, tmp_path):
+    entries = spark.createDataFrame([("a", 2026, "ptr", 0, "u/a"), ("b", 2026, "ptr", 1, "u/b"), ("c", 2026, "ptr", 2, "u/c")], "doc_id string, year int, kind string, index_row int, source_url string")
+    path, queue = str(tmp_path / "bronze"), str(tmp_path / "queue")
+
+    def broken(address):
+        if address == "u/b":
+            raise OSError("down")
+        return 200, b"\xff" + address.encode()
+
+    first = collect_run(entries, broken, path, queue, "senate", "html")
+    assert values(first, "doc_id", "action", "outcome") == [("a", "write", "cleared"), ("b", "blocked", "error")]
+    second = collect_run(entries, lambda address: (200, b"" if address == "u/c" else b"page"), path, queue, "senate", "html", mark=b"page")
+    assert values(second, "doc_id", "action", "outcome") == [("b", "write", "cleared"), ("c", "blocked", "ambiguous")]
+    assert run_result(second).first().asDict() == {"written": 1, "unchanged": 0, "stopped_by": "ambiguous"}
+    assert values(manifest(spark, path), "doc_id", "chamber", "ext", "kind") == [("a", "senate", "html", "ptr"), ("b", "senate", "html", "ptr")]
+    assert values(spark.read.text(queue)) == [(f'{{"bronze_key":"bronze/senate/year=2026/{x}.html"}}',) for x in "ab"]
+    third = collect_run(entries.where("false"), lambda address: 1 / 0, path, None, "senate", "html")
+    assert third.count() == 0
+
+
+def test_readers_fail_alone(spark):
+    docs = spark.createDataFrame([("200", "bronze/house/year=2026/200.pdf", b"x"), ("201", "bronze/house/year=2026/201.pdf", b"")], "doc_id string, bronze_key string, content binary")
+    text = lambda doc, content: [{"page_no": 1, "text": f"Filing ID #{doc}\nName: A B\nDigitally Signed: A B, 02/01/2026"}] if content[0] else []
+    chunk = lambda doc, content: [{"page_no": 1, "seq": 0, "x": 1.0, "y": 9.0, "text": "$200?", "font": "/F1"}]
+    filings, _, failed = whole(by_kind({"digital": house_digital(chunk, text)}))(docs)
+    assert values(filings, "doc_id", "filer_name") == [("200", "A B")]
+    assert values(failed, "doc_id", "reasons") == [("201", ["filer_name", "filing_date", "filing_id"])]
+
+
+def test_run_log():
+    told = []
+    with logged("s", told.append, function="f") as event:
+        event["written"] = 2
+    progress("s", told.append, doc_id="a")
+    with pytest.raises(ValueError), logged("s", told.append):
+        raise ValueError("no")
+    first, step, last = map(json.loads, told)
+    assert (first["outcome"], first["written"], first["function"]) == ("success", 2, "f") and first["duration_ms"] >= 0
+    assert (step["type"], step["doc_id"]) == ("progress", "a") and last["error"] == {"type": "ValueError", "message": "no"}
+
+
 def test_validity(spark):
     docs = documents(spark, {"a": page([ROW]), "b": page([ROW])})
     filings, rows, _ = extract_senate(docs)

@@ -2,6 +2,7 @@ import io
 import json
 import zipfile
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgermill.operators.routing import search_outcome
@@ -87,3 +88,13 @@ def test_one_page_that_cannot_be_parsed(spark):
 
     filings, lines, lost = extract_senate(frame)
     assert filings.count() == lines.count() == 0 and {x.doc_id: x.reasons for x in lost.collect()} == {x: ["filer_name", "filing_date", "table"] for x in "ab"}
+
+
+def test_gridlines():
+    from ledgermill.sources.scans import without_gridlines
+
+    grey = np.full((9, 12), 255, np.uint8)
+    grey[4, :], grey[1, 1], grey[8, 3] = 0, 0, 0
+    out = without_gridlines(grey)
+    assert out[1, 1] == 0 and out[8, 3] == 0 and (out[2:7] == 255).all() and grey[4, 0] == 0
+    assert (without_gridlines(grey.T) == out.T).all() and (without_gridlines(np.zeros((1, 2), np.uint8)) == 255).all()
