@@ -355,11 +355,11 @@ def report_as_json(spark, sf_dir):
     return text.select(F.round(at("$.overall.owner"), 6).alias("owner"), F.round(at("$.by_kind.scanned.transaction_type"), 6).alias("scanned_type"), at("$.errors.digital.failed").cast("long").alias("digital_failed"))
 
 
-@query("""WITH r AS (SELECT event_type AS stage, max(ts) FILTER (value < 100) AS last_success FROM events GROUP BY 1) SELECT stage FROM r WHERE last_success IS NULL OR last_success < (SELECT max(ts) FROM events) - INTERVAL 4 HOUR""")
+@query("""WITH r AS (SELECT CAST(user_id AS VARCHAR) AS stage, max(ts) FILTER (value < 100) AS last_success FROM events GROUP BY 1) SELECT stage FROM r WHERE last_success IS NULL OR last_success < (SELECT max(ts) FROM events) - INTERVAL 4 HOUR""")
 def stale_stages(spark, sf_dir):
     """Stages without a success in two periods of two hours before the last event."""
     events = table(spark, sf_dir, "events")
-    log = events.select(F.col("event_type").alias("stage"), F.when(F.col("value") < 100, "success").otherwise("error").alias("outcome"), F.col("ts").alias("at"))
+    log = events.select(as_text("user_id").alias("stage"), F.when(F.col("value") < 100, "success").otherwise("error").alias("outcome"), F.col("ts").alias("at"))
     return stale(log, events.agg(F.max("ts")).first()[0], 2, 2).select("stage")
 
 
