@@ -19,7 +19,7 @@ from ..operators.evaluate import failures_by_kind, report_json
 from ..operators.fallback import eligible_rows
 from ..operators.lines import renumbered, word_lines
 from ..schemas import TRANSACTIONS
-from ..shared import fresh_path
+from ..shared import fresh_path, holding, written
 from ..sinks import manifest, read_silver, write_silver
 from ..sources.files import gold_records, known_doc_ids
 from ..sources.house_index import house_entries, index_members
@@ -43,6 +43,11 @@ def _lines(spark, sf_dir) -> DataFrame:
     return renumbered(table(spark, sf_dir, "lineitem"), ["l_orderkey"], ORDER, "nth")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows, keys only, dealt over the session's shuffle partitions: what Python then does for one costs far more than moving it."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *rows.columns)
+
+
 def _typed(rows: DataFrame, ddl: str, **values: Column) -> DataFrame:
     """rows in the form of a table; columns that are not given are null."""
     kinds = [x.split() for x in ddl.replace(",", ", ").split(", ") if x.strip()]
@@ -218,7 +223,8 @@ def _small_pages(spark, sf_dir) -> DataFrame:
     row = F.concat(*(F.concat(F.lit("<td>"), x if isinstance(x, Column) else F.lit(x), F.lit("</td>")) for x in cells), F.when(k % 7 == 0, "").otherwise("<td>c</td>"))
     html = F.concat(F.lit('<h2 class="filedReport">Ms. A B (B, A)</h2><p class="muted">Filed 02/01/1992</p><table class="table-striped"><tbody><tr>'), row, F.lit("</tr></tbody></table>"))
     chamber = F.when(k % 11 == 0, "mayor").when(k % 11 == 1, "house").otherwise("senate")
-    return table(spark, sf_dir, "orders").select(as_text(k).alias("doc_id"), bronze_key(chamber, F.lit(1992), as_text(k), F.lit("html")).alias("bronze_key"), F.encode(html, "UTF-8").alias("content"))
+    orders = _spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return orders.select(as_text(k).alias("doc_id"), bronze_key(chamber, F.lit(1992), as_text(k), F.lit("html")).alias("bronze_key"), F.encode(html, "UTF-8").alias("content"))
 
 
 # Ids of House filings by prefix: these keys count from 0, so that only some start with a known one.
@@ -230,9 +236,10 @@ SELECT doc_id, CASE WHEN c = 0 THEN 'unknown_chamber' WHEN c = 1 THEN CASE WHEN
 @query(DRIVEN_SQL)
 def routed_documents(spark, sf_dir):
     """All documents through the driver of several extractors: those that come out, and the reasons of the others."""
-    filings, rows, failed = whole(by_kind({"senate": extract_senate}))(_small_pages(spark, sf_dir))
-    kept = filings.join(rows.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.lit(None).cast("string").alias("reasons"))
-    return kept.unionByName(failed.select("doc_id", F.array_join("reasons", ",").alias("reasons")))
+    with holding():
+        filings, rows, failed = whole(by_kind({"senate": extract_senate}))(_small_pages(spark, sf_dir))
+        kept = filings.join(rows.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.lit(None).cast("string").alias("reasons"))
+        return written(kept.unionByName(failed.select("doc_id", F.array_join("reasons", ",").alias("reasons"))), "routed")
 
 
 @query(f"""SELECT CASE WHEN reasons IS NULL THEN 'silver' ELSE 'quarantine' END AS place, reasons, count(*) AS n FROM ({DRIVEN_SQL}) GROUP BY ALL""")
@@ -274,7 +281,8 @@ def recovered_then_looked_up(spark, sf_dir):
     held = lambda queries: queries.where(F.col("query").startswith("Holding")).select("query", F.lit(0).alias("rank"), F.concat(F.lit("H"), F.right("query", F.lit(1))).alias("ticker"), F.col("query").alias("name"))
     nothing = spark.createDataFrame([], "doc_id string, reasons array<string>")
     run = whole(lambda documents: (documents, rows.withColumn("field_confidence", sure), nothing), recovery(["asset_description", "owner"], _completion, given), held, companies)
-    return run(filings)[1].select("doc_id", "line_no", "asset_description", "owner", "ticker", "extractor")
+    with holding():
+        return written(run(filings)[1].select("doc_id", "line_no", "asset_description", "owner", "ticker", "extractor"), "recovered")
 
 
 def _page_rows(prompt: str, given: str, schema: dict) -> dict:
@@ -288,7 +296,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(n AS INTEGER) AS line_no, CAS
   CASE WHEN n % 2 = 1 THEN 'self' ELSE 'joint' END AS owner, CASE WHEN n % 2 = 1 THEN DATE '2026-01-02' ELSE DATE '2026-01-04' END AS transaction_date, CAST(CASE WHEN n % 2 = 1 THEN 5 END AS DOUBLE) AS value_min, CAST(0.5 AS DOUBLE) AS confidence FROM r""")
 def completion_rows(spark, sf_dir):
     """Two pages an order read by a completion; rows that are not fit are dropped and take no number."""
-    pages = table(spark, sf_dir, "orders").select(as_text("o_orderkey").alias("doc_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("page_no"))
+    pages = _spread(table(spark, sf_dir, "orders").select("o_orderkey")).select(as_text("o_orderkey").alias("doc_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("page_no"))
     given = F.concat("doc_id", F.when(F.col("page_no") == 1, "x").otherwise("y"))
     return extract_by_completion(pages.withColumn("given", given), _page_rows).select("doc_id", "line_no", "asset_description", "owner", "transaction_date", "value_min", "confidence")
 

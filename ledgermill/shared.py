@@ -1,4 +1,4 @@
-"""The folder that the driver and all executors share."""
+"""The folder that the driver and all executors share, and tables that several outputs read."""
 
 from __future__ import annotations
 
@@ -6,10 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+_held: ContextVar[list[DataFrame] | None] = ContextVar("held", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,3 +30,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, made once whoever reads them."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def held(df: DataFrame) -> DataFrame:
+    """Inside holding(), df kept by the executors, so that several outputs read it and make it once; lost parts are made
+    again. Elsewhere df as it is: one output gains nothing."""
+    kept = _held.get()
+    if kept is None:
+        return df
+    kept.append(df.persist())
+    return kept[-1]
+
+
+@contextmanager
+def holding():
+    """Lets go, at its end, of what was held inside: write what reads it before."""
+    outer = _held.set([])
+    try:
+        yield
+    finally:
+        for df in _held.get():
+            df.unpersist()
+        _held.reset(outer)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..shared import held, holding
 from ..sinks import dead_letters, write_silver
 from ..sources.messages import decoded_messages
 from .run_log import logged
@@ -30,16 +31,16 @@ def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silve
     """foreachBatch function: load(keys) gives documents (doc_id, bronze_key, content); the gate, if any, must pass before silver is replaced."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with logged("extract", tell, batch=batch_id) as event:
+        with logged("extract", tell, batch=batch_id) as event, holding():
             event["outcome"], event["documents"] = taken(batch, batch_id)
 
     def taken(batch: DataFrame, batch_id: int) -> tuple[str, int]:
         spark = batch.sparkSession
         keys = decoded_messages(batch, with_body=True)
         named = keys.where(F.col("error").isNull()).groupBy("bronze_key").agg(F.first("body").alias("body"))
-        documents = load(named.select("bronze_key")).persist()
+        documents = held(load(named.select("bronze_key")))
         filings, transactions, failed = extract(documents)
-        transactions = transactions.persist()
+        transactions, failed = held(transactions), held(failed)
         passed = gate is None or gate(transactions)
         lost = failed.select("doc_id", F.array_join("reasons", ",").alias("reason"))
         good = documents.join(failed.select("doc_id"), "doc_id", "left_anti")
@@ -50,10 +51,7 @@ def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silve
         lost = lost.join(documents.select("doc_id", "bronze_key"), "doc_id").join(named, "bronze_key").select("doc_id", "reason", "body")
         unknown = keys.where(F.col("error").isNotNull()).select(F.concat(F.lit("message-"), F.sha2("body", 256)).alias("doc_id"), F.col("error").alias("reason"), "body")
         record_failures(spark, lost.unionByName(unknown), quarantine, batch_id)
-        count = documents.count()
-        documents.unpersist()
-        transactions.unpersist()
-        return "success" if passed else "gate", count
+        return "success" if passed else "gate", documents.count()
 
     return write
 
