@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ledgermill.operators.collect import bronze_plan
 from ledgermill.plans.collect import collect_run, run_result
-from ledgermill.plans.drive import by_kind, house_digital, whole
+from ledgermill.plans.drive import by_kind, house_digital, recovery, whole
 from ledgermill.plans.senate import extract_senate
 from ledgermill.schemas import split_valid
+from ledgermill.shared import held, holding
 from ledgermill.sinks import compact, manifest, read_silver, write_silver
 from ledgermill.streaming.ingest import batch_writer, message_stream, redelivered, run_available, stale
 from ledgermill.streaming.run_log import logged, progress
@@ -150,3 +151,32 @@ def test_stale(spark):
     from datetime import datetime
 
     assert values(stale(log, datetime(2026, 1, 4)), "stage") == [("a",), ("c",)]
+
+
+def test_completions_are_asked_once(spark, tmp_path):
+    log = tmp_path / "asked"
+
+    def complete(prompt, given, schema):
+        with open(log, "a") as f:
+            f.write(f"{given}\n")
+        return {"owner": "dog" if given == "b" else "spouse"}
+
+    rows = extract_senate(documents(spark, {"a": page([ROW]), "b": page([ROW]), "c": page([ROW])}))[1]
+    doubtful = rows.withColumn("field_confidence", F.create_map(F.lit("owner"), F.when(F.col("doc_id") == "c", 1.0).otherwise(0.0)))
+    good, bad = recovery(["owner"], complete, spark.createDataFrame([(x, x) for x in "abc"], "doc_id string, given string"))(doubtful)
+    for _ in range(2):
+        assert values(good, "doc_id", "owner") == [("a", "spouse"), ("c", "self")] and values(bad) == [("b", ["owner"])]
+    assert sorted(log.read_text().split()) == ["a", "b"]
+
+
+def test_held_tables_are_let_go(spark):
+    rows = spark.range(3)
+    assert held(rows) is rows and not rows.is_cached
+    with pytest.raises(ValueError), holding():
+        kept = held(rows)
+        assert kept.is_cached and kept.count() == 3
+        with holding():
+            inner = held(spark.range(5))
+        assert kept.storageLevel.useMemory and not inner.storageLevel.useMemory
+        raise ValueError
+    assert not kept.storageLevel.useMemory and held(rows) is rows
