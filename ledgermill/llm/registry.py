@@ -12,6 +12,7 @@ from .token_files import op7_token_files
 from .tool_calls import OP2_SQL, op2_tool_calls
 from .topk import OP10_SQL, op10_topk
 from .toxicity import op4_toxicity
+from .turns import OP13_SQL, op13_turn_repair
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_quality_rules": op9_quality_rules,
     "op10_topk": op10_topk,
+    "op13_turn_repair": op13_turn_repair,
 }
-ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op10_topk": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op10_topk": OP10_SQL, "op13_turn_repair": OP13_SQL}
