@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .filter_audit import OP11_SQL, op11_filter_audit
 from .packing import op3_packing
 from .pieces import op8_pieces
 from .pii import op1_pii
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_quality_rules": op9_quality_rules,
     "op10_topk": op10_topk,
+    "op11_filter_audit": op11_filter_audit,
     "op13_turn_repair": op13_turn_repair,
 }
-ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op10_topk": OP10_SQL, "op13_turn_repair": OP13_SQL}
+ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op10_topk": OP10_SQL, "op11_filter_audit": OP11_SQL, "op13_turn_repair": OP13_SQL}
