@@ -32,8 +32,23 @@ def materialise(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return back
 
 
+def materialise_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """materialise() into ``buckets`` buckets by a key, so that joins by the key need not move these rows."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    known = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(known)
+    back = spark.table(known)
+    back._ledgermill_path, back._ledgermill_table = path, known
+    if _scratch:
+        _scratch[-1].append(back)
+    return back
+
+
 def discard(df: DataFrame) -> None:
     """Removes a table that materialise() wrote and that nothing reads any more."""
+    if known := getattr(df, "_ledgermill_table", None):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {known}")
     path = getattr(df, "_ledgermill_path", None)
     if path:
         spark = df.sparkSession

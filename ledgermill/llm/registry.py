@@ -7,6 +7,7 @@ from .packing import op3_packing
 from .pieces import op8_pieces
 from .pii import op1_pii
 from .quality import op9_quality_rules
+from .repeats import op12_repeats
 from .sharding import op6_sharding
 from .simhash import op5_simhash
 from .token_files import op7_token_files
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_topk": op10_topk,
     "op11_filter_audit": op11_filter_audit,
+    "op12_repeats": op12_repeats,
     "op13_turn_repair": op13_turn_repair,
 }
 ORACLES: dict[str, str] = {"op2_tool_calls": OP2_SQL, "op10_topk": OP10_SQL, "op11_filter_audit": OP11_SQL, "op13_turn_repair": OP13_SQL}
