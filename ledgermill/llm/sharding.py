@@ -6,8 +6,9 @@ found in a balanced search tree (an AVL tree here). Groups of one size are inter
 driver gets sizes with their numbers of groups and packs all groups of a size in a few steps; a
 group's rank among those of its size then tells its bin. Sizes are told apart to PRECISE significant
 bits (exactly below 2 ** PRECISE bytes, to 0.02 % above, rounded up), which bounds the number of
-sizes by 2 ** (PRECISE - 1) for each doubling. The capacity is the smallest (to 0.05 %) at which the
-groups fit the wanted number of shards.
+sizes by 2 ** (PRECISE - 1) for each doubling. Groups above an even share get a shard each; the capacity of
+the others is an even share of the rest, then the least that takes what is over, so that a hot group leaves no
+shard empty.
 
 Defined cases: a null text has size 1 and groups with the other nulls; an empty text is a
 group of its own; null and repeated doc_ids are rows like any other; an empty table gives no rows;
@@ -109,42 +110,61 @@ class CapacityTree:
         return self._fixed(node)
 
 
-def best_fit_decreasing(sizes: list[tuple[int, int]], capacity: int, bins: int | None = None) -> list[tuple[int, int, int]] | None:
-    """(size, bin, number of groups) in the order of packing, for (size, number of groups), sizes falling. None if more
-    than ``bins`` are needed. A bin that takes a group stays the tightest for the next of its size as long as it takes one."""
-    tree, opened, out = CapacityTree(), 0, []
+Sizes = list[tuple[int, int]]
+Plan = list[tuple[int, int, int]]
+
+
+def best_fit_decreasing(sizes: Sizes, room: list[int]) -> tuple[Plan, Sizes]:
+    """(size, bin, number of groups) in the order of packing, and what no bin takes, for (size, number of groups), sizes
+    falling, into bins with so much room. A bin that takes a group stays the tightest for the next of its size as long as
+    it takes one."""
+    tree, out, over = CapacityTree(), [], []
+    for k, free in enumerate(room):
+        tree.add(free, k)
     for size, n in sizes:
-        if size > capacity:
-            return None
         while n:
             found = tree.take(size)
             if found is None:
-                if opened == bins:
-                    return None
-                found, opened = (capacity, opened), opened + 1
+                over.append((size, n))
+                break
             here = min(n, found[0] // size)
             out.append((size, found[1], here))
             tree.add(found[0] - here * size, found[1])
             n -= here
-    return out
+    return out, over
 
 
-def pack_into(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int]]:
-    """Best-fit decreasing into ``bins`` bins at the smallest capacity (to 0.05 %) that holds all."""
+def pack_into(sizes: Sizes, bins: int) -> Plan:
+    """Near equal bins. Groups above an even share of what is left get a bin each, largest first. The others are packed by
+    best fit into the bins that remain, all open, with an even share of the rest as capacity; what is over then goes by
+    best fit into the least capacity (to 0.05 %) that takes it. No bin exceeds that share by more than one group."""
+    sizes, out, first = [list(x) for x in sizes], [], 0
     total = sum(s * n for s, n in sizes)
-    low, high = max(-(-total // bins), sizes[0][0] if sizes else 0), max(total, 1)
-    found = best_fit_decreasing(sizes, low, bins)
-    if found is not None:
-        return found
-    step = max(1, low // 2000)
-    while high - low > step:
+    while sizes and first < bins - 1 and sizes[0][0] * (bins - first) > total:
+        out.append((sizes[0][0], first, 1))
+        total -= sizes[0][0]
+        first += 1
+        sizes[0][1] -= 1
+        if not sizes[0][1]:
+            del sizes[0]
+    share = total // (bins - first)
+    found, over = best_fit_decreasing([tuple(x) for x in sizes], [share] * (bins - first))
+    room = [share] * (bins - first)
+    for size, k, n in found:
+        room[k] -= size * n
+    low, high, best = -1, over[0][0] if over else 0, None
+    step = max(1, share // 2000)
+    while over and high - low > step:
         middle = (low + high) // 2
-        trial = best_fit_decreasing(sizes, middle, bins)
-        if trial is None:
+        trial, left = best_fit_decreasing(over, [x + middle for x in room])
+        if left:
             low = middle
         else:
-            found, high = trial, middle
-    return found if found is not None else best_fit_decreasing(sizes, high, bins)
+            high, best = middle, trial
+    if over and best is None:
+        best, left = best_fit_decreasing(over, [x + high for x in room])
+        assert not left  # a bin with an even share or less always takes one more group
+    return out + [(size, k + first, n) for size, k, n in found + (best or [])]
 
 
 def rounded(size: Column) -> Column:
