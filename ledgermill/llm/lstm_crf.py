@@ -161,6 +161,26 @@ class BiLstmCrf:
         return [out[:n, i] for i, n in enumerate(sizes)]
 
 
+def settled(e: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """For stretches of emissions (stretch, time, tags) that stand inside longer ones: each place's tag if every best path
+    through the stretch has it there, whatever tags the stretch begins and ends with, else -1."""
+    n, tags = e.shape[1], e.shape[2]
+    ahead = np.full((len(e), n, tags, tags), -1e9, np.float64)  # (stretch, place, first tag, tag)
+    ahead[:, 0, range(tags), range(tags)] = e[:, 0]
+    for t in range(1, n):
+        ahead[:, t] = (ahead[:, t - 1, :, :, None] + transitions).max(2) + e[:, t, None, :]
+    out, after = np.full((len(e), n), -1, np.int64), np.where(np.eye(tags, dtype=bool), 0.0, -1e9)[None].repeat(len(e), 0)  # (stretch, tag, last tag)
+    for t in range(n - 1, -1, -1):
+        both = ahead[:, t, :, :, None] + after[:, None]  # (stretch, first, tag, last)
+        two = np.partition(both, -2, 2)[:, :, -2:]
+        best = both.argmax(2).reshape(len(e), -1)
+        sure = (best == best[:, :1]).all(1) & ((two[:, :, 1] - two[:, :, 0]) > 1e-3).all((1, 2))
+        out[sure, t] = best[sure, 0]
+        if t:
+            after = (transitions[None, :, :, None] + (e[:, t, :, None] + after)[:, None]).max(2)
+    return out
+
+
 class CarriedViterbi:
     """Viterbi over a sequence that comes in blocks. What all best paths share is settled, the rest is carried on."""
 

@@ -4,10 +4,12 @@ The network is trained in numpy from labelled spans (a fixed, seeded set of draw
 addresses, ip addresses, card and phone numbers in many written forms, and look-alikes that are none) by
 ``train_pii.py``, which writes ``pii_weights.npz``. A text is cut into overlapping windows; emissions of
 all windows are averaged place by place, weighted towards each window's middle, and one Viterbi pass over
-every stretch of touching windows gives spans that no window edge cuts. Added spans must pass the checks of
-their kind (``valid``) and overlap no base span; base spans stay as they are. Windows are run wherever such
-a span can lie: ``extents`` are all runs of characters that hold a span which ``valid`` accepts, and every
-window that covers a place of one is run, so those places have the emissions that running every window gives.
+the text gives spans that no window edge cuts. Added spans must pass the checks of their kind (``valid``)
+and overlap no base span; base spans stay as they are. What lies far from any such span need not be run:
+``extents`` are all runs of characters that hold a span which ``valid`` accepts; each is run with MARGIN places
+at both sides, with every window that covers one of them, so all have the emissions of a full run. The text's best
+path is taken from places in the margins at which it has the same tag whatever stands further out (``settled``);
+where a margin has no such place, the whole text is run. So the spans are those of running everything.
 
 Defined cases: a null text is empty and has no span; repeated rows are read each; null and repeated doc_ids
 are rows like any other; a very long text is read in blocks of windows, its Viterbi pass carried from block
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed
-from .lstm_crf import PAD, BiLstmCrf, CarriedViterbi, char_codes
+from .lstm_crf import PAD, BiLstmCrf, CarriedViterbi, char_codes, settled
 
 KINDS = ("email", "ip", "card", "phone")
 LENGTH, STRIDE = 64, 32
@@ -228,44 +230,80 @@ def extents(text: str) -> list[tuple[int, int]]:
     return out
 
 
+#: Places run at each side of an extent, in which the tags of the text's best path must settle.
+MARGIN = 48
 #: Places of a stretch that are decoded at once; longer stretches carry their Viterbi state from block to block.
 BLOCK = 8192
 
 
 class _Stretch:
-    """A run of touching windows: averages emissions as its windows come in, and decodes long ones block by block."""
+    """Touching extents with a margin at each side: averages emissions as the windows over them come in, and decodes long
+    ones block by block. ``core`` runs from the first extent to the end of the last."""
 
-    def __init__(self, text: int, start: int, end: int, last: int) -> None:
-        self.text, self.start, self.end, self.last = text, start, end, last
+    def __init__(self, text: int, start: int, end: int, core: tuple[int, int], windows: range) -> None:
+        self.text, self.start, self.end, self.core, self.windows = text, start, end, core, windows
         self.total = np.zeros((0, N_TAGS), np.float32)
         self.weight = np.zeros(0, np.float32)
-        self.at, self.blocks, self.carry = start, [], None
+        self.at, self.carry = start, None
 
     def add(self, start: int, e: np.ndarray, weight: np.ndarray, detector: Detector) -> None:
-        done = start - self.at
-        if done >= BLOCK:
-            self._decode(done, detector)
-        n = min(LENGTH, self.end - start)
-        grow = start - self.at + n - len(self.weight)
+        if start - self.at >= BLOCK + MARGIN:  # so that the last block holds the margin behind
+            self._decode(start - self.at - MARGIN, detector)
+        low, high = max(start, self.start), min(start + LENGTH, self.end)
+        grow = high - self.at - len(self.weight)
         if grow > 0:
             self.total = np.concatenate([self.total, np.zeros((max(grow, min(len(self.weight), 2 * BLOCK)), N_TAGS), np.float32)])
             self.weight = np.concatenate([self.weight, np.zeros(len(self.total) - len(self.weight), np.float32)])
-        a = start - self.at
-        self.total[a : a + n] += e[:n] * weight[:n, None]
-        self.weight[a : a + n] += weight[:n]
+        a, here = low - self.at, slice(low - start, high - start)
+        self.total[a : a + high - low] += e[here] * weight[here, None]
+        self.weight[a : a + high - low] += weight[here]
 
     def _decode(self, n: int, detector: Detector) -> None:
+        e = self.total[:n] / self.weight[:n, None]
         if self.carry is None:
             self.carry = CarriedViterbi(detector.model, detector.steps)
-        self.carry.feed(self.total[:n] / self.weight[:n, None])
+            e = self.begun(e, detector)
+        if e is not None and self.at + n == self.end:
+            e = self.stopped(e, detector)
+        self.lost = self.lost or e is None
+        if not self.lost:
+            self.carry.feed(e)
         self.total, self.weight, self.at = self.total[n:].copy(), self.weight[n:].copy(), self.at + n
 
+    lost = False
+
+    def begun(self, e: np.ndarray, detector: Detector, tags: np.ndarray | None = None) -> np.ndarray | None:
+        """Emissions from the last settled place of the margin before, which allow its tag only; None if there is none."""
+        if self.start:
+            n = self.core[0] - self.start + 1
+            tags = detector.settled([e[:n]])[0] if tags is None else tags
+            sure = np.flatnonzero(tags >= 0)
+            if not len(sure):
+                return None
+            e, self.start = e[sure[-1] :].copy(), self.start + int(sure[-1])
+            e[0, np.arange(N_TAGS) != tags[sure[-1]]] -= 1e4
+        return e
+
+    def stopped(self, e: np.ndarray, detector: Detector, tags: np.ndarray | None = None) -> np.ndarray | None:
+        """Emissions to the first settled place of the margin behind, likewise; the text's end needs none."""
+        if self.margin:
+            tags = detector.settled([e[-self.margin :]])[0] if tags is None else tags
+            sure = np.flatnonzero(tags >= 0)
+            if not len(sure):
+                return None
+            e = e[: len(e) - self.margin + int(sure[0]) + 1].copy()
+            e[-1, np.arange(N_TAGS) != tags[sure[0]]] -= 1e4
+        return e
+
+    margin = 0
+
     def tags(self, detector: Detector) -> np.ndarray | None:
-        """The tags of a long stretch; short ones are decoded with others, from ``emissions``."""
+        """The tags of a long stretch, from ``start``; short ones are decoded with others, from ``emissions``."""
         if self.carry is None:
             return None
-        self._decode(self.end - self.at, detector)
-        return self.carry.finish()
+        if not self.lost:
+            self._decode(self.end - self.at, detector)
+        return None if self.lost else self.carry.finish()
 
     def emissions(self) -> np.ndarray:
         n = self.end - self.at
@@ -280,59 +318,96 @@ class Detector:
         away = np.abs(np.arange(LENGTH) - (LENGTH - 1) / 2)
         self.weight = (LENGTH / 2 + 0.5 - away).astype(np.float32)
 
-    def windows(self, text: str) -> list[int]:
-        """Starts of all windows that cover a place of an extent."""
-        last = max(0, -(-(len(text) - LENGTH) // STRIDE))
-        if self.every:
-            return [k * STRIDE for k in range(last + 1)] if text else []
-        found: set[int] = set()
-        for low, end in extents(text):
-            found.update(range(max(0, (low - LENGTH) // STRIDE + 1), min(last, (end - 1) // STRIDE) + 1))
-        return [k * STRIDE for k in sorted(found)]
-
-    def stretches(self, k: int, text: str):
-        """(stretch, window start) of every window to run, stretch by stretch."""
-        run: list[int] = []
-        for start in [*self.windows(text), None]:
-            if run and (start is None or start > run[-1] + LENGTH):
-                held = _Stretch(k, run[0], min(len(text), run[-1] + LENGTH), run[-1])
-                for x in run:
-                    yield held, x
-                run = []
-            run.append(start)
+    def settled(self, margins: list[np.ndarray]) -> list[np.ndarray]:
+        """settled() of margins of any lengths."""
+        out: list[np.ndarray] = [np.empty(0)] * len(margins)
+        for n in {len(x) for x in margins}:
+            same = [k for k, x in enumerate(margins) if len(x) == n]
+            for at in range(0, len(same), 64):
+                part = same[at : at + 64]
+                for k, tags in zip(part, settled(np.stack([margins[k] for k in part]), self.model._transitions(self.steps))):
+                    out[k] = tags
+        return out
+
+    def stretches(self, k: int, text: str, every: bool) -> list[_Stretch]:
+        n = len(text)
+        last = max(0, -(-(n - LENGTH) // STRIDE))
+        runs: list[list[int]] = []
+        for low, end in [(0, n)] * bool(text) if every else sorted(extents(text)):
+            if runs and low - MARGIN <= runs[-1][1] + MARGIN:
+                runs[-1][1] = max(runs[-1][1], end)
+            else:
+                runs.append([low, end])
+        out = []
+        for low, end in runs:
+            start, stop = max(0, low - MARGIN), min(n, end + MARGIN)
+            windows = range(max(0, (start - LENGTH) // STRIDE + 1), min(last, (stop - 1) // STRIDE) + 1)
+            out.append(_Stretch(k, start, stop, (low, end), windows))
+            out[-1].margin = stop - end if stop < n else 0
+        return out
 
     def raw_spans(self, texts: list[str]) -> list[list[Span]]:
-        """Spans of the network alone, before any check."""
-        out: list[list[Span]] = [[] for _ in texts]
+        """Spans of the network alone, before any check: those of one Viterbi pass over the whole text that extents hold.
+        Where a margin leaves a tag open, the whole text is run."""
         texts = [_SQUARE_AT.sub("(at)", x) for x in texts]
+        out, open_ = self._run(texts, self.every)
+        again = sorted(open_)
+        for k, spans in zip(again, self._run([texts[k] for k in again], True)[0] if again else []):
+            out[k] = spans
+        return out
+
+    def _run(self, texts: list[str], every: bool) -> tuple[list[list[Span]], set[int]]:
+        out: list[list[Span]] = [[] for _ in texts]
+        lost: set[int] = set()
         ended: list[_Stretch] = []
-        asked = (x for k, text in enumerate(texts) for x in self.stretches(k, text))
+        asked = ((held, x) for k, text in enumerate(texts) for held in self.stretches(k, text, every) for x in held.windows)
         while block := list(islice(asked, self.batch)):
             codes = np.full((len(block), LENGTH), PAD)
-            for r, (held, start) in enumerate(block):
-                row = char_codes(texts[held.text][start : start + LENGTH])
+            for r, (held, x) in enumerate(block):
+                row = char_codes(texts[held.text][x * STRIDE : x * STRIDE + LENGTH])
                 codes[r, : len(row)] = row
             e = self.model.emissions(codes)
-            for r, (held, start) in enumerate(block):
-                held.add(start, e[:, r], self.weight, self)
-                if start == held.last:
-                    tags = held.tags(self)
-                    if tags is None:
+            for r, (held, x) in enumerate(block):
+                held.add(x * STRIDE, e[:, r], self.weight, self)
+                if x == held.windows[-1]:
+                    if held.carry is None:
                         ended.append(held)
                     else:
-                        out[held.text] += [(kind, held.start + x, held.start + y) for kind, x, y in spans_of(tags)]
+                        self._told(held, held.tags(self), out, lost)
             if len(ended) >= self.batch:
-                self._decoded(ended, out)
+                self._decoded(ended, out, lost)
                 ended = []
-        self._decoded(ended, out)
-        return out
-
-    def _decoded(self, ended: list[_Stretch], out: list[list[Span]]) -> None:
-        ended = sorted(ended, key=lambda x: x.end - x.start)
-        for at in range(0, len(ended), 64):
-            part = ended[at : at + 64]
-            for held, tags in zip(part, self.model.viterbi_batch([x.emissions() for x in part], self.steps)):
-                out[held.text] += [(kind, held.start + x, held.start + y) for kind, x, y in spans_of(tags)]
+        self._decoded(ended, out, lost)
+        return out, lost
+
+    @staticmethod
+    def _told(held: _Stretch, tags: np.ndarray | None, out: list[list[Span]], lost: set[int]) -> None:
+        if tags is None:
+            lost.add(held.text)
+        else:
+            # A span that goes on to the last place may go on behind it: it leaves its extent, where no valid one ends.
+            found = [(kind, held.start + x, held.start + y) for kind, x, y in spans_of(tags)]
+            out[held.text] += [x for x in found if not held.margin or x[2] < held.start + len(tags)]
+
+    def _decoded(self, ended: list[_Stretch], out: list[list[Span]], lost: set[int]) -> None:
+        given = [x.emissions() for x in ended]
+        before = [k for k, x in enumerate(ended) if x.start]
+        heads = dict(zip(before, self.settled([given[k][: ended[k].core[0] - ended[k].start + 1] for k in before])))
+        behind = [k for k, x in enumerate(ended) if x.margin]
+        tails = dict(zip(behind, self.settled([given[k][-ended[k].margin :] for k in behind])))
+        ready = []
+        for k, held in enumerate(ended):
+            e = held.begun(given[k], self, heads.get(k))
+            e = None if e is None else held.stopped(e, self, tails.get(k))
+            if e is None:
+                self._told(held, None, out, lost)
+            else:
+                ready.append((held, e))
+        ready.sort(key=lambda x: len(x[1]))
+        for at in range(0, len(ready), 64):
+            part = ready[at : at + 64]
+            for (held, _), tags in zip(part, self.model.viterbi_batch([e for _, e in part], self.steps)):
+                self._told(held, tags, out, lost)
 
     def spans(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(base, all) of each text, by kind as listed, then start."""

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgermill.llm.lstm_crf import BiLstmCrf, CarriedViterbi
+from ledgermill.llm.lstm_crf import settled
 from ledgermill.llm.pii import DRAWN, KINDS, N_TAGS, Detector, allowed_steps, base_spans, default_model, drawn_examples, extents, find_pii, listed, luhn, redact, train, valid
 
 
@@ -90,7 +91,7 @@ def test_address_without_digit_or_at_sign(at):
     texts = [f"{'plain words and more of them ' * 5}{'x' * k} write to {address} for the rest of the story" for k in range(0, 64, 3)]
     found = [every for _, every in detector.spans(texts)]
     assert all(spans == [("email", x.index(address), x.index(address) + len(address))] for x, spans in zip(texts, found))
-    assert detector.windows("no address (here) or [there] " * 9) == []
+    assert detector.stretches(0, "no address (here) or [there] " * 9, False) == []
 
 
 PARTS = ["jane", "x.y", " ", "  ", "@", "(at)", "[AT]", "(dot)", "[dot]", ".", "example", "org", "1", "42", "255", "4111 1111 1111 1111", "4111.1111-1111/1111", "9" * 25, "+49", "(030)", "/", "-", "_", "(", "+", "é", "\n", "10 . 0 . 0 . 1"]
@@ -113,6 +114,29 @@ def test_all_windows_find_no_more():
     assert Detector(default_model()).spans(texts) == Detector(default_model(), every=True).spans(texts)
 
 
+def test_prose_around_changes_nothing():
+    """Long prose around each drawn sentence, where most windows are not run; long extents, carried from block to block."""
+    draw = random.Random(8)
+    words = "the of and to in is that it was for on are with as his they at be this from have or by one had not but what".split()
+    prose = lambda: " ".join(draw.choices(words, k=draw.randint(15, 60)))
+    texts = [f"{prose()} {x} {prose()}" for x, _ in drawn_examples(500, seed=43)]
+    texts += [f"{prose()} {'1.2 ' * n} +1 (415) 555-2671 {prose()}" for n in (2060, 2200)]
+    some, every = Detector(default_model()), Detector(default_model(), every=True)
+    assert some.spans(texts) == every.spans(texts)
+
+
+def test_settled_places_hold_in_longer_sequences():
+    draw, model = np.random.default_rng(1), default_model()
+    steps = allowed_steps()
+    for _ in range(20):
+        e = draw.normal(0, 3, (120, N_TAGS)).astype(np.float32)
+        found = settled(e[None, 30:90], model._transitions(steps))[0]
+        for _ in range(5):
+            e[:30], e[90:] = draw.normal(0, 3, (2, 30, N_TAGS))
+            path = model.viterbi(e, steps)[30:90]
+            assert (found < 0).mean() < 0.8 and (path == found)[found >= 0].all()
+
+
 def test_long_runs():
     """A million characters of one kind take seconds, and base spans stay those of the patterns."""
     n, detector = 1_000_000, Detector(default_model())
