@@ -45,7 +45,7 @@ def provider(name: str, post: Callable[[str, object, dict], dict], pace: Pace |
 
 
 def provider_from_env(env: Mapping[str, str], post) -> Callable[[str, object, dict], dict]:
-    return provider(env.get("LLM_PROVIDER", "lm_studio"), post)
+    return provider(env.get("LLM_FALLBACK_PROVIDER", "lm_studio"), post)
 
 
 def gemini_schema(schema: dict) -> dict:

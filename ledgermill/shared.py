@@ -9,7 +9,8 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _own: list[str] = []
 _held: ContextVar[list[DataFrame] | None] = ContextVar("held", default=None)
@@ -39,6 +40,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(found: Observation, *names: str) -> dict[str, int]:
+    """The observed counts of a write. A plan that turns out to be empty is cut off with the counters in it: all zero."""
+    try:
+        counts = found.get
+    except Py4JJavaError:  # an observed row without columns
+        counts = {}
+    return {x: counts.get(x) or 0 for x in names}
+
+
 def held(df: DataFrame) -> DataFrame:
     """Inside holding(), df kept by the executors, so that several outputs read it and make it once; lost parts are made
     again. Elsewhere df as it is: one output gains nothing."""

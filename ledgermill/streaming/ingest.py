@@ -8,13 +8,15 @@ body. ``redelivered`` gives what is not dead yet back as messages. A batch that
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..shared import held, holding
+from ..functions.keys import parsed_bronze_key
+from ..shared import counted, held, holding
 from ..sinks import dead_letters, write_silver
 from ..sources.messages import decoded_messages
 from .run_log import logged
@@ -23,35 +25,62 @@ Extract = Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]
 
 
 def message_stream(spark: SparkSession, folder: str, files_a_batch: int = 100) -> DataFrame:
-    """Message files (one JSON a line) of a folder, as they come."""
-    return spark.readStream.schema("value string").option("maxFilesPerTrigger", files_a_batch).text(folder).select(F.col("value").alias("body"))
+    """Message files (one JSON a line) of a folder, as they come, with the time at which each came."""
+    lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_a_batch).text(folder)
+    return lines.select(F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("arrived"))
 
 
-def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silver: str, quarantine: str, gate: Callable[[DataFrame], bool] | None = None, tell: Callable[[str], None] = print):
-    """foreachBatch function: load(keys) gives documents (doc_id, bronze_key, content); the gate, if any, must pass before silver is replaced."""
+def _unnamed(body: Column) -> Column:
+    """The id of a message that names no document."""
+    return F.concat(F.lit("message-"), F.sha2(F.coalesce(body, F.lit("")), 256))
+
+
+def _told(batch: DataFrame) -> DataFrame:
+    """bronze_key, error, body, arrival of every record of a batch: the order of arrival is that of time, then place in the batch."""
+    at = F.unix_micros("arrived") * 1000 if "arrived" in batch.columns else F.lit(None).cast("long")
+    return decoded_messages(batch.select("body", F.struct(at.alias("arrived"), F.monotonically_increasing_id().alias("place")).alias("arrival")), with_body=True)
+
+
+def batch_writer(load: Callable[[DataFrame], DataFrame], extract: Extract, silver: str, quarantine: str, gate: Callable[[DataFrame], bool] | None = None, tell: Callable[[str], None] = print, outcomes: str | None = None):
+    """foreachBatch function: load(keys) gives documents (doc_id, bronze_key, content); the gate, if any, must pass before silver is replaced.
+
+    Of the keys that name one document (its versions) the one that arrived last is extracted, the others are done with it.
+    A key without an object and a message that cannot be read are quarantined. ``outcomes`` is a folder for what became of
+    each document, for ``streaming.attempts``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with logged("extract", tell, batch=batch_id) as event, holding():
-            event["outcome"], event["documents"] = taken(batch, batch_id)
+            event.update(taken(batch, batch_id))
 
-    def taken(batch: DataFrame, batch_id: int) -> tuple[str, int]:
+    def taken(batch: DataFrame, batch_id: int) -> dict:
         spark = batch.sparkSession
-        keys = decoded_messages(batch, with_body=True)
-        named = keys.where(F.col("error").isNull()).groupBy("bronze_key").agg(F.first("body").alias("body"))
-        documents = held(load(named.select("bronze_key")))
+        keys = held(_told(batch))
+        named = keys.where(F.col("error").isNull()).groupBy("bronze_key").agg(F.max_by("body", "arrival").alias("body"), F.max("arrival").alias("arrival"))
+        loaded = held(load(named.select("bronze_key")))
+        there = loaded.select("doc_id", "bronze_key").join(named, "bronze_key")
+        newest = there.groupBy("doc_id").agg(F.max_by(F.struct("bronze_key", "body", "arrival"), F.struct("arrival", "bronze_key")).alias("m")).select("doc_id", "m.*")
+        documents = loaded.join(newest.select("doc_id", "bronze_key"), ["doc_id", "bronze_key"], "left_semi")
         filings, transactions, failed = extract(documents)
         transactions, failed = held(transactions), held(failed)
         passed = gate is None or gate(transactions)
         lost = failed.select("doc_id", F.array_join("reasons", ",").alias("reason"))
-        good = documents.join(failed.select("doc_id"), "doc_id", "left_anti")
+        good = newest.join(failed.select("doc_id"), "doc_id", "left_anti")
+        event = {"outcome": "success" if passed else "gate"}
         if passed:
-            write_silver(filings, transactions, good.select("doc_id", "bronze_key"), silver)
+            event |= write_silver(filings, transactions, good.select("doc_id", "bronze_key", "arrival.arrived"), silver)
         else:
             lost = lost.unionByName(good.select("doc_id", F.lit("quality_gate").alias("reason")))
-        lost = lost.join(documents.select("doc_id", "bronze_key"), "doc_id").join(named, "bronze_key").select("doc_id", "reason", "body")
-        unknown = keys.where(F.col("error").isNotNull()).select(F.concat(F.lit("message-"), F.sha2("body", 256)).alias("doc_id"), F.col("error").alias("reason"), "body")
-        record_failures(spark, lost.unionByName(unknown), quarantine, batch_id)
-        return "success" if passed else "gate", documents.count()
+        lost = lost.join(newest, "doc_id").select("doc_id", "reason", "body")
+        absent = named.join(loaded.select("bronze_key"), "bronze_key", "left_anti")
+        absent = absent.select(F.coalesce(parsed_bronze_key(F.col("bronze_key"))["doc_id"], _unnamed(F.col("body"))).alias("doc_id"), F.lit("no_object").alias("reason"), "body")
+        unread = keys.where(F.col("error").isNotNull()).select(_unnamed(F.col("body")).alias("doc_id"), F.col("error").alias("reason"), "body")
+        lost = held(lost.unionByName(absent).unionByName(unread))
+        if outcomes is not None:
+            # The files of a batch that is run again come beside the old ones; who reads them takes a batch once.
+            done = good.select("doc_id", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"), "body") if passed else lost.limit(0).withColumn("ok", F.lit(True)).select("doc_id", "ok", "reason", "body")
+            every = done.unionByName(lost.select("doc_id", F.lit(False).alias("ok"), "reason", "body"))
+            every.select("doc_id", F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("at"), "ok", "reason", "body").write.mode("append").parquet(outcomes)
+        return event | record_failures(spark, lost, quarantine, batch_id)
 
     return write
 
@@ -65,13 +94,18 @@ def _quarantined(spark: SparkSession, quarantine: str) -> DataFrame:
     return spark.read.schema(QUARANTINE).parquet(quarantine) if there else spark.createDataFrame([], QUARANTINE)
 
 
-def record_failures(spark: SparkSession, failures: DataFrame, quarantine: str, batch_id: int) -> None:
-    """Writes this batch's failures over what the same batch wrote before, with attempts counted over all other batches."""
+def record_failures(spark: SparkSession, failures: DataFrame, quarantine: str, batch_id: int) -> dict[str, int]:
+    """Writes this batch's failures over what the same batch wrote before, with attempts counted over all other batches;
+    gives their numbers as the write counts them."""
     earlier = _quarantined(spark, quarantine).where(F.col("batch_id") != batch_id)
     prior = earlier.groupBy("doc_id").agg(F.max("attempts").alias("attempts"))
     bodies = failures.groupBy("doc_id").agg(F.max("body").alias("body"))
+    found = Observation(f"failures-{uuid.uuid4().hex}")
+    counts = {"failed": F.count(F.lit(1)), "dead": F.count_if("dead")} | {x: F.count_if(F.col("reason") == x) for x in ("no_object", "quality_gate")}
     out = dead_letters(failures, prior).join(bodies, "doc_id").withColumn("batch_id", F.lit(batch_id).cast("long"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
+    observed = out.observe(found, *(c.alias(k) for k, c in counts.items()))
+    observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
+    return counted(found, *counts)
 
 
 def redelivered(spark: SparkSession, quarantine: str, batch_id: int) -> DataFrame:
