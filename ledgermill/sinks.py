@@ -17,6 +17,8 @@ from .sources.messages import queue_message
 PARTITIONS = ("bronze_chamber", "bronze_year", "version")
 #: Actions that leave a content behind.
 NEW = ("write", "versioned")
+#: Attempts at a message before it is dead.
+DEAD_AFTER = 3
 DONE = "doc_id string, arrived long, bronze_chamber string, bronze_year int, version long"
 
 
@@ -111,7 +113,7 @@ def enqueue(outcomes: DataFrame, queue: str) -> None:
     outcomes.where(F.col("action").isin(*NEW)).select(queue_message(F.col("bronze_key"))).write.mode("append").text(queue)
 
 
-def dead_letters(failures: DataFrame, prior: DataFrame, most: int = 3) -> DataFrame:
+def dead_letters(failures: DataFrame, prior: DataFrame, most: int = DEAD_AFTER) -> DataFrame:
     """doc_id, attempts, reason, dead of failures (doc_id, reason) added to prior (doc_id, attempts)."""
     seen = failures.groupBy("doc_id").agg(F.count("*").alias("now"), F.max("reason").alias("reason"))
     total = F.coalesce("attempts", F.lit(0)) + F.col("now")

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from ledgermill.plans import catalog, catalog_runs  # noqa: F401
+from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
