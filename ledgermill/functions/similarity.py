@@ -4,9 +4,11 @@ Arrow batches; equal pairs are answered once a batch."""
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import add
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -22,9 +24,70 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([known.get(x) for x in zip(a, b)], dtype="float64")
 
 
+#: What comparable names are made of.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def ratio_bound(a: Column, b: Column) -> Column:
+    """An upper bound of the ratio: twice the characters that both names hold, each as often as the one that holds it less
+    often, by the characters of both. No matching of blocks can pair more."""
+    times = lambda text, x: F.length(text) - F.length(F.replace(text, F.lit(x)))
+    shared = reduce(add, (F.least(times(a, x), times(b, x)) for x in LETTERS))
+    return 2.0 * shared / (F.length(a) + F.length(b))
+
+
+def may_be_near(a: Column, b: Column, least: float = NEAR) -> Column:
+    """Whether the ratio of two comparable names can reach ``least``: first by their lengths, then by their characters."""
+    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
+    return (2.0 * short >= least * (short + long)) & (ratio_bound(a, b) >= least)
+
+
 def near_exact(query: Column, candidate: Column) -> Column:
-    """Both names hold something and are equal or similar; similarity() gets only pairs that need it."""
+    """Both names hold something and are equal or similar; only pairs whose bounds leave it open reach similarity()."""
     a, b = comparable_name(query), comparable_name(candidate)
-    needed = (a != "") & (b != "") & (a != b)
+    needed = (a != "") & (b != "") & (a != b) & may_be_near(a, b)
     ratio = similarity(F.when(needed, a), F.when(needed, b))
     return (a != "") & (b != "") & ((a == b) | F.coalesce(ratio >= NEAR, F.lit(False)))
+
+
+def _counted_pairs(name: Column) -> Column:
+    """Pairs of neighbouring characters, each with how often it stood before, in an order that all names share."""
+    every = F.transform(F.sequence(F.lit(1), F.length(name) - 1), lambda k: F.substring(name, k, F.lit(2)))
+    counted = F.transform(every, lambda x, k: F.concat(x, F.size(F.filter(F.slice(every, F.lit(1), k + 1), lambda y: y == x)).cast("string")))
+    return F.transform(F.array_sort(F.transform(counted, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x")))), lambda s: s["x"])
+
+
+def _name_keys(name: Column, least: float) -> Column:
+    """Keys of which two names with a ratio of ``least`` or more share one."""
+    size = F.length(name)
+    # The least share of both lengths that neighbouring pairs have in common, and the least length of the other name.
+    common = (1.5 * least - 1) * (1 + least / (2 - least)) * size - 1
+    kept = F.greatest(size - 1 - F.ceil(common - 1e-9).cast("int") + 1, F.lit(1))
+    return F.when(common < 1, F.array(F.concat(F.lit("="), name))).otherwise(F.slice(_counted_pairs(name), F.lit(1), kept))
+
+
+def near_names(left: DataFrame, right: DataFrame, least: float = NEAR) -> DataFrame:
+    """left, right (ids), score: the pairs of (id, name) rows whose comparable names have a ratio of ``least`` (0.9 or more)
+    or more, though no key narrows them.
+
+    A prefix filter finds candidates. A ratio r over S characters matches M = rS / 2 of them in at most S - 2M + 1 blocks,
+    so at least 3M - S - 1 pairs of neighbouring characters are common to both names. With each name's pairs in one
+    order, one of the first few of both must then agree; names too short for that (three
+    characters) have no unequal match at 0.9. Candidates are
+    checked by lengths and characters, and what is left by similarity(). Equal names are one row before they meet."""
+    if not NEAR <= least <= 1:
+        raise ValueError("the filter holds from 0.9 on")
+
+    def prepared(rows: DataFrame, own: str) -> DataFrame:
+        named = rows.select(F.col("id").alias(f"{own}_id"), comparable_name(F.col("name")).alias(own)).where(F.col(own) != "")
+        return named.groupBy(own).agg(F.collect_set(f"{own}_id").alias(f"{own}_ids"))
+
+    a, b = prepared(left, "left"), prepared(right, "right")
+    keyed = lambda rows, own: rows.select(own, F.length(own).alias(f"{own}_n"), F.explode(F.array_distinct(_name_keys(F.col(own), least))).alias("key"))
+    met = keyed(a, "left").join(keyed(b, "right"), "key").where(2.0 * F.least("left_n", "right_n") >= least * (F.col("left_n") + F.col("right_n")))
+    pairs = met.select("left", "right").distinct().where((F.col("left") == F.col("right")) | may_be_near(F.col("left"), F.col("right"), least))
+    open_ = F.col("left") != F.col("right")
+    asked = similarity(F.when(open_, F.col("left")), F.when(open_, F.col("right")))
+    scored = pairs.withColumn("score", F.coalesce(asked, F.lit(1.0))).where(F.col("score") >= least)
+    found = scored.join(a, "left").join(b, "right")
+    return found.select(F.explode("left_ids").alias("left"), "right_ids", "score").select("left", F.explode("right_ids").alias("right"), "score")

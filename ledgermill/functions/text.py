@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import is_normalized
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -46,9 +49,22 @@ def file_findings(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), unicode_findings(text)).otherwise(F.array(F.lit("invalid_utf8")))
 
 
-@F.pandas_udf(BooleanType())
-def is_nfc(text):
-    """Whether a text is NFC-normalised; there is no built-in function for it."""
-    from unicodedata import is_normalized
+#: Characters that are normal wherever they stand: none of these decomposes or composes with the one before. Up to U+02FF all
+#: letters come before the combining marks; the rest are punctuation, currency signs and Han.
+_PLAIN = r"^[\x{0000}-\x{02FF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20C0}\x{4E00}-\x{9FFF}]*$"
 
+
+@F.pandas_udf(BooleanType())
+def _normalised(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else is_normalized("NFC", x))
+
+
+def nfc_in_doubt(text: Column) -> Column:
+    """Whether only a full look can tell that a text is NFC-normalised."""
+    return ~text.rlike(_PLAIN)
+
+
+def is_nfc(text: Column) -> Column:
+    """Whether a text is NFC-normalised: by its characters' classes, and only where those leave it open in Python."""
+    doubt = nfc_in_doubt(text)
+    return F.when(text.isNull(), F.lit(None).cast("boolean")).otherwise(F.coalesce(_normalised(F.when(doubt, text)), F.lit(True)))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from random import Random
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import similarity
+from ..shared import written
 
 EXACT = ("owner", "transaction_type", "asset_type", "transaction_date", "value_min", "value_max", "notification_date")
 SIMILAR = ("asset_description", "filing_status", "sub_owner", "description")
@@ -81,11 +84,23 @@ def unequal_runs(runs: DataFrame) -> DataFrame:
     return sums.groupBy("doc_id").agg(F.count_distinct("lines").alias("kinds")).where(F.col("kinds") > 1).select("doc_id")
 
 
-def seeded_sample(ids: list[str], n: int, seed: int = 0) -> list[str]:
-    """The same n of the sorted ids for the same seed; all if there are no more."""
-    from random import Random
+def seeded_sample(ids: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """nth, id: the same n of the sorted ids (one column, repeats count each) as CPython draws from the sorted list for the
+    seed, in the order of the draw; all of them, sorted, if there are no more.
 
-    return sorted(ids) if n >= len(ids) else Random(seed).sample(sorted(ids), n)
+    The driver draws n places among the number of ids; ids get their places by ranges: one sort, and the sizes of the
+    ranges before."""
+    spark, name = ids.sparkSession, ids.columns[0]
+    ranged = ids.select(F.col(name).alias("id")).repartitionByRange("id").sortWithinPartitions("id").withColumn("at", F.monotonically_increasing_id())
+    kept = written(ranged.select("id", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("at")), "sample-ids")
+    sizes = kept.groupBy("part").count()
+    before = F.sum("count").over(Window.orderBy("part")) - F.col("count")  # one row a range
+    ranked = kept.join(F.broadcast(sizes.select("part", before.alias("before"))), "part").select((F.col("before") + F.col("at")).alias("place"), "id")
+    total = kept.count()
+    if n >= total:
+        return ranked.select(F.col("place").alias("nth"), "id")
+    drawn = [(k, place) for k, place in enumerate(Random(seed).sample(range(total), n))]
+    return ranked.join(F.broadcast(spark.createDataFrame(drawn, "nth long, place long")), "place").select("nth", "id")
 
 
 def report(scores: DataFrame) -> DataFrame:
@@ -93,8 +108,6 @@ def report(scores: DataFrame) -> DataFrame:
     return scores.groupBy("field").pivot("kind").agg(F.first("score"))
 
 
-
-
 def failures_by_kind(filings: DataFrame) -> DataFrame:
     """kind, filings, failed of filings (kind, error)."""
     return filings.groupBy("kind").agg(F.count("*").alias("filings"), F.count_if(F.col("error").isNotNull()).alias("failed"))

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -115,7 +116,11 @@ def test_consistency(spark):
     runs = lines(spark, rows, ", run int")
     assert {x.field: round(x.score, 6) for x in consistency(runs).collect()}["owner"] == round(1 / 3, 6)
     assert values(unequal_runs(runs)) == [("a",)]
-    assert seeded_sample(["c", "a", "b"], 5) == ["a", "b", "c"] and seeded_sample(["c", "a", "b"], 2) == seeded_sample(["b", "c", "a"], 2)
+    ids = lambda *x: spark.createDataFrame([(y,) for y in x], "id string")
+    assert values(seeded_sample(ids("c", "a", "b"), 5)) == [(0, "a"), (1, "b"), (2, "c")]
+    many = [str(k * k) for k in range(500)] + ["9", "é"]
+    for n, seed in ((10, 0), (300, 7)):
+        assert [x.id for x in seeded_sample(ids(*many), n, seed).orderBy("nth").collect()] == random.Random(seed).sample(sorted(many), n)
 
 
 def test_gate(spark):
