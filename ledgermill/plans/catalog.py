@@ -27,7 +27,7 @@ from ..operators.quality_gate import gate, run_summary
 from ..operators.routing import extractor_of, filing_outcome, house_kind, senate_kind
 from ..operators.ticker import resolved, with_tickers
 from ..schemas import lookup
-from ..shared import fresh_path
+from ..shared import fresh_path, written
 from ..sinks import dead_letters
 from ..sources.messages import decoded_messages, queue_message
 from ..streaming.ingest import run_available
@@ -554,9 +554,8 @@ def senate_pages(spark, sf_dir):
     return extract_senate(documents)[1].select(*EXTRACTED)
 
 
-@query(EXTRACTED_SQL.format(doc_id="'20' || l_orderkey", asset="'Part ' || l_partkey || ' Common Stock (t' || l_suppkey || ') [ST]'", text="CASE WHEN nth % 2 = 0 THEN 'sold in ' || l_partkey || ' lots' END"))
-def house_chunks(spark, sf_dir):
-    """Orders laid out as positioned chunks of form pages, 12 rows a page, and read back through the digital extractor."""
+def _rendered_chunks(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks, page texts and keys of orders as form pages, as tables."""
     lines = _some_lines(spark, sf_dir).withColumn("doc_id", F.concat(F.lit("20"), as_text("l_orderkey")))
     page = F.floor((F.col("line_no") - 1) / 12).cast("int") + 1
     top = 700.0 - ((F.col("line_no") - 1) % 12) * 58.0
@@ -580,7 +579,13 @@ def house_chunks(spark, sf_dir):
     first = pages.where(F.col("page_no") == 1)
     texts = first.select("doc_id", "page_no", F.concat(F.lit("Filing ID #"), F.col("doc_id"), F.lit("\nName: "), F.col("c_name"), F.lit("\nDigitally Signed: "), F.col("c_name"), F.lit(", "), F.date_format("o_orderdate", "MM/dd/yyyy")).alias("text"))
     keys = first.select("doc_id", bronze_key(F.lit("house"), F.year("o_orderdate"), F.col("doc_id"), F.lit("pdf")).alias("bronze_key"))
-    return extract_house_digital(drawn, texts, keys)[1].select(*EXTRACTED)
+    return tuple(written(x, f"rendered-{name}") for name, x in (("chunks", drawn), ("texts", texts), ("keys", keys)))
+
+
+@query(EXTRACTED_SQL.format(doc_id="'20' || l_orderkey", asset="'Part ' || l_partkey || ' Common Stock (t' || l_suppkey || ') [ST]'", text="CASE WHEN nth % 2 = 0 THEN 'sold in ' || l_partkey || ' lots' END"))
+def house_chunks(spark, sf_dir):
+    """Orders laid out as positioned chunks of form pages, 12 rows a page, and read back through the digital extractor."""
+    return extract_house_digital(*_rendered_chunks(spark, sf_dir))[1].select(*EXTRACTED)
 
 
 @query("""SELECT CASE WHEN event_id % 3 = 2 THEN 'unrecognized_event' ELSE 'ok' END AS outcome, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1""")
