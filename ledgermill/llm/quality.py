@@ -1,9 +1,7 @@
 """Quality rules: base counts of every text, then a hashed n-gram log-likelihood ratio.
 
-Built-in functions only. The n-grams of the query and of the pipeline are all words and all pairs of
-neighbouring words, whole, hashed by XXH64 into WHOLE_BUCKETS cells. (Without ``whole`` the functions
-take the last three characters of each word in BUCKETS cells and THRESHOLD instead.) Two multinomials with
-add-one smoothing are counted over all documents: the trusted target (documents labelled quality 1)
+Built-in functions only. The n-grams are all words and all pairs of neighbouring words, whole, hashed by
+XXH64 into BUCKETS cells. Two multinomials with add-one smoothing are counted over all documents: the trusted target (documents labelled quality 1)
 and the raw corpus. A document's ratio is the mean over its n-grams of log p_target - log p_raw; it is
 kept if it passes the base rules and the ratio is at least the threshold, which is one number for all
 documents: SPREADS standard deviations below the mean ratio of the target's texts of MIN_WORDS words or
@@ -25,10 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, packed
 
-BUCKETS = 1 << 12
-GRAM = 3
-THRESHOLD = -0.5
-WHOLE_BUCKETS, SPREADS = 1 << 16, 6
+BUCKETS, SPREADS = 1 << 16, 6
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 20, 30, 8
 SPACE = r"[\x20\x09-\x0D]"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -44,10 +39,6 @@ def words_of(text: Column) -> Column:
 
 
 def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, -GRAM, GRAM)), F.lit(buckets)).cast("short"))
-
-
-def whole_buckets_of(words: Column, buckets: int = WHOLE_BUCKETS) -> Column:
     """Cells of all words, then of all pairs of neighbours."""
 
     def cells(w: Column) -> Column:
@@ -100,13 +91,13 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.lit(1).alias("_trusted"))
 
 
-def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, grams_of=buckets_of) -> list[float]:
+def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log p_target - log p_raw of each bucket, counted over all documents; ``buckets`` numbers come to the driver."""
     trusted = trusted_ids(labels)
     # Texts are shuffled and not their n-grams, which are larger; the labels grow with the corpus and are never broadcast.
     counts = (
         docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left")
-        .select(F.explode(grams_of(words_of(F.col("text")), buckets)).alias("b"), "_trusted")
+        .select(F.explode(buckets_of(words_of(F.col("text")), buckets)).alias("b"), "_trusted")
         .groupBy("b").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
         .collect()
     )
@@ -119,10 +110,10 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, gr
     return [math.log((t + 1) / (n_target + buckets)) - math.log((r + 1) / (n_raw + buckets)) for r, t in zip(raw, target)]
 
 
-def mean_ratio(words: Column, weights: list[float], grams_of=buckets_of) -> Column:
+def mean_ratio(words: Column, weights: list[float]) -> Column:
     table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
     total = lambda grams: F.aggregate(grams, F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int"))) / F.size(grams)
-    return F.when(F.size(words) > 0, let(grams_of(words, len(weights)), total)).otherwise(F.lit(0.0))
+    return F.when(F.size(words) > 0, let(buckets_of(words, len(weights)), total)).otherwise(F.lit(0.0))
 
 
 def target_threshold(judged: DataFrame, labels: DataFrame) -> float:
@@ -134,39 +125,34 @@ def target_threshold(judged: DataFrame, labels: DataFrame) -> float:
     return 0.0 if mean is None else mean - SPREADS * spread - 1e-9  # less than a rounding error of the mean
 
 
-def judge(texts: DataFrame, weights: list[float], grams_of=buckets_of) -> DataFrame:
+def judge(texts: DataFrame, weights: list[float]) -> DataFrame:
     """(doc, text) with the base counts and ``ratio`` added."""
     worded = texts.withColumn("words", words_of(F.col("text")))
-    return with_base(worded, "words", "text").withColumn("ratio", mean_ratio(F.col("words"), weights, grams_of)).drop("words", "text")
+    return with_base(worded, "words", "text").withColumn("ratio", mean_ratio(F.col("words"), weights)).drop("words", "text")
 
 
-def _judged(docs: DataFrame, labels: DataFrame, threshold: float, whole: bool, shown: DataFrame) -> DataFrame:
+def _judged(docs: DataFrame, labels: DataFrame, shown: DataFrame) -> DataFrame:
     """(doc, counts, base_failed, ratio, kept): ``doc`` holds the columns of ``shown``, a selection of docs with doc_id and text."""
-    texts = packed(shown).select("doc", "doc.text")
-    if not whole:
-        judged = judge(texts, ratio_weights(docs, labels))
-    else:
-        # Written once: the threshold comes from the ratios of all texts, and verdicts then need no text.
-        judged = judge(texts, ratio_weights(docs, labels, WHOLE_BUCKETS, whole_buckets_of), whole_buckets_of)
-        if shown is not docs:
-            judged = judged.withColumn("doc", F.struct("doc.doc_id"))
-        judged = materialise(judged, "judged")
-        threshold = target_threshold(judged.select("doc.doc_id", "n_words", "ratio"), labels)
+    # Written once: the threshold comes from the ratios of all texts, and verdicts then need no text.
+    judged = judge(packed(shown).select("doc", "doc.text"), ratio_weights(docs, labels))
+    if shown is not docs:
+        judged = judged.withColumn("doc", F.struct("doc.doc_id"))
+    judged = materialise(judged, "judged")
+    threshold = target_threshold(judged.select("doc.doc_id", "n_words", "ratio"), labels)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, whole: bool = False) -> DataFrame:
-    """doc_id and every count, the ratio and the verdict of each document; ``whole`` brings its own threshold."""
-    judged = _judged(docs, labels, threshold, whole, docs.select("doc_id", "text"))
-    return judged.select("doc.doc_id", *COUNTS, "base_failed", "ratio", "kept")
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id and every count, the ratio and the verdict of each document."""
+    return _judged(docs, labels, docs.select("doc_id", "text")).select("doc.doc_id", *COUNTS, "base_failed", "ratio", "kept")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their columns as they were."""
-    return _judged(docs, labels, THRESHOLD, whole, docs).where("kept").select("doc.*")
+    return _judged(docs, labels, docs).where("kept").select("doc.*")
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
-    return quality_rules(docs, labels, whole=True).select("doc_id", *COUNTS, "base_failed", "kept", "ratio")
+    return quality_rules(docs, labels).select("doc_id", *COUNTS, "base_failed", "kept", "ratio")

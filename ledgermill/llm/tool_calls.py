@@ -5,13 +5,15 @@ Messages are (conv_id, turn, role, text). An assistant message may hold ``{"tool
 shuffled hash join on (conv_id, id), built from one row an id. Calls are ordered topologically: a dependency on an earlier turn holds by
 turn; inside a message levels are raised along dependencies until they stand, and a call whose level
 reaches the number of calls lies on or behind a cycle. Arguments are checked against the tools' schemas,
-and each call becomes canonical JSON: keys sorted, no white space, nulls left out.
+and each call becomes canonical JSON: keys sorted, no white space, fields of the call that are null left out.
 
 Defined cases: messages with null conv_id, turn or text, or text that is no such JSON, hold no calls and
 no results; the first result (by turn, then content) of an id answers it, others are counted; an id that
 occurs more than once in a conversation is ``duplicate_id`` and each occurrence is linked; a result that
 does not come after its call, or without a call, links nothing; very long texts and contents are kept whole;
-columns of other names are ignored; an empty table gives no rows. Levels cost the square of the calls in one
+columns of other names are ignored; an empty table gives no rows; a parameter that is given as null is a ``type:``
+error and stays null in the arguments; arguments that repeat a key are no JSON object, so each required parameter is
+a ``type:`` error and the canonical call has no arguments. Levels cost the square of the calls in one
 message, never of a conversation.
 """
 

@@ -9,7 +9,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -17,11 +16,13 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ledgermill.llm.boosting import BoostedTrees, Isotonic
 from ledgermill.llm.pieces import PieceLattice, default_model, segment
-from ledgermill.llm.quality import BUCKETS, keep_good, quality_rules, ratio_weights
+from ledgermill.llm.quality import BUCKETS, SPREADS, keep_good, quality_rules, ratio_weights
 from ledgermill.llm.sharding import best_fit_decreasing, pack_into, rounded, shard_by_bytes
 from ledgermill.llm.topk import SortedLists, integer_vectors, top_k
 from ledgermill.llm.toxicity import keep_clean, toxicity
 
+from .test_quality_grams import cells
+
 
 def plainly_packed(sizes, room):
     """Best fit item by item, by looking at every bin; None where none takes it."""
@@ -136,22 +137,22 @@ def test_quality(spark, docs, labels):
     rows = {x.doc_id: x for x in quality_rules(frame, known).collect()}
     weights = ratio_weights(frame.select("doc_id", "text"), known)
     raw, target = Counter(), Counter()
-    bucket = lambda w: (lambda h: (h - (1 << 64) if h >> 63 else h) % BUCKETS)(xxhash.xxh64_intdigest(w[-3:].encode(), 42))
     for i, x in enumerate(texts):
-        grams = [bucket(w) for w in re.findall(WORD, x or "")]
-        raw.update(grams)
+        raw.update(cells(x))
         if 9 <= i < 30:
-            target.update(grams)
+            target.update(cells(x))
     weight = lambda b: np.log((target[b] + 1) / (target.total() + BUCKETS)) - np.log((raw[b] + 1) / (raw.total() + BUCKETS))
     assert np.allclose(weights, [weight(b) for b in range(BUCKETS)])
+    ratios = [np.mean([weight(b) for b in cells(x)]) if cells(x) else 0.0 for x in texts]
+    trusted = [ratios[i] for i in range(9, 30) if base(texts[i])[0] >= 20]
+    bar = np.mean(trusted) - SPREADS * np.std(trusted) - 1e-9
     for i, x in enumerate(texts):
         n, *rest = base(x)
         r = rows[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, *rest)
         failed = n < 20 or 100 * rest[-1] > 30 * n
-        ratio = np.mean([weight(bucket(w)) for w in re.findall(WORD, x or "")]) if n else 0.0
-        assert r.base_failed == failed and r.ratio == pytest.approx(ratio) and r.kept == (not failed and ratio >= -0.5)
-    assert rows[3].kept and not rows[7].kept
+        assert r.base_failed == failed and r.ratio == pytest.approx(ratios[i]) and r.kept == (not failed and ratios[i] >= bar)
+    assert rows[10].kept and not rows[7].kept
     kept = keep_good(frame, known)
     assert kept.columns == frame.columns and {x.doc_id for x in kept.collect()} == {i for i, r in rows.items() if r.kept}
     assert set(ratio_weights(frame.select("doc_id", "text"), known.where("false"))) == {0.0}

@@ -20,7 +20,7 @@ TEXTS = [None, "", " \n", GOOD, GOOD, GOOD + " today", "x" * 300_000, "7" * 100_
 IDS = [None, None, 4, 4, 4, 5, 6, 7, 8, -1]
 
 STAGES = {
-    "quality": lambda d, known: keep_good(d, known, whole=True),
+    "quality": lambda d, known: keep_good(d, known),
     "toxicity": lambda d, known: keep_clean(d, known),
     "near_duplicates": lambda d, known: keep_one(d),
     "personal_data": lambda d, known: redact(d),
@@ -33,7 +33,7 @@ OPERATORS = {
     "op6": lambda d, known: shard_by_bytes(d),
     "op7": lambda d, known: read_token_files(write_token_files(d, fresh_path(d.sparkSession, "tokens"))),
     "op8": lambda d, known: segment(d),
-    "op9": lambda d, known: quality_rules(d, known, whole=True),
+    "op9": lambda d, known: quality_rules(d, known),
 }
 
 
