@@ -9,7 +9,8 @@ probability (1 - s ** ROWS) ** BANDS: 6 in 100,000 at 0.8, less than one in ten
 Equal sets are one node from the start, so groups of copies cost nothing. The nodes of a candidate group of up to
 LARGEST are compared in one task, and only nodes that are not connected yet. In a larger group each node is first
 compared with the smallest node of each of its keys, pair by pair in many tasks; that connects groups of near
-copies. What is then outside the group's largest component is compared with the whole group, in blocks of LARGEST.
+copies. What is then outside the group's largest component is compared with what shares a key with it, key by key,
+in blocks of LARGEST.
 
 Defined cases: null and empty texts have the empty set, which is similar to itself only; fewer than five
 words give one shingle, the whole sequence; doc_ids may be null or repeat: components are of texts; columns of
@@ -185,7 +186,8 @@ def _part(node: str, parts) -> F.Column:
 
 
 def _large_links(large: DataFrame, dealt: DataFrame, texts: DataFrame, largest: int) -> DataFrame:
-    """Links in the candidate groups large (set, root, n): against each key's smallest node, then of what is left against all."""
+    """Links in the candidate groups large (set, root): against each key's smallest node, then of what is left outside each
+    group's largest component against all that share a key with it."""
     members = dealt.join(large.select(F.col("set").alias("a")), "a", "left_semi")
     keys = materialise(members.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n")), "large-keys")
     pairs = join_hot(members, keys.select("key", "b"), "key", keys.select("key", "n")).where("a != b").select("a", "b").distinct()
@@ -201,14 +203,19 @@ def _large_links(large: DataFrame, dealt: DataFrame, texts: DataFrame, largest:
     placed = materialise(large.join(tops, "set", "left").withColumn("top", F.coalesce("top", "set")), "large-tops")
     sizes = placed.groupBy("root", "top").count()
     main = materialise(sizes.groupBy("root").agg(F.max(F.struct("count", "top")).alias("main"), F.sum("count").alias("n")), "largest-parts")
-    main = main.select("root", F.col("main.top").alias("main"), F.ceil((F.col("n") - F.col("main.count")) / largest).cast("int").alias("blocks"), F.ceil(F.col("n") / largest).cast("int").alias("parts"), "n")
-    placed = join_hot(placed.select("root", "set", "top"), main.select("root", "main", "blocks", "parts"), "root", main.select("root", "n")).where("blocks > 0").join(texts, "set")
+    outside = join_hot(placed.select("root", "set", "top"), main.select("root", F.col("main.top").alias("main")), "root", main.select("root", "n")).where("top != main")
+    outside = materialise(outside.select(F.col("set").alias("a"), "top"), "outside-main")
+    # Of each key, what lies outside the main component against all that has the key; keys of many are cut into blocks and parts.
+    held = materialise(dealt.join(outside, "a"), "outside-keys")
+    cut = held.groupBy("key").agg(F.ceil(F.count("*") / largest).cast("int").alias("blocks")).join(keys.select("key", "n"), "key")
+    cut = materialise(cut.where("n > 1").select("key", "blocks", F.ceil(F.col("n") / largest).cast("int").alias("parts"), "n"), "cut-keys")
+    plan, counts = cut.select("key", "blocks", "parts"), cut.select("key", "n")
+    all_tops = placed.select(F.col("set").alias("a"), "top")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    block = lambda i: F.xxhash64("root", i.cast("int"))
-    left = placed.where("top != main").withColumn("i", F.pmod(F.xxhash64("set", F.lit("block")), F.col("blocks"))).withColumn("part", every("parts"))
-    whole = placed.withColumn("part", _part("set", F.col("parts"))).withColumn("i", every("blocks"))
-    pick = lambda x: x.select(block(F.col("i")).alias("block"), F.col("part").cast("int"), "set", "top", "text")
-    return links.unionByName(_against(pick(left), pick(whole)))
+    left = join_hot(held, plan, "key", counts).withColumn("i", F.pmod(F.xxhash64("a", F.lit("block")), F.col("blocks"))).withColumn("part", every("parts"))
+    whole = join_hot(members.join(all_tops, "a"), plan, "key", counts).withColumn("part", _part("a", F.col("parts"))).withColumn("i", every("blocks"))
+    block = lambda rows: rows.select(F.xxhash64("key", F.col("i").cast("int")).alias("block"), F.col("part").cast("int"), F.col("a").alias("set"), "top").join(texts, "set")
+    return links.unionByName(_against(block(left), block(whole)))
 
 
 def keep_one(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
