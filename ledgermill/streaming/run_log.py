@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
@@ -13,7 +14,10 @@ from pyspark.sql.streaming import StreamingQueryListener
 Tell = Callable[[str], None]
 
 
-def line(stage: str, **fields) -> str:
+def line(stage: str, env: Iterable[str] = (), **fields) -> str:
+    """A line of the log; ``env`` names variables of the environment to put on it, those that are not set are left out."""
+    known = {x: os.environ[x] for x in env if x in os.environ}
+    fields = fields | ({"environment": known} if known else {})
     return json.dumps({"stage": stage, "at": datetime.now(timezone.utc).isoformat(), **fields}, sort_keys=True, default=str)
 
 
