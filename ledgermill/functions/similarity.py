@@ -50,20 +50,29 @@ def near_exact(query: Column, candidate: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | F.coalesce(ratio >= NEAR, F.lit(False)))
 
 
-def _counted_pairs(name: Column) -> Column:
-    """Pairs of neighbouring characters, each with how often it stood before, in an order that all names share."""
-    every = F.transform(F.sequence(F.lit(1), F.length(name) - 1), lambda k: F.substring(name, k, F.lit(2)))
+def _grams(name: Column, size: int) -> Column:
+    """Runs of ``size`` neighbouring characters, each with how often it stood before, in an order that all names share."""
+    every = F.transform(F.sequence(F.lit(1), F.length(name) - (size - 1)), lambda k: F.substring(name, k, F.lit(size)))
     counted = F.transform(every, lambda x, k: F.concat(x, F.size(F.filter(F.slice(every, F.lit(1), k + 1), lambda y: y == x)).cast("string")))
     return F.transform(F.array_sort(F.transform(counted, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x")))), lambda s: s["x"])
 
 
+#: Names of up to SHORT characters meet by pairs of characters, those of at least LONG by threes, those between by both; a
+#: name over SHORT is near to none under LONG.
+SHORT, LONG = 8, 7
+
+
 def _name_keys(name: Column, least: float) -> Column:
     """Keys of which two names with a ratio of ``least`` or more share one."""
-    size = F.length(name)
-    # The least share of both lengths that neighbouring pairs have in common, and the least length of the other name.
-    common = (1.5 * least - 1) * (1 + least / (2 - least)) * size - 1
-    kept = F.greatest(size - 1 - F.ceil(common - 1e-9).cast("int") + 1, F.lit(1))
-    return F.when(common < 1, F.array(F.concat(F.lit("="), name))).otherwise(F.slice(_counted_pairs(name), F.lit(1), kept))
+    n, none = F.length(name), F.array().cast("array<string>")
+    both = (1 + least / (2 - least)) * n  # characters of this and the shortest name that is near to it
+
+    def first(size: int, common: Column) -> Column:
+        kept = F.greatest(n - size + 2 - F.ceil(common - 1e-9).cast("int"), F.lit(1))
+        return F.when(common < 1, F.array(F.concat(F.lit("="), name))).otherwise(F.slice(_grams(name, size), F.lit(1), kept))
+
+    pairs, threes = first(2, (1.5 * least - 1) * both - 1), first(3, (2.5 * least - 2) * both - 2)
+    return F.concat(F.when(n <= SHORT, pairs).otherwise(none), F.when(n >= LONG, threes).otherwise(none))
 
 
 def near_names(left: DataFrame, right: DataFrame, least: float = NEAR) -> DataFrame:
@@ -71,21 +80,25 @@ def near_names(left: DataFrame, right: DataFrame, least: float = NEAR) -> DataFr
     or more, though no key narrows them.
 
     A prefix filter finds candidates. A ratio r over S characters matches M = rS / 2 of them in at most S - 2M + 1 blocks,
-    so at least 3M - S - 1 pairs of neighbouring characters are common to both names. With each name's pairs in one
-    order, one of the first few of both must then agree; names too short for that (three
-    characters) have no unequal match at 0.9. Candidates are
-    checked by lengths and characters, and what is left by similarity(). Equal names are one row before they meet."""
+    so at least 3M - S - 1 pairs, or 5M - 2S - 2 threes, of neighbouring characters are common to both names. With each
+    name's in one order, one of the first few of both must then agree; three characters are too few for an unequal match
+    at 0.9. Candidates are checked by lengths and characters, and what is left by similarity(). Equal names are one row
+    before they meet."""
     if not NEAR <= least <= 1:
         raise ValueError("the filter holds from 0.9 on")
 
+    times = lambda text: F.array(*(F.length(text) - F.length(F.replace(text, F.lit(x))) for x in LETTERS))
+
     def prepared(rows: DataFrame, own: str) -> DataFrame:
         named = rows.select(F.col("id").alias(f"{own}_id"), comparable_name(F.col("name")).alias(own)).where(F.col(own) != "")
         return named.groupBy(own).agg(F.collect_set(f"{own}_id").alias(f"{own}_ids"))
 
     a, b = prepared(left, "left"), prepared(right, "right")
-    keyed = lambda rows, own: rows.select(own, F.length(own).alias(f"{own}_n"), F.explode(F.array_distinct(_name_keys(F.col(own), least))).alias("key"))
-    met = keyed(a, "left").join(keyed(b, "right"), "key").where(2.0 * F.least("left_n", "right_n") >= least * (F.col("left_n") + F.col("right_n")))
-    pairs = met.select("left", "right").distinct().where((F.col("left") == F.col("right")) | may_be_near(F.col("left"), F.col("right"), least))
+    keyed = lambda rows, own: rows.select(own, F.length(own).alias(f"{own}_n"), times(F.col(own)).alias(f"{own}_times"), F.explode(F.array_distinct(_name_keys(F.col(own), least))).alias("key"))
+    size = F.col("left_n") + F.col("right_n")
+    met = keyed(a, "left").join(keyed(b, "right"), "key").where(2.0 * F.least("left_n", "right_n") >= least * size)
+    shared = F.aggregate(F.zip_with("left_times", "right_times", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    pairs = met.where(2.0 * shared >= least * size - 1e-9).select("left", "right").distinct()
     open_ = F.col("left") != F.col("right")
     asked = similarity(F.when(open_, F.col("left")), F.when(open_, F.col("right")))
     scored = pairs.withColumn("score", F.coalesce(asked, F.lit(1.0))).where(F.col("score") >= least)
