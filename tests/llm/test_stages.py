@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.llm.filter_audit import failures
 from ledgermill.llm.near_copies import keep_one
 from ledgermill.llm.packing import pack
 from ledgermill.llm.pieces import segment
 from ledgermill.llm.pii import find_pii, redact
 from ledgermill.llm.quality import keep_good, quality_rules
+from ledgermill.llm.repeats import repeats
 from ledgermill.llm.sharding import shard_by_bytes
 from ledgermill.llm.simhash import simhash_components
 from ledgermill.llm.token_files import read_token_files, write_token_files
@@ -34,6 +36,8 @@ OPERATORS = {
     "op7": lambda d, known: read_token_files(write_token_files(d, fresh_path(d.sparkSession, "tokens"))),
     "op8": lambda d, known: segment(d),
     "op9": lambda d, known: quality_rules(d, known),
+    "op11": lambda d, known: failures(d),
+    "op12": lambda d, known: repeats(d),
 }
 
 
