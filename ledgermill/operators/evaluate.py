@@ -113,14 +113,33 @@ def failures_by_kind(filings: DataFrame) -> DataFrame:
     return filings.groupBy("kind").agg(F.count("*").alias("filings"), F.count_if(F.col("error").isNotNull()).alias("failed"))
 
 
-def report_json(scores: DataFrame, failures: DataFrame) -> DataFrame:
-    """One row (report): JSON of the scores (kind, field, score) by kind and overall, and of filings and failures by kind.
+def determinism(filings: DataFrame, runs: DataFrame) -> DataFrame:
+    """doc_id, same: whether two runs (rows of run 1 and 2) give a filing the same rows; null where the first run failed, false
+    where only the second did. filings: (doc_id, first_error, second_error); a filing without rows has none in either run."""
+    digest = F.xxhash64("line_no", *SCORED)
+    lines = lambda run: F.sort_array(F.collect_list(F.when(F.col("run") == run, digest)))
+    found = runs.groupBy("doc_id").agg(lines(1).alias("first"), lines(2).alias("second"))
+    none = F.array().cast("array<bigint>")
+    equal = F.coalesce("first", none) == F.coalesce("second", none)
+    same = F.when(F.col("first_error").isNull(), F.col("second_error").isNull() & equal)
+    return filings.join(found, "doc_id", "left").select("doc_id", same.alias("same"))
+
+
+def report_json(scores: DataFrame, failures: DataFrame, checked: DataFrame | None = None, consistent: DataFrame | None = None) -> DataFrame:
+    """One row (report): JSON of the scores (kind, field, score) by kind and overall, of filings and failures by kind, and, where
+    they are given, of how many filings two runs agreed on (determinism's doc_id, same) and of fields between runs
+    (consistency's field, score).
 
-    Both are a few rows whatever the corpus; scores of single filings go out as rows (``filing_scores``)."""
+    All are a few rows whatever the corpus; scores of single filings go out as rows (``filing_scores``)."""
     entries = lambda key, value: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value))))
     fields = scores.groupBy("kind").agg(entries("field", "score").alias("fields"))
     by_kind = fields.agg(F.map_from_arrays(F.collect_list("kind"), F.collect_list("fields")).alias("every"))
     counts = failures.select("kind", F.struct("filings", "failed").alias("n")).agg(F.map_from_arrays(F.collect_list("kind"), F.collect_list("n")).alias("errors"))
-    joined = by_kind.join(counts, F.lit(True))
+    joined, parts = by_kind.join(counts, F.lit(True)), []
+    if checked is not None:
+        told = F.struct(F.count("same").alias("checked"), F.count_if(~F.col("same")).alias("unequal"))
+        joined, parts = joined.join(checked.agg(told.alias("determinism")), F.lit(True)), [*parts, "determinism"]
+    if consistent is not None:
+        joined, parts = joined.join(consistent.agg(entries("field", "score").alias("consistency")), F.lit(True)), [*parts, "consistency"]
     rest = F.map_filter("every", lambda k, _: k != "overall")
-    return joined.select(F.to_json(F.struct(rest.alias("by_kind"), F.try_element_at("every", F.lit("overall")).alias("overall"), "errors")).alias("report"))
+    return joined.select(F.to_json(F.struct(rest.alias("by_kind"), F.try_element_at("every", F.lit("overall")).alias("overall"), "errors", *parts)).alias("report"))
