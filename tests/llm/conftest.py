@@ -5,7 +5,7 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "score fp shard row words kept length rank slot run _b number doc set bands root key top clean first size part block other n ratio base_failed n_words held_out"
     " _fp _row _score _q_n_words _q_words _set _bands mark grp about bytes low high least component_id toxic fold full rest powers predicted spans a.b"
-    " d t u z h a part mask digest first chunk marks n_bytes"
+    " d t u z h a mask digest chunk marks n_bytes"
 ).split()
 
 
