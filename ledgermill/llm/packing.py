@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .tokenise import blocks, columns_of, default_vocabulary, encoder
+from .tokenise import columns_of, default_vocabulary, encoder
 
 WINDOW = 2048
 END_ID = 1
@@ -166,20 +166,19 @@ def tokenised(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_
         for ids, texts in columns_of(batches):
             doc_ids = pa.array(ids, pa.int64())
             tokens, full, rest, powers = [], [], [], []
-            for a, b in blocks(texts):
-                for packed in encode.encode(texts[a:b]):
-                    raw = np.concatenate([encode.as_uint32(packed), end]).tobytes()
-                    n = len(raw) // 4
-                    tokens.append(n)
-                    edge = n // window * window
-                    full.append([zlib.crc32(raw[4 * i : 4 * (i + window)]) for i in range(0, edge, window)])
-                    rest.append(zlib.crc32(raw[4 * edge :]))
-                    at, parts = edge, []
-                    for bit in reversed(range(window.bit_length() - 1)):
-                        if (n - edge) >> bit & 1:
-                            parts.append(zlib.crc32(raw[4 * at : 4 * (at + (1 << bit))]))
-                            at += 1 << bit
-                    powers.append(parts)
+            for packed in encode.encode(texts):
+                raw = np.concatenate([encode.as_uint32(packed), end]).tobytes()
+                n = len(raw) // 4
+                tokens.append(n)
+                edge = n // window * window
+                full.append([zlib.crc32(raw[4 * i : 4 * (i + window)]) for i in range(0, edge, window)])
+                rest.append(zlib.crc32(raw[4 * edge :]))
+                at, parts = edge, []
+                for bit in reversed(range(window.bit_length() - 1)):
+                    if (n - edge) >> bit & 1:
+                        parts.append(zlib.crc32(raw[4 * at : 4 * (at + (1 << bit))]))
+                        at += 1 << bit
+                powers.append(parts)
             many = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([doc_ids, pa.array(tokens, pa.int64()), pa.array(full, many), pa.array(rest, pa.int64()), pa.array(powers, many)], names=["doc_id", "doc_tokens", "full", "rest", "powers"])
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..shared import fresh_path
 from .common import materialise
 from .elias_fano import EliasFano
-from .tokenise import blocks, columns_of, default_vocabulary, encoder
+from .tokenise import columns_of, default_vocabulary, encoder
 
 MAGIC = b"EFTOKEN1"
 END_ID = 0
@@ -132,14 +132,13 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = Non
             listed.append((writer.uri, task.partitionId(), len(listed), len(writer.ends), writer.total))
 
         for ids, texts in columns_of(batches):
-            for a, b in blocks(texts):
-                for doc_id, tokens in zip(ids[a:b], encode.encode(texts[a:b])):
-                    if writer is not None and (writer.total >= IDS_A_FILE or len(writer.ends) >= DOCS_A_FILE):
-                        close()
-                        writer = None
-                    if writer is None:
-                        writer = TokenFileWriter(f"{folder}-{task.partitionId():05d}-{len(listed):04d}-{task.taskAttemptId()}.eftokens", encode.width)
-                    writer.add(doc_id, tokens + end)
+            for doc_id, tokens in zip(ids, encode.encode(texts)):
+                if writer is not None and (writer.total >= IDS_A_FILE or len(writer.ends) >= DOCS_A_FILE):
+                    close()
+                    writer = None
+                if writer is None:
+                    writer = TokenFileWriter(f"{folder}-{task.partitionId():05d}-{len(listed):04d}-{task.taskAttemptId()}.eftokens", encode.width)
+                writer.add(doc_id, tokens + end)
         if writer is not None:
             close()
         yield pa.RecordBatch.from_pylist([dict(zip(("file", "task", "number", "n_docs", "n_ids"), x)) for x in listed], schema=pa.schema([("file", pa.string()), ("task", pa.int32()), ("number", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))

@@ -1,6 +1,8 @@
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,7 +11,7 @@ from tokenizers import Tokenizer
 from ledgermill.llm.elias_fano import EliasFano
 from ledgermill.llm.packing import pack
 from ledgermill.llm.token_files import TokenFile, read_token_files, write_token_files
-from ledgermill.llm.tokenise import WordwiseEncoder, default_vocabulary, encoder
+from ledgermill.llm.tokenise import WordStore, WordwiseEncoder, columns_of, default_vocabulary, encoder
 from ledgermill.shared import fresh_path
 
 
@@ -90,3 +92,46 @@ def test_literal_of_an_added_token(spark, docs):
     rows = sorted(read_token_files(write_token_files(docs(text, "three"), fresh_path(spark, "tokens"))).collect(), key=lambda x: x.start)
     assert [(x.start, x.n_tokens, x.ids_crc32) for x in rows] == [(0, len(ids[0]), zlib.crc32(ids[0].tobytes())), (len(ids[0]), len(ids[1]), zlib.crc32(ids[1].tobytes()))]
     assert {x.doc_id: x.doc_tokens for x in pack(docs(text, "three")).collect()} == {0: len(ids[0]), 1: len(ids[1])}
+
+
+class Counted:
+    """Hands calls on to the model and counts what it is asked for."""
+
+    def __init__(self, model) -> None:
+        self.model, self.asked = model, Counter()
+
+    def tokenize(self, piece):
+        self.asked[piece] += 1
+        return self.model.tokenize(piece)
+
+
+def test_words_and_pieces_are_encoded_once():
+    """A block looks each different word up once, and the model gets each different pre-token once, whatever marks follow it."""
+    texts = ["Start walking, walking. walking walking; (walking) naïve naïve, naïve\nwalking " + "walking " * 50 + "12", "Begin walking", ""]
+    own = WordwiseEncoder(default_vocabulary(), added=True)
+    own.model, looked = Counted(own.model), Counter()
+
+    class Looked(WordStore):
+        def __getitem__(self, word):
+            looked[word] += 1
+            return super().__getitem__(word)
+
+    own.words = Looked(own._word, 5, 5)
+    assert [own.as_uint32(x).tolist() for x in own.encode(texts)] == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts]
+    assert looked and max(looked.values()) == 1 and max(own.model.asked.values()) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(list(" .,;:!?'\n"))), max_size=25), max_size=4))
+def test_latin_pretokens(texts):
+    assert [AS_USED.as_uint32(x).tolist() for x in AS_USED.encode(texts)] == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_texts_are_taken_by_size():
+    """Small texts together, a long one alone, nothing left out; a long text's ids are placed a few words at a time."""
+    texts = ["ab"] * 5 + ["long " * 30_000] + ["é", "", "x  y "]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(columns_of([batch], limit=10))
+    assert [x for ids, _ in parts for x in ids] == list(range(len(texts))) and [x for _, part in parts for x in part] == texts
+    assert [len(ids) for ids, _ in parts] == [5, 1, 3]
+    assert [AS_USED.as_uint32(x).tolist() for x in AS_USED.encode(texts)] == [PLAIN.encode(x, add_special_tokens=False).ids for x in texts]
