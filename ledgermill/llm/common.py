@@ -45,6 +45,18 @@ def materialise_buckets(df: DataFrame, name: str, key: str, buckets: int) -> Dat
     return back
 
 
+def materialise_parts(df: DataFrame, name: str, key: str) -> DataFrame:
+    """materialise() into one folder for each value of a key, so that a task can read the rows of one value alone."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.partitionBy(key).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._ledgermill_path = path
+    if _scratch:
+        _scratch[-1].append(back)
+    return back
+
+
 def discard(df: DataFrame) -> None:
     """Removes a table that materialise() wrote and that nothing reads any more."""
     if known := getattr(df, "_ledgermill_table", None):

@@ -11,6 +11,10 @@ LARGEST are compared in one task, and only nodes that are not connected yet. In
 compared with the smallest node of each of its keys, pair by pair in many tasks; that connects groups of near
 copies. What is then outside the group's largest component is compared with the whole group, in blocks of LARGEST.
 
+Documents are not shuffled at the end: the numbers of the rows that stay are written by the partition that numbered
+them, and each task looks up those of the rows it reads. The shared folder must be one that pyarrow can open on
+every executor (file://, hdfs://, s3://, gs://).
+
 Defined cases: null and empty texts have the empty set, which is similar to itself only; fewer than five
 words give one shingle, the whole sequence; doc_ids may be null or repeat: components are of texts; columns of
 any name stay as they were; whole texts are read, however long; an empty table gives no rows.
@@ -18,22 +22,29 @@ any name stay as they were; whole texts are read, however long; an empty table g
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, materialise, packed
+from .common import join_hot, materialise, materialise_parts, packed
 from .components import components
 from .simhash import majority, rooted
+from .token_files import open_place
 
 SHINGLE = 5
 SEED = 42
 BANDS, ROWS = 32, 6
 #: Nodes of a candidate group that one task compares.
 LARGEST = 1024
+#: monotonically_increasing_id() numbers the rows of a partition in the bits below this one.
+PART_BIT = 33
 #: Similarity NUMERATOR / DENOMINATOR, in whole numbers so that the bound itself is met.
 NUMERATOR, DENOMINATOR = 4, 5
 
@@ -211,6 +222,31 @@ def _large_links(large: DataFrame, dealt: DataFrame, texts: DataFrame, largest:
     return links.unionByName(_against(pick(left), pick(whole)))
 
 
+def _stays(folder: str):
+    """A condition on row numbers: whether ``folder``, which has one folder for each partition that numbered rows, lists them."""
+
+    def listed(part: int) -> np.ndarray:
+        system, path = open_place(f"{folder}/part={part}")
+        if system.get_file_info(path).type == pafs.FileType.NotFound:
+            return np.empty(0, np.int64)
+        return np.sort(pq.read_table(path, columns=["row"], filesystem=system, partitioning=None, use_threads=False)["row"].to_numpy())
+
+    def look(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        last, known = None, np.empty(0, np.int64)
+        for batch in batches:
+            rows = batch.to_numpy(zero_copy_only=False)
+            parts, found = rows >> PART_BIT, np.zeros(len(rows), bool)
+            for part in np.unique(parts).tolist():
+                if part != last:
+                    last, known = part, listed(part)
+                mine = np.flatnonzero(parts == part)
+                if len(known):
+                    found[mine] = known.take(np.searchsorted(known, rows[mine]), mode="clip") == rows[mine]
+            yield pa.array(found)
+
+    return F.arrow_udf(look, "boolean")
+
+
 def keep_one(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
     """One document of each component of similar texts, the one with the smallest doc_id; columns as they were."""
     marked = materialise(with_sketches(docs), "sketched-docs")
@@ -238,4 +274,6 @@ def keep_one(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
         links = links.unionByName(_large_links(large, dealt, texts.select("set", "text"), largest))
     tops = components(links).select(F.col("node").alias("set"), F.col("root").alias("top"))
     kept = alone.join(tops, "set", "left").groupBy(F.coalesce("top", "set")).agg(F.min("first")["row"].alias("row")).select("row")
-    return marked.join(kept, "row", "left_semi").select("doc.*")
+    kept = kept.repartitionByRange("row").withColumn("part", F.shiftright("row", PART_BIT))
+    stays = _stays(materialise_parts(kept, "kept-rows", "part")._ledgermill_path)
+    return marked.where(stays("row")).select("doc.*")

@@ -69,3 +69,17 @@ def test_null_and_repeated_ids_are_no_component(spark, docs):
     texts = ["one text without id", "another text without an id", "one text without id", "first under three", "second under three", "first under three"]
     out = keep_one(docs(*texts, ids=[None, None, None, 3, 3, 3]))
     assert sorted(x.text for x in out.collect()) == sorted(set(texts))
+
+
+def test_documents_are_not_shuffled_at_the_end(spark, docs):
+    """Partitions without rows, without a row that stays, and without one that goes; whole documents move nowhere."""
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(5000)}" for _ in range(60)) for _ in range(20)]
+    parts = [docs(*texts, ids=range(20)), docs("x").where("false"), docs(*texts, ids=range(100, 120)), docs("one more", None, ids=[200, 201]), docs(*texts[:5], "the last", ids=range(300, 306))]
+    frame = parts[0]
+    for part in parts[1:]:
+        frame = frame.unionByName(part)
+    assert frame.rdd.getNumPartitions() > 4
+    out = keep_one(frame)
+    assert sorted(x.doc_id for x in out.collect()) == [*range(20), 200, 201, 305]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
