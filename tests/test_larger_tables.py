@@ -2,11 +2,14 @@
 
 import glob
 import os
+import random
+from difflib import SequenceMatcher
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.functions.similarity import LONG, SEGMENTED, near_candidates, near_names
 from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
 
 from .test_catalog import DATA, rows
@@ -37,3 +40,26 @@ def agrees(spark, name, folder, con):
 def test_scanned_words_with_long_supplier_numbers(spark, tmp_path):
     longer = lambda lines: lines.withColumn("l_suppkey", F.col("l_suppkey") * F.when(F.col("l_partkey") % 2 == 0, 1234567).otherwise(9))
     assert agrees(spark, "scanned_words", *changed(spark, tmp_path, lineitem=longer))
+
+
+def test_few_names_meet_that_are_not_near(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(3000)]
+    left = spark.createDataFrame([(x,) for x in names], "left string")
+    right = spark.createDataFrame([(f"{x[:5]}z{x[6:]}",) for x in names], "right string")
+    assert {(x.left, x.right) for x in near_candidates(left, right, 0.9).collect()} == {(x, f"{x[:5]}z{x[6:]}") for x in names}
+
+
+def test_long_names_lose_no_pair(spark):
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abcde") for _ in range(rng.randint(LONG - 3, SEGMENTED + 12))) for _ in range(40)]
+    for x in names[:40]:
+        for edits in (1, 3, 6):
+            y = list(x)
+            for _ in range(edits):
+                at = rng.randrange(len(y))
+                y[at : at + rng.randint(0, 2)] = rng.choice(["", "x", "yz"])
+            names.append("".join(y))
+    frame = spark.createDataFrame(list(enumerate(names)), "id int, name string")
+    wanted = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if SequenceMatcher(None, a, b).ratio() >= 0.9}
+    assert {(x.left, x.right) for x in near_names(frame, frame).collect()} == wanted and len(wanted) > 300
