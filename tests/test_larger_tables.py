@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import re
 from difflib import SequenceMatcher
 
 import duckdb
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.similarity import LONG, SEGMENTED, near_candidates, near_names
 from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
+from ledgermill.plans.house_digital import extract_house_digital
+from ledgermill.sources.scans import CHUNKS
 
 from .test_catalog import DATA, rows
 
@@ -63,3 +66,15 @@ def test_long_names_lose_no_pair(spark):
     frame = spark.createDataFrame(list(enumerate(names)), "id int, name string")
     wanted = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if SequenceMatcher(None, a, b).ratio() >= 0.9}
     assert {(x.left, x.right) for x in near_names(frame, frame).collect()} == wanted and len(wanted) > 300
+
+
+def test_digital_forms_become_lines_once(spark):
+    chunks = [("201", 1, 0, 20.0, 760.0, "$200?", "f"), ("202", 1, 0, 20.0, 760.0, "other", "f"), ("203", 1, 0, 20.0, 700.0, "P 01/02/2020 01/03/2020 $5", "f"), ("203", 2, 0, 20.0, 760.0, "$200?", "f"), ("203", 2, 1, 20.0, 700.0, "x [ST] P 01/02/2020 01/03/2020 $5", "f")]
+    texts = [(x, 1, f"Filing ID #{x}\nName: A B\nDigitally Signed: A B, 02/01/2020") for x in ("201", "202", "203")]
+    frame = lambda rows, ddl: spark.createDataFrame(rows, ddl)
+    filings, lines, lost = extract_house_digital(frame(chunks, CHUNKS), frame(texts, "doc_id string, page_no int, text string"), frame([(x, f"bronze/house/year=2020/{x}.pdf") for x in ("201", "202", "203", "204")], "doc_id string, bronze_key string"))
+    assert sorted(x.doc_id for x in filings.collect()) == ["201", "203"]
+    assert [(x.doc_id, x.line_no, x.asset_description) for x in lines.collect()] == [("203", 1, "x [ST]")]
+    assert {x.doc_id: x.reasons for x in lost.collect()} == {"202": ["no_table_header"], "204": ["filer_name", "filing_date", "filing_id", "no_table_header"]}
+    grouped = re.findall(r"Aggregate \[doc_id#\d+, page_no#\d+, y#\d+", lines._jdf.queryExecution().optimizedPlan().toString())
+    assert len(grouped) == 1
