@@ -14,6 +14,7 @@ from ledgermill.functions.similarity import LONG, SEGMENTED, near_candidates, ne
 from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
 from ledgermill.plans.house_digital import extract_house_digital
 from ledgermill.sources.scans import CHUNKS
+from ledgermill.sources.senate_html import FilingPage, read_page
 
 from .test_catalog import DATA, rows
 
@@ -78,3 +79,25 @@ def test_digital_forms_become_lines_once(spark):
     assert {x.doc_id: x.reasons for x in lost.collect()} == {"202": ["no_table_header"], "204": ["filer_name", "filing_date", "filing_id", "no_table_header"]}
     grouped = re.findall(r"Aggregate \[doc_id#\d+, page_no#\d+, y#\d+", lines._jdf.queryExecution().optimizedPlan().toString())
     assert len(grouped) == 1
+
+
+class _Parser(FilingPage):
+    """The page as the standard library's parser reads it."""
+
+
+def test_plain_pages_need_no_parser(monkeypatch):
+    rng = random.Random(7)
+    pieces = ["<table class=\"table table-striped\">", "<tbody>", "<tr>", "<td>", "</td>", "</tr>", "</tbody>", "</table>", '<h2 class="filedReport">', "</h2>", '<p class="muted">', "</p>", '<div class="x text-muted" id="d">', "</div>", "<br>", "<a href=\"x\">", "</a>", "a &amp; b", "&lt;c", "&am", "&#8203;", " \n", ">", "Filed 01/02/2020", "<em>", "</em>"]
+    other = ["<br/>", "<script>", "<!-- x -->", "<td colspan=2>", "<TD>", "<", "</td x>", "<?x>", "<title>"]
+    read = lambda page: (page.header, page.filed, page.tables, page.rows)
+    for k in range(3000):
+        html = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 40)))
+        if k % 2:
+            html = html.replace("a &amp; b", rng.choice(other))
+        page = _Parser()
+        page.feed(html)
+        page.close()
+        page._end_cell()
+        assert read(read_page(html)) == read(page), html
+    monkeypatch.setattr(FilingPage, "feed", None)
+    assert read_page('<p class="muted">Filed</p><table class="table-striped"><tbody><tr><td>1</td></tr></tbody></table>').rows[0]["cells"] == ["1"]
