@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from ledgermill.functions.similarity import LONG, SEGMENTED, near_candidates, near_names
 from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
 from ledgermill.plans.house_digital import extract_house_digital
+from ledgermill.sources import pages
 from ledgermill.sources.scans import CHUNKS
 from ledgermill.sources.senate_html import FilingPage, read_page
 
+from .conftest import values
 from .test_catalog import DATA, rows
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
@@ -101,3 +103,30 @@ def test_plain_pages_need_no_parser(monkeypatch):
         assert read(read_page(html)) == read(page), html
     monkeypatch.setattr(FilingPage, "feed", None)
     assert read_page('<p class="muted">Filed</p><table class="table-striped"><tbody><tr><td>1</td></tr></tbody></table>').rows[0]["cells"] == ["1"]
+
+
+class _Halves:
+    def count(self, content):
+        return len(content) // 2
+
+    def page(self, content, page_no):
+        return content.decode()[2 * page_no - 2 : 2 * page_no], None
+
+
+def test_a_task_reads_one_file_and_its_neighbours(spark, tmp_path):
+    docs = [(f"{k:03}", bytes("ab" * (k % 9), "ascii")) for k in range(60)]
+    place = f"file://{tmp_path}/some docs"
+    spark.createDataFrame(docs, "doc_id string, content binary").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(place)
+    found = pages.read_pages(spark, place, _Halves(), 10)
+    assert values(found, "doc_id", "page_no") == sorted((d, k) for d, c in docs for k in range(1, len(c) // 2 + 1))
+    tasks = spark.read.parquet(*[f"file://{x}" for x in _plans(spark)[-1:]]).select("file", "task", "doc_id").collect()
+    by_task = {}
+    for x in tasks:
+        by_task.setdefault((x.file, x.task), set()).add(x.doc_id)
+    assert len({f for f, _ in by_task}) == 5 and max(map(len, by_task.values())) < 20
+    assert not any(min(b) < max(a) and min(a) < max(b) for i, a in by_task.items() for j, b in by_task.items() if i != j)
+
+
+def _plans(spark):
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    return [x for _, x in sorted((os.path.getmtime(x), x) for x in glob.glob(f"{folder}/page-plan-*"))]
