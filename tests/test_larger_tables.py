@@ -7,13 +7,14 @@ import re
 from difflib import SequenceMatcher
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.functions.similarity import LONG, SEGMENTED, near_candidates, near_names
 from ledgermill.plans import catalog, catalog_runs, catalog_streams  # noqa: F401
 from ledgermill.plans.house_digital import extract_house_digital
-from ledgermill.sources import pages
+from ledgermill.sources import pages, scans
 from ledgermill.sources.scans import CHUNKS
 from ledgermill.sources.senate_html import FilingPage, read_page
 
@@ -130,3 +131,22 @@ def test_a_task_reads_one_file_and_its_neighbours(spark, tmp_path):
 def _plans(spark):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
     return [x for _, x in sorted((os.path.getmtime(x), x) for x in glob.glob(f"{folder}/page-plan-*"))]
+
+
+def test_rasters_go_out_in_batches(spark, monkeypatch):
+    made = []
+    batch = scans._raster_batch
+    monkeypatch.setattr(scans, "_raster_batch", lambda rows: made.append(len(rows)) or batch(rows))
+    turn = []
+
+    class Pages:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            turn.append(run)
+
+    scans.upright_candidates(Pages(), (0, 90))
+    pages = pa.RecordBatch.from_pylist([{"doc_id": str(k), "page_no": 1, "width": 3, "pixels": bytes([k, 255, 0] * 2)} for k in range(200)])
+    out = list(turn[0](iter([pages, pages])))
+    assert made == [800] and [x.num_rows for x in out] == [800]
